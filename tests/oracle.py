@@ -74,7 +74,7 @@ def _family(kind: str) -> str:
 
 def main() -> None:
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(8, spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
@@ -84,7 +84,7 @@ def main() -> None:
         try:
             ok, note = compare(spark, con, sf_dir, name)
         except Exception as err:  # report and go on with the next query
-            ok, note = False, f"{type(err).__name__}: {str(err)[:1500]}"
+            ok, note = False, f"{type(err).__name__}: {str(err)[:600]}"
         bad += not ok
         print("ok  " if ok else "FAIL", name, note, flush=True)
     print("failed:", bad)
