@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-from importlib import import_module
+from modelyard.plans import discovery, merging, reporting, scoring, training
 
-_PARTS = ["discovery", "merging", "scoring", "training", "reporting"]
-
-
-def _gather(name: str) -> dict:
-    out: dict = {}
-    for part in _PARTS:
-        try:
-            module = import_module(f"modelyard.plans.{part}")
-        except ModuleNotFoundError:
-            continue
-        out.update(getattr(module, name))
-    return out
+_PARTS = [discovery, merging, scoring, training, reporting]
 
 
 def queries() -> dict:
-    return _gather("QUERIES")
+    return {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _gather("ORACLE")
+    return {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

@@ -79,7 +79,7 @@ SELECT concat('m',conv_id%3) AS model_id, conv_id AS batch_id, turn,
 FROM {conversations} WHERE role='assistant'""",
     "eval_results": """
 SELECT concat('org/a-rather-long-model-name-to-be-cut-',user_id) AS model_id, event_type AS dataset, count(*) AS n_samples,
- avg(value)/500e0 AS avg_rouge1, max(value)/500e0 AS avg_bertscore, min(value)/500e0 AS avg_faithfulness,
+ cast(sum(cast(round(value*100) AS bigint)) AS double)/count(*)/50000e0 AS avg_rouge1, max(value)/500e0 AS avg_bertscore, min(value)/500e0 AS avg_faithfulness,
  CASE WHEN user_id%10=0 THEN NULL ELSE 5e0 END AS avg_judge_score
 FROM {events} GROUP BY user_id,event_type""",
     "history": """
