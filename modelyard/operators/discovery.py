@@ -6,6 +6,8 @@ The registry may be large; everything after the per-keyword cut is bounded by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,9 +53,24 @@ def matching_keywords(
         keyword_literals(category_keywords(categories, wanted)),
         lambda k: F.contains(ident, F.lower(k["keyword"])),
     )
-    return models.filter(F.col("task") == K.TASK).select(
-        F.explode(hits).alias("hit"), "*"
-    ).select("hit.category", "hit.kw_ord", "hit.keyword", *models.columns)
+    # The outer form keeps the optimizer from testing the array's size first,
+    # which would evaluate the whole filter twice.
+    return (
+        models.filter(F.col("task") == K.TASK)
+        .select(F.explode_outer(hits).alias("hit"), "*")
+        .filter(F.col("hit").isNotNull())
+        .select("hit.category", "hit.kw_ord", "hit.keyword", *models.columns)
+    )
+
+
+def named_by_keyword(
+    rows: DataFrame, categories: dict[str, list[str]], wanted: list[str] | None = None
+) -> DataFrame:
+    """Rows whose model id holds any of the keywords: a plain scan filter."""
+    ident = F.lower("model_id")
+    words = {word for *_, word in category_keywords(categories, wanted)}
+    tests = [F.contains(ident, F.lit(word.lower())) for word in sorted(words)]
+    return rows.filter(reduce(lambda a, b: a | b, tests))
 
 
 def keyword_coverage(
@@ -187,28 +204,22 @@ def scan_registry(
 
 def card_completeness(cards: DataFrame) -> DataFrame:
     """Share of the expected headings found in each card."""
-    text = F.lower("card_text")
+    lowered = cards.select("model_id", F.lower("card_text").alias("text"))
     found = sum(
-        F.coalesce(F.contains(text, F.lit(h.lower())).cast("int"), F.lit(0))
+        F.coalesce(F.contains("text", F.lit(h.lower())).cast("int"), F.lit(0))
         for h in K.CARD_HEADINGS
     )
-    return cards.select(
+    return lowered.select(
         "model_id", (found / F.lit(len(K.CARD_HEADINGS))).cast("double").alias("card_quality")
     )
 
 
-def with_card_quality(candidates: DataFrame, cards: DataFrame, max_candidates: int) -> DataFrame:
+def with_card_quality(candidates: DataFrame, cards: DataFrame) -> DataFrame:
     """Attach card completeness; a missing card counts as 0.
 
-    ``max_candidates`` is the plan-time bound on the candidate side (keywords x
-    rows per keyword). Under it the ids are broadcast so that cards of other
-    models are dropped at the scan; above it a plain equi join is used.
+    Headings are counted where the card is read, so only (id, share) pairs move.
     """
-    ids = candidates.select("model_id").distinct()
-    if max_candidates <= 100_000:
-        ids = F.broadcast(ids)
-    quality = card_completeness(cards.join(ids, "model_id", "left_semi"))
-    return candidates.join(quality, "model_id", "left").withColumn(
+    return candidates.join(card_completeness(cards), "model_id", "left").withColumn(
         "card_quality", F.coalesce("card_quality", F.lit(0.0))
     )
 
@@ -284,14 +295,12 @@ def discover(
     per_keyword: int = K.PER_KEYWORD,
 ) -> DataFrame:
     """Scan, gate, score and cut: every requested category in one job."""
-    bound = len(category_keywords(categories, wanted)) * per_keyword
     found = scan_registry(models, categories, wanted, per_keyword)
-    candidates = scored(with_card_quality(found, cards, bound))
+    candidates = scored(
+        with_card_quality(found, named_by_keyword(cards, categories, wanted))
+    )
     if probe_losses is not None:
-        ids = candidates.select("model_id").distinct()
-        probes = probe_losses.join(
-            F.broadcast(ids) if bound <= 100_000 else ids, "model_id", "left_semi"
-        )
+        probes = named_by_keyword(probe_losses, categories, wanted)
         candidates = blend_perplexity(candidates, perplexity(probes), top_k)
     return top_candidates(candidates, top_k)
 

@@ -23,27 +23,54 @@ MEANS = {
 }
 
 
+def with_gap_bits(samples: DataFrame) -> DataFrame:
+    """Bit i is set when a keyword of category i occurs in question or context.
+
+    Keywords match as substrings. The text is lowered in a projection of its own
+    so that it is lowered once, not once per keyword.
+    """
+    text = F.lower(
+        F.concat(F.coalesce("question", F.lit("")), F.lit(" "), F.coalesce("context", F.lit("")))
+    )
+    bits = [
+        F.when(
+            reduce(lambda a, b: a | b, [F.contains("_text", F.lit(w)) for w in words]), 2**i
+        ).otherwise(0)
+        for i, words in enumerate(K.GAP_KEYWORDS.values())
+    ]
+    return (
+        samples.withColumn("_text", text)
+        .withColumn("gap_bits", reduce(lambda a, b: a + b, bits))
+        .drop("_text")
+    )
+
+
 def sample_scores(
     samples: DataFrame,
     embedding_scores: DataFrame | None = None,
     run_judge: bool = True,
     stem: bool = True,
 ) -> DataFrame:
-    """One score row per answer. ``gap_signals`` exists and stays empty.
+    """One score row per answer, from one scan and one shuffle of the answers.
 
-    ``embedding_scores`` holds (model_id, sample_id, bertscore_f1); an answer
-    missing from it scores 0.
+    What is decided inside a row (faithfulness, judge, category keywords) rides
+    along as numbers through the n-gram count. ``embedding_scores`` holds
+    (model_id, sample_id, bertscore_f1); an answer missing from it scores 0.
+    ``gap_signals`` exists and stays empty.
     """
     faith = S.faithfulness(F.col("nli_label"), F.col("nli_score"))
-    rows = samples.select(
+    judged = S.judge_score(F.col("judge_raw")) if run_judge else F.lit(K.DEFAULT_JUDGE)
+    local = with_gap_bits(samples).select(
         *KEY,
         "ord",
+        "prediction",
+        "reference",
         faith.alias("faithfulness"),
         S.hallucinated(F.col("prediction"), faith).alias("hallucinated"),
-        (S.judge_score(F.col("judge_raw")) if run_judge else F.lit(K.DEFAULT_JUDGE)).alias(
-            "judge_score"
-        ),
-    ).join(S.rouge(samples, stem), KEY)
+        judged.alias("judge_score"),
+        "gap_bits",
+    )
+    rows = S.rouge(local, stem, "ord", "faithfulness", "hallucinated", "judge_score", "gap_bits")
     if embedding_scores is not None:
         rows = rows.join(embedding_scores, KEY, "left")
     else:
@@ -58,6 +85,7 @@ def sample_scores(
         "faithfulness",
         "hallucinated",
         "judge_score",
+        "gap_bits",
         F.array().cast("array<string>").alias("gap_signals"),
     )
 
@@ -77,61 +105,60 @@ def failing(scores: DataFrame) -> DataFrame:
     return scores.filter(is_failing())
 
 
-def _categories(text: Column) -> Column:
-    """Categories whose keywords occur as substrings; decided inside the row."""
-    tests = [
-        F.struct(
-            F.lit(i).alias("cat_ord"),
-            F.lit(cat).alias("gap_cat"),
-            reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words]).alias("hit"),
-        )
-        for i, (cat, words) in enumerate(K.GAP_KEYWORDS.items())
-    ]
-    return F.filter(F.array(*tests), lambda t: t["hit"])
-
+def _gap_counts() -> list[Column]:
+    """Per category: failing answers that touch it, and the first of them."""
+    out = []
+    for i in range(len(K.GAP_KEYWORDS)):
+        hit = is_failing() & (F.col("gap_bits").bitwiseAND(2**i) != 0)
+        out += [F.count_if(hit).alias(f"_n{i}"), F.min(F.when(hit, F.col("ord"))).alias(f"_f{i}")]
+    return out
 
-def detect_gaps(scores: DataFrame, samples: DataFrame, by: tuple[str, ...] = ("model_id",)) -> DataFrame:
-    """Categories with at least two failures, numbered by first occurrence.
 
-    The count combines map-side over at most five categories per group. The final
-    numbering compares each group's few categories with one another.
-    """
-    text = F.lower(F.concat(F.coalesce("question", F.lit("")), F.lit(" "), F.coalesce("context", F.lit(""))))
-    hits = (
-        samples.select(*KEY, _categories(text).alias("cats"))
-        .filter(F.size("cats") > 0)
-        .join(failing(scores).select(*KEY, "ord", *[c for c in by if c not in KEY]), KEY)
-        .select(*by, "ord", F.inline("cats"))
-    )
-    return (
-        hits.groupBy(*by, "cat_ord", "gap_cat")
-        .agg(F.count("*").alias("failures"), F.min("ord").alias("first_ord"))
-        .filter(F.col("failures") >= K.GAP_MIN_FAILURES)
+def _gap_rows() -> Column:
+    """Categories with enough failures, in order of first occurrence."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.col(f"_f{i}").alias("first_ord"),
+                F.lit(i).alias("cat_ord"),
+                F.lit(cat).alias("gap_cat"),
+                F.col(f"_n{i}").alias("failures"),
+            )
+            for i, cat in enumerate(K.GAP_KEYWORDS)
+        ]
     )
+    return F.sort_array(F.filter(rows, lambda r: r["failures"] >= K.GAP_MIN_FAILURES))
 
 
-def gap_lists(gaps: DataFrame, by: tuple[str, ...] = ("model_id",)) -> DataFrame:
-    """Ordered category list per group; at most one entry per known category."""
-    return gaps.groupBy(*by).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("first_ord", "cat_ord", "gap_cat"))),
-            lambda g: g["gap_cat"],
-        ).alias("gap_categories")
-    )
+def detect_gaps(scores: DataFrame, by: tuple[str, ...] = ("model_id",)) -> DataFrame:
+    """Categories with at least two failures per group.
 
+    Five pairs of conditional aggregates in one pass that combines map-side: a
+    group of any size sends one row per task.
+    """
+    return scores.groupBy(*by).agg(*_gap_counts()).select(*by, F.inline(_gap_rows()))
 
-def summarise(scores: DataFrame, gaps: DataFrame | None = None, dataset: str = "custom") -> DataFrame:
-    """Means per model. Score rows stay a table of their own, keyed the same way."""
-    out = scores.groupBy("model_id").agg(
-        F.lit(dataset).alias("dataset"),
-        F.count("*").alias("n_samples"),
-        *[F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(name) for name, c in MEANS.items()],
-    )
-    none = F.array().cast("array<string>")
-    if gaps is None:
-        return out.withColumn("gap_categories", none)
-    return out.join(gap_lists(gaps), "model_id", "left").withColumn(
-        "gap_categories", F.coalesce("gap_categories", none)
+
+def summarise(scores: DataFrame, dataset: str = "custom") -> DataFrame:
+    """Means, counts and gap categories per model in one aggregation.
+
+    Score rows stay a table of their own, keyed the same way, instead of a list
+    nested in the summary, which one task would have to hold.
+    """
+    means = [
+        F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(name)
+        for name, c in MEANS.items()
+    ]
+    return (
+        scores.groupBy("model_id")
+        .agg(F.count("*").alias("n_samples"), *means, *_gap_counts())
+        .select(
+            "model_id",
+            F.lit(dataset).alias("dataset"),
+            "n_samples",
+            *MEANS,
+            F.transform(_gap_rows(), lambda r: r["gap_cat"]).alias("gap_categories"),
+        )
     )
 
 

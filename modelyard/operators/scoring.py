@@ -76,12 +76,12 @@ def batched_call(
 # --- n-gram and subsequence overlap ------------------------------------------
 
 
-def with_tokens(samples: DataFrame, stem: bool = True) -> DataFrame:
+def with_tokens(samples: DataFrame, stem: bool = True, *keep: str) -> DataFrame:
     """Key and the token lists of both sides: ``pred`` and ``ref``."""
     pred, ref = X.tokens(F.col("prediction")), X.tokens(F.col("reference"))
     if stem:
         pred, ref = X.stems(pred), X.stems(ref)
-    return samples.select(*KEY, pred.alias("pred"), ref.alias("ref"))
+    return samples.select(*KEY, *keep, pred.alias("pred"), ref.alias("ref"))
 
 
 def ngram_overlap(tokenised: DataFrame, *carry: str) -> DataFrame:
@@ -99,7 +99,7 @@ def ngram_overlap(tokenised: DataFrame, *carry: str) -> DataFrame:
         ]
     )
     placed = tokenised.repartition(*KEY)
-    rows = placed.select(*KEY, *carry, F.inline(grams)).select(
+    rows = placed.select(*KEY, *carry, F.inline_outer(grams)).select(
         *KEY, *carry, "n", "side", F.explode_outer("grams").alias("gram")
     )
     real = F.col("gram").isNotNull().cast("int")
@@ -144,10 +144,10 @@ def rouge_l(tokenised: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def rouge(samples: DataFrame, stem: bool = True) -> DataFrame:
+def rouge(samples: DataFrame, stem: bool = True, *carry: str) -> DataFrame:
     """All three overlap scores in one pass; an answer without tokens scores 0."""
-    toks = rouge_l(with_tokens(samples, stem), "pred", "ref")
-    return rouge_n(toks, "rougeL")
+    toks = rouge_l(with_tokens(samples, stem, *carry), "pred", "ref", *carry)
+    return rouge_n(toks, "rougeL", *carry)
 
 
 # --- embedding match ---------------------------------------------------------

@@ -57,7 +57,8 @@ def synthetic_rows(replies: DataFrame, *keep: str) -> DataFrame:
     """One row per JSON object in a reply's array; other items are skipped."""
     items = F.try_variant_get(parse_reply(F.col("raw")), "$", "array<variant>")
     return (
-        replies.select(*keep, "gap_cat", F.posexplode(items).alias("pos", "item"))
+        # The outer form is parsed once; the plain one would be tested for size first.
+        replies.select(*keep, "gap_cat", F.posexplode_outer(items).alias("pos", "item"))
         .filter(F.schema_of_variant("item").startswith("OBJECT"))
         .select(
             *keep,
@@ -106,7 +107,12 @@ def response_mask(chats: DataFrame, *keep: str) -> DataFrame:
     ).otherwise(0)
     return (
         chats.select(*keep, words(F.col("text")).alias("w"), spoken.alias("spoken"))
-        .select(*keep, (F.size("w") - F.col("spoken")).alias("from"), F.posexplode("w").alias("pos", "token"))
+        .select(
+            *keep,
+            (F.size("w") - F.col("spoken")).alias("from"),
+            F.posexplode_outer("w").alias("pos", "token"),
+        )
+        .filter(F.col("token").isNotNull())
         .select(*keep, "pos", "token", (F.col("pos") >= F.col("from")).alias("in_loss"))
     )
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 from modelyard.operators import discovery as D
 from modelyard.sources.views import CATEGORIES, duck, view
 
-BOUND = sum(len(w) for w in CATEGORIES.values()) * 50
-
-
 def _models(spark, sf):
     return view(spark, sf, "models")
 
@@ -19,7 +16,7 @@ def _found(spark, sf):
 
 
 def _scored(spark, sf):
-    return D.scored(D.with_card_quality(_found(spark, sf), view(spark, sf, "cards"), BOUND))
+    return D.scored(D.with_card_quality(_found(spark, sf), view(spark, sf, "cards")))
 
 
 def _blended(spark, sf):

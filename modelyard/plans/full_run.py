@@ -80,11 +80,11 @@ def full_run(
     answers = answers_of(evaluated)
     embedding = embedding_scores_of(answers) if embedding_scores_of else None
     run.scores = V.sample_scores(answers, embedding, stem=stem)
-    run.gaps = V.detect_gaps(run.scores, answers)
+    run.gaps = V.detect_gaps(run.scores)
     if not skip_training and replies_to:
         run.prompts = Y.gap_prompts(run.gaps)
         run.training_rows = Y.chat_rows(Y.synthetic_rows(replies_to(run.prompts)))
-    summary = V.summarise(run.scores, run.gaps, category)
+    summary = V.summarise(run.scores, category)
     run.record = R.run_records(
         summary,
         F.lit(f"{category}-{strategy}"),

@@ -32,8 +32,7 @@ def _scores(spark, sf, stem=False):
 
 
 def _summary(spark, sf):
-    scores = _scores(spark, sf)
-    return V.summarise(scores, V.detect_gaps(scores, _samples(spark, sf)), "chat")
+    return V.summarise(_scores(spark, sf), "chat")
 
 
 def _echo():
@@ -99,10 +98,10 @@ QUERIES = {
     ),
     "E13_pairwise_verdict": _judged,
     "E14_sample_scores": lambda s, d: _r6(
-        _scores(s, d).drop("ord", "gap_signals"), "rouge1", "rouge2", "rougeL", "faithfulness"
+        _scores(s, d).drop("ord", "gap_bits", "gap_signals"), "rouge1", "rouge2", "rougeL", "faithfulness"
     ),
     "E15_failing": lambda s, d: V.failing(_scores(s, d)).select(*KEY),
-    "E16_gap_categories": lambda s, d: V.detect_gaps(_scores(s, d), _samples(s, d)),
+    "E16_gap_categories": lambda s, d: V.detect_gaps(_scores(s, d)),
     "E17_summary": lambda s, d: _r6(
         _summary(s, d).withColumn("gap_categories", F.array_join("gap_categories", ",")), *_MEANS
     ),
