@@ -64,10 +64,15 @@ def _per_chunk(per_tensor: DataFrame) -> DataFrame:
 # --- spherical interpolation -------------------------------------------------
 
 
+def _last_chunk() -> Column:
+    """Highest chunk number. Asking for ``start`` keeps the exchange reusable."""
+    return F.max(F.when(F.col("start") >= 0, F.col("chunk")))
+
+
 def _slerp_figures(pairs: DataFrame) -> DataFrame:
     """Squared norms and dot product per tensor, summed map-side in double."""
-    both = pairs.filter(F.col("v0").isNotNull()).select(
-        "tensor", "chunk", F.posexplode("base").alias("pos", "x"), "v0"
+    both = pairs.select(
+        "tensor", "chunk", "start", "v0", F.posexplode_outer("base").alias("pos", "x")
     )
     x = F.col("x").cast("double")
     y = F.get("v0", F.col("pos")).cast("double")
@@ -75,12 +80,15 @@ def _slerp_figures(pairs: DataFrame) -> DataFrame:
         F.sum(x * x).alias("xx"),
         F.sum(y * y).alias("yy"),
         F.sum(x * y).alias("xy"),
-        F.max("chunk").alias("last"),
+        _last_chunk().alias("last"),
     )
 
 
 def slerp_weights(pairs: DataFrame, alpha: float) -> DataFrame:
-    """Two weights per tensor; straight-line weights for tiny norms or angles."""
+    """Two weights per tensor; straight-line weights for tiny norms or angles.
+
+    Both are null for a tensor without a match.
+    """
     n0, n1 = F.sqrt("xx"), F.sqrt("yy")
     cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / (n0 * n1)))
     figures = _slerp_figures(pairs).withColumn(
@@ -88,17 +96,15 @@ def slerp_weights(pairs: DataFrame, alpha: float) -> DataFrame:
     )
     theta = F.col("theta")
     straight = theta.isNull() | (F.abs(theta) < 1e-6)
+
     # An angle of pi has no guard in the specification; a plain division by the
     # (tiny, non-zero) sine is kept.
+    def weight(share: float) -> Column:
+        bent = F.try_divide(F.sin(share * theta), F.sin(theta))
+        return F.when(F.col("yy").isNull(), F.lit(None)).when(straight, F.lit(share)).otherwise(bent)
+
     return figures.select(
-        "tensor",
-        "last",
-        F.when(straight, F.lit(1.0 - alpha))
-        .otherwise(F.try_divide(F.sin((1.0 - alpha) * theta), F.sin(theta)))
-        .alias("w0"),
-        F.when(straight, F.lit(alpha))
-        .otherwise(F.try_divide(F.sin(alpha * theta), F.sin(theta)))
-        .alias("w1"),
+        "tensor", "last", weight(1.0 - alpha).alias("w0"), weight(alpha).alias("w1")
     )
 
 
@@ -152,7 +158,7 @@ def equal_weights(models: list[str]) -> list[float]:
 def _magnitudes(wide: DataFrame, n_models: int, *extra: str) -> DataFrame:
     """(tensor, model, |delta|) rows, made inside the stage that holds the chunks."""
     at = wide.select(
-        "tensor", "chunk", F.posexplode("base").alias("pos", "b"),
+        "tensor", "chunk", "start", F.posexplode_outer("base").alias("pos", "b"),
         *[f"d{i}" for i in range(n_models)], *extra,
     )
     per_model = F.array(
@@ -165,7 +171,9 @@ def _magnitudes(wide: DataFrame, n_models: int, *extra: str) -> DataFrame:
             for i in range(n_models)
         ]
     )
-    return at.select("tensor", "chunk", F.inline(per_model)).filter(F.col("mag").isNotNull())
+    return at.select("tensor", "chunk", "start", F.inline(per_model)).filter(
+        F.col("mag").isNotNull()
+    )
 
 
 def _bucket(mag: Column) -> Column:
@@ -187,7 +195,7 @@ def trim_thresholds(wide: DataFrame, n_models: int, density: float = K.DENSITY)
     coarse = (
         _magnitudes(wide, n_models)
         .groupBy(*key, _bucket(F.col("mag")).alias("bucket"))
-        .agg(F.count("*").alias("n"), F.max("chunk").alias("last"))
+        .agg(F.count("*").alias("n"), _last_chunk().alias("last"))
     )
     down = W.partitionBy(*key).orderBy(F.col("bucket").desc())
     whole = W.partitionBy(*key)
@@ -205,11 +213,12 @@ def trim_thresholds(wide: DataFrame, n_models: int, density: float = K.DENSITY)
     picked = _per_chunk(_across_models(chosen, n_models, "bucket", "rest", "last"))
     fine = (
         _magnitudes(
-            wide.join(picked, ["tensor", "chunk"], "inner"), n_models, "buckets", "rests", "lasts"
+            # A left join: an inner one would filter below the shared exchanges.
+            wide.join(picked, ["tensor", "chunk"], "left"), n_models, "buckets", "rests", "lasts"
         )
         .filter(_bucket(F.col("mag")) == F.col("bucket"))
         .groupBy(*key, "rest", "last", "mag")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count(F.when(F.col("start") >= 0, 1)).alias("n"))
     )
     down = W.partitionBy(*key).orderBy(F.col("mag").desc())
     return (

@@ -36,10 +36,16 @@ def chunked(whole: DataFrame, values: str, size: int = CHUNK) -> DataFrame:
 
 
 def elements(params: DataFrame, *keys: str) -> DataFrame:
-    """One row per element; runs inside the scan stage, nothing is shuffled."""
+    """One row per element; runs inside the stage at hand, nothing is shuffled.
+
+    The outer form matters when ``values`` is computed, e.g. by a merge: the plain
+    one is preceded by a size test that would compute the array a second time.
+    """
     keep = keys or ("model_id", "tensor")
-    return params.select(*keep, "start", F.posexplode("values").alias("pos", "value")).select(
-        *keep, (F.col("start") + F.col("pos")).alias("idx"), "value"
+    return (
+        params.select(*keep, "start", F.posexplode_outer("values").alias("pos", "value"))
+        .filter(F.col("pos").isNotNull())
+        .select(*keep, (F.col("start") + F.col("pos")).alias("idx"), "value")
     )
 
 
@@ -115,14 +121,17 @@ def aligned(params: DataFrame, base: str, models: list[str]) -> DataFrame:
 
     A model matches a tensor when it has one of equal shape; otherwise its column
     is null. All joins share the key (tensor, chunk): each side is shuffled once,
-    or not at all when the table is bucketed on it, and repeated uses within one
-    query reuse those exchanges.
+    or not at all when the table is bucketed on it. Several passes over one aligned
+    frame reuse those exchanges as long as each pass asks for the same columns and
+    adds no filter below them; the passes in this package take care to.
     """
-    out = params.filter(F.col("model_id") == base).select(
+    # Spelled out because a pass that joins per-tensor figures back implies it.
+    keyed = params.filter(F.col("tensor").isNotNull() & F.col("chunk").isNotNull())
+    out = keyed.filter(F.col("model_id") == base).select(
         "tensor", "chunk", "shape", "start", F.col("values").alias("base")
     )
     for i, model in enumerate(models):
-        side = params.filter(F.col("model_id") == model).select(
+        side = keyed.filter(F.col("model_id") == model).select(
             "tensor", "chunk", F.col("shape").alias("other"), F.col("values").alias(f"v{i}")
         )
         out = (

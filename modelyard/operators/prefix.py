@@ -21,14 +21,17 @@ def exclusive_running_total(
     """
     g = [group] if group else []
     down = F.col(order)
-    rows = rows.withColumn("_block", F.shiftright(down, bits))
+    # Spread once by block. Totals and windows below both read this exchange, so
+    # what feeds it runs once; the totals mention ``order`` to keep it shared.
+    rows = rows.withColumn("_block", F.shiftright(down, bits)).filter(down.isNotNull())
+    rows = rows.repartition(*g, "_block")
     before = (W.unboundedPreceding, -1)
 
     def lead_in(df: DataFrame, parts: list[str], by: str, name: str) -> DataFrame:
         window = W.partitionBy(*parts).orderBy(by).rowsBetween(*before)
         return df.withColumn(name, F.coalesce(F.sum("_n").over(window), F.lit(0).cast("bigint")))
 
-    totals = rows.groupBy(*g, "_block").agg(F.sum(value).alias("_n"))
+    totals = rows.groupBy(*g, "_block").agg(F.sum(F.when(down >= 0, F.col(value))).alias("_n"))
     totals = totals.withColumn("_super", F.shiftright("_block", bits))
     supers = totals.groupBy(*g, "_super").agg(F.sum("_n").alias("_n"))
     blocks = lead_in(totals, [*g, "_super"], "_block", "_in_super").drop("_n")

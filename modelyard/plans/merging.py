@@ -32,34 +32,32 @@ def _elected(spark, sf):
 
 
 def _low_rank(spark, sf):
-    """One matrix: a row per vector; 64 columns in four column chunks."""
-    tensor = F.lit("w").alias("tensor")
-    weight = P.chunked(
-        view(spark, sf, "embeddings").select(
-            F.lit("w").alias("model_id"),
-            F.col("vec_id").cast("string").alias("tensor"),
-            F.array(F.lit(64).cast("bigint")).alias("shape"),
-            "embedding",
-        ),
-        "embedding",
-        16,
-    ).select(tensor, F.col("tensor").cast("bigint").alias("row"), "chunk", "start", "values")
+    """Two matrices: a row per vector; 64 columns in four column chunks."""
+    width = 16
+    vectors = view(spark, sf, "embeddings")
+    weight = vectors.select(
+        F.concat(F.lit("w"), F.expr("label div 5")).alias("tensor"),
+        F.col("vec_id").alias("row"),
+        F.posexplode(
+            F.array(*[F.slice("embedding", c * width + 1, width) for c in range(64 // width)])
+        ).alias("chunk", "values"),
+    ).withColumn("start", F.col("chunk").cast("bigint") * width)
     side_a = (
         view(spark, sf, "adapter_a")
-        .groupBy("r", F.floor(F.col("col") / 16).cast("int").alias("chunk"))
+        .groupBy("tensor", "r", F.floor(F.col("col") / width).cast("int").alias("chunk"))
         .agg(F.sort_array(F.collect_list(F.struct("col", "value"))).alias("cells"))
-        .select(tensor, "r", "chunk", F.col("cells.value").alias("values"))
+        .select("tensor", "r", "chunk", F.col("cells.value").alias("values"))
     )
     side_b = view(spark, sf, "adapter_b").select(
-        tensor,
+        "tensor",
         "row",
-        F.array(*[F.when(F.col("r") == i, F.col("value")).otherwise(0.0) for i in range(10)]).alias(
+        F.array(*[F.when(F.col("r") == i, F.col("value")).otherwise(0.0) for i in range(5)]).alias(
             "factors"
         ),
     )
-    merged = G.merge_low_rank(weight, side_a, side_b, rank=10, alpha=32)
-    return P.elements(merged, "row").select(
-        "row", "idx", F.round(F.col("value").cast("double"), 6).alias("value")
+    merged = G.merge_low_rank(weight, side_a, side_b, rank=5, alpha=32)
+    return P.elements(merged, "tensor", "row").select(
+        "tensor", "row", "idx", F.round(F.col("value").cast("double"), 6).alias("value")
     )
 
 
@@ -186,8 +184,8 @@ SELECT model_id, tensor, idx, CAST(CAST(CASE WHEN value=0 THEN 0 ELSE round_even
     "M15_equal_weights": duck("params", _sum_sql("(1e0/3)")),
     "M16_low_rank_merge": duck(
         "adapter_a adapter_b",
-        """WITH w AS (SELECT vec_id AS row, unnest(range(len(embedding))) AS idx, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
-SELECT w.row, w.idx, round(CAST(CAST(v+32e0/10*coalesce(a.value*CAST(b.value AS DOUBLE),0) AS FLOAT) AS DOUBLE),6) AS value
-FROM w LEFT JOIN adapter_b b ON b.row=w.row LEFT JOIN adapter_a a ON a.r=b.r AND a.col=w.idx""",
+        """WITH w AS (SELECT concat('w',label//5) AS tensor, vec_id AS row, unnest(range(len(embedding))) AS idx, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT w.tensor, w.row, w.idx, round(CAST(CAST(v+32e0/5*coalesce(a.value*CAST(b.value AS DOUBLE),0) AS FLOAT) AS DOUBLE),6) AS value
+FROM w LEFT JOIN adapter_b b ON b.row=w.row LEFT JOIN adapter_a a ON a.tensor=b.tensor AND a.r=b.r AND a.col=w.idx""",
     ),
 }

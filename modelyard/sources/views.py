@@ -7,7 +7,7 @@ Spark and DuckDB read; ``{name}`` stands for a driver table or an earlier view.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelyard.operators.parameters import chunked
@@ -39,10 +39,6 @@ SELECT m.model_id, concat(t.text,CASE WHEN ord%2=0 THEN ' ## Model Details' ELSE
  CASE WHEN ord%7=1 THEN ' ## Evaluation' ELSE '' END,CASE WHEN ord%4=0 THEN ' ## limitations' ELSE '' END) AS card_text
 FROM (SELECT model_id, ord, ord%(SELECT count(*) FROM {documents}) AS doc_key FROM {models}) m
 JOIN {documents} t ON t.doc_id=m.doc_key WHERE t.lang<>'es'""",
-    "probe_losses": """
-SELECT m.model_id, q.probe, CASE WHEN m.tags IS NULL AND q.probe=2 THEN NULL
-  ELSE ((m.ord*13+q.probe*7)%50)/10e0 END AS loss
-FROM {models} m CROSS JOIN (SELECT 0 AS probe UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) q""",
     "samples": """
 SELECT concat('m',conv_id%3) AS model_id, concat(conv_id,'-',turn) AS sample_id, conv_id*100+turn AS ord,
  d.text AS context,
@@ -104,6 +100,10 @@ _DUCK_VALUES = "CASE WHEN vec_id%4=2 AND label=7 THEN embedding[1:60] ELSE embed
 FIXTURE_CHUNK = 16
 
 DUCK_ONLY = {
+    "probe_losses": """
+SELECT m.model_id, q.probe, CASE WHEN m.tags IS NULL AND q.probe=2 THEN NULL
+  ELSE ((m.ord*13+q.probe*7)%50)/10e0 END AS loss
+FROM {models} m CROSS JOIN (SELECT 0 AS probe UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) q""",
     "params": f"""
 SELECT model_id, tensor, len(vals) AS numel, unnest(range(len(vals))) AS idx, unnest(vals) AS value
 FROM ({_TENSORS.replace('{values}', _DUCK_VALUES)})""",
@@ -111,11 +111,10 @@ FROM ({_TENSORS.replace('{values}', _DUCK_VALUES)})""",
 SELECT vec_id//20 AS sample_id, CASE WHEN (vec_id//10)%2=0 THEN 'pred' ELSE 'ref' END AS side,
  vec_id%10 AS pos, embedding AS vec FROM {embeddings}""",
     "adapter_a": """
-SELECT label AS r, col, avg(v) AS value FROM (SELECT label, unnest(range(len(embedding))) AS col, unnest(embedding) AS v
-FROM {embeddings}) GROUP BY label, col""",
+SELECT concat('w',label//5) AS tensor, label%5 AS r, col, avg(v) AS value
+FROM (SELECT label, unnest(range(len(embedding))) AS col, unnest(embedding) AS v FROM {embeddings}) GROUP BY ALL""",
     "adapter_b": """
-SELECT vec_id AS row, label AS r, v AS value FROM (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS v,
- label FROM {embeddings}) WHERE i=label""",
+SELECT concat('w',label//5) AS tensor, vec_id AS row, label%5 AS r, embedding[label+1] AS value FROM {embeddings}""",
     "synthetic": """
 SELECT ord AS row_ord, context, question, CASE WHEN judge_raw IS NULL THEN '' ELSE prediction END AS answer,
  CASE (ord//100)%2 WHEN 0 THEN 'numerical' ELSE 'factual_recall' END AS gap_cat FROM {samples}""",
@@ -170,23 +169,40 @@ def _token_vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _matrix() -> Column:
+    """Labels 0-4 form one matrix, 5-9 another; the label is also the rank."""
+    return F.concat(F.lit("w"), F.expr("label div 5"))
+
+
 def _adapter_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-rank side A: one row per rank, the mean vector of that label."""
     entries = table(spark, sf_dir, "embeddings").select(
-        F.col("label").alias("r"), F.posexplode("embedding").alias("col", "v")
+        _matrix().alias("tensor"), F.expr("label % 5").alias("r"), F.posexplode("embedding").alias("col", "v")
     )
-    return entries.groupBy("r", "col").agg(F.avg("v").alias("value"))
+    return entries.groupBy("tensor", "r", "col").agg(F.avg("v").alias("value"))
 
 
 def _adapter_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-rank side B: each output row loads on the rank of its own label."""
     return table(spark, sf_dir, "embeddings").select(
+        _matrix().alias("tensor"),
         F.col("vec_id").alias("row"),
-        F.col("label").alias("r"),
+        F.expr("label % 5").alias("r"),
         F.get("embedding", F.col("label")).alias("value"),
     )
 
 
+def _probe_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = F.col("tags").isNull() & (F.col("probe") == 2)
+    return view(spark, sf_dir, "models").select(
+        "model_id", "ord", "tags", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("probe")
+    ).select(
+        "model_id",
+        "probe",
+        F.when(~failed, F.expr("((ord * 13 + probe * 7) % 50) / 10D")).alias("loss"),
+    )
+
+
 def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "samples").select(
         F.col("ord").alias("row_ord"),
@@ -205,6 +221,7 @@ _BUILT = {
     "adapter_a": _adapter_a,
     "adapter_b": _adapter_b,
     "synthetic": _synthetic,
+    "probe_losses": _probe_losses,
 }
 
 
