@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 20
+BLOCK_BITS = 16
 
 
 def exclusive_running_total(
@@ -21,9 +21,10 @@ def exclusive_running_total(
     """
     g = [group] if group else []
     down = F.col(order)
-    # Spread once by block. Totals and windows below both read this exchange, so
-    # what feeds it runs once; the totals mention ``order`` to keep it shared.
-    rows = rows.withColumn("_block", F.shiftright(down, bits)).filter(down.isNotNull())
+    # Spread once by block. Totals and windows below all read this exchange, so what
+    # feeds it runs once. To keep it shared, the totals mention ``order`` and the
+    # block number is never null (a nullable join key would add a filter below).
+    rows = rows.withColumn("_block", F.coalesce(F.shiftright(down, bits), F.lit(0).cast("bigint")))
     rows = rows.repartition(*g, "_block")
     before = (W.unboundedPreceding, -1)
 

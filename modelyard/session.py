@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,6 +25,9 @@ def local_session(cores: int | str = "*", app: str = "modelyard", **conf: str) -
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
@@ -36,10 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="modelyard-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="modelyard-")
+    return _local_dirs[app]
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
