@@ -1,4 +1,4 @@
-"""Number parsing, number formatting and float rounding as column expressions."""
+"""Number parsing and number formatting as column expressions."""
 
 from __future__ import annotations
 
@@ -33,18 +33,3 @@ def fixed(value: Column, places: int) -> Column:
 def grouped(value: Column) -> Column:
     """Integer text with thousands separators."""
     return F.format_number(value, 0)
-
-
-def bfloat16(value: Column) -> Column:
-    """Round a float32 to the nearest bfloat16, ties to even.
-
-    Eight significant bits survive. At exact powers of two the exponent estimate
-    may be off by one, which is harmless: such values are representable anyway.
-    """
-    x = value.cast("double")
-    special = x.isNull() | F.isnan(x) | (x == 0.0) | (F.abs(x) == float("inf"))
-    exponent = F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-126).cast("bigint"))
-    quantum = F.pow(F.lit(2.0), (exponent - 7).cast("double"))
-    return F.when(special, value.cast("float")).otherwise(
-        (F.rint(x / quantum) * quantum).cast("float")
-    )

@@ -1,56 +1,34 @@
 """Merging model weights, chunk against chunk.
 
 Every strategy returns chunk rows of the base layout, so results can be written,
-merged again or exploded. Per-tensor figures (norms, thresholds) are small, but
-they are not broadcast: they are spread over the chunk numbers of their tensor
-and joined on (tensor, chunk), the key the weights are already partitioned by.
-That moves no weights and leaves no tensor, however large, in one task.
+merged again or exploded. Joins bring the chunks of the models together, plain
+aggregations give the figures per tensor, and a small array kernel does the element
+arithmetic of one chunk.
+
+Per-tensor figures (weights, thresholds) are small, but they are not broadcast: they
+are spread over the chunk numbers of their tensor and joined on (tensor, chunk), the
+key the weights are already partitioned by. That moves no weights and leaves no
+tensor, however large, in one task.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modelyard import constants as K
-from modelyard.operators.parameters import aligned, with_deltas
-
-_NO_BUCKET = -1_000_000
-
-
-def _zip(n_models: int, prefix: str, *first: str) -> Column:
-    """Element structs of the base (or ``first``) and every model's array.
-
-    Passing the arrays as arguments matters: an array looked up by index inside a
-    lambda may be inlined by the optimizer and then be rebuilt for each element.
-    Unmatched models are null and become empty, hence null elements.
-    """
-    none = F.array().cast("array<float>")
-    return F.arrays_zip(
-        *[F.col(c) for c in first or ("base",)],
-        *[F.coalesce(f"{prefix}{i}", none).alias(f"{prefix}{i}") for i in range(n_models)],
-    )
-
-
-def _each(x: Column, n_models: int, prefix: str = "d") -> list[Column]:
-    return [x[f"{prefix}{i}"] for i in range(n_models)]
+from modelyard.functions import kernels as N
+from modelyard.operators.parameters import aligned
 
 
-def _sum(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts)
+def _models(n: int, prefix: str = "v") -> list[str]:
+    return [f"{prefix}{i}" for i in range(n)]
 
 
 def _result(wide: DataFrame, model_id: str, values: Column) -> DataFrame:
     return wide.select(
-        F.lit(model_id).alias("model_id"),
-        "tensor",
-        "shape",
-        "chunk",
-        "start",
-        F.coalesce(values.cast("array<float>"), F.col("base")).alias("values"),
+        F.lit(model_id).alias("model_id"), "tensor", "shape", "chunk", "start", values.alias("values")
     )
 
 
@@ -61,14 +39,14 @@ def _per_chunk(per_tensor: DataFrame) -> DataFrame:
     ).drop("last")
 
 
-# --- spherical interpolation -------------------------------------------------
-
-
 def _last_chunk() -> Column:
     """Highest chunk number. Asking for ``start`` keeps the exchange reusable."""
     return F.max(F.when(F.col("start") >= 0, F.col("chunk")))
 
 
+# --- spherical interpolation -------------------------------------------------
+
+
 def _slerp_figures(pairs: DataFrame) -> DataFrame:
     """Squared norms and dot product per tensor, summed map-side in double."""
     both = pairs.select(
@@ -85,10 +63,7 @@ def _slerp_figures(pairs: DataFrame) -> DataFrame:
 
 
 def slerp_weights(pairs: DataFrame, alpha: float) -> DataFrame:
-    """Two weights per tensor; straight-line weights for tiny norms or angles.
-
-    Both are null for a tensor without a match.
-    """
+    """Two weights per tensor; straight-line weights for tiny norms or angles."""
     n0, n1 = F.sqrt("xx"), F.sqrt("yy")
     cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / (n0 * n1)))
     figures = _slerp_figures(pairs).withColumn(
@@ -101,7 +76,7 @@ def slerp_weights(pairs: DataFrame, alpha: float) -> DataFrame:
     # (tiny, non-zero) sine is kept.
     def weight(share: float) -> Column:
         bent = F.try_divide(F.sin(share * theta), F.sin(theta))
-        return F.when(F.col("yy").isNull(), F.lit(None)).when(straight, F.lit(share)).otherwise(bent)
+        return F.when(straight, F.lit(share)).otherwise(bent)
 
     return figures.select(
         "tensor", "last", weight(1.0 - alpha).alias("w0"), weight(alpha).alias("w1")
@@ -115,12 +90,7 @@ def slerp(
     pairs = aligned(params, model_a, [model_b])
     weights = _per_chunk(slerp_weights(pairs, alpha))
     wide = pairs.join(weights, ["tensor", "chunk"], "left")
-    mixed = F.zip_with(
-        "base",
-        "v0",
-        lambda a, b: (F.col("w0") * a.cast("double") + F.col("w1") * b.cast("double")).cast("float"),
-    )
-    return _result(wide, name, F.when(F.col("w0").isNotNull(), mixed))
+    return _result(wide, name, N.per_chunk(N.mix)("base", "v0", "w0", "w1"))
 
 
 # --- sums of deltas ----------------------------------------------------------
@@ -135,17 +105,9 @@ def task_arithmetic(
     name: str = "merged",
 ) -> DataFrame:
     """Base plus scaled sum of deltas; ``weights`` turns the sum into a weighted one."""
-    weights = weights or [1.0] * len(models)
-    wide = with_deltas(aligned(params, base, models), len(models))
-
-    def moved(x: Column) -> Column:
-        parts = [
-            F.lit(w) * F.coalesce(d.cast("double"), F.lit(0.0))
-            for w, d in zip(weights, _each(x, len(models)))
-        ]
-        return (x["base"].cast("double") + F.lit(scaling) * _sum(parts)).cast("float")
-
-    return _result(wide, name, F.transform(_zip(len(models), "d"), moved))
+    wide = aligned(params, base, models)
+    move = N.per_chunk(N.weighted_move(scaling, weights or [1.0] * len(models)))
+    return _result(wide, name, move("base", *_models(len(models))))
 
 
 def equal_weights(models: list[str]) -> list[float]:
@@ -155,76 +117,83 @@ def equal_weights(models: list[str]) -> list[float]:
 # --- trimming by magnitude ---------------------------------------------------
 
 
-def _magnitudes(wide: DataFrame, n_models: int, *extra: str) -> DataFrame:
-    """(tensor, model, |delta|) rows, made inside the stage that holds the chunks."""
-    at = wide.select(
-        "tensor", "chunk", "start", F.posexplode_outer("base").alias("pos", "b"),
-        *[f"d{i}" for i in range(n_models)], *extra,
+def _counts(wide: DataFrame, n_models: int, histogram, key: str, *extra: str) -> DataFrame:
+    """Histogram rows (tensor, chunk, start, model, key, n) of every model's chunk.
+
+    ``extra`` names array columns with one value per model, which stay on the rows;
+    the first of them is the histogram's third argument.
+    """
+    count = N.per_chunk_counts(histogram, key)
+    counted = wide.select(
+        "tensor",
+        "chunk",
+        "start",
+        *extra,
+        *[count("base", v, *[F.col(c)[i] for c in extra[:1]]).alias(f"h{i}") for i, v in enumerate(_models(n_models))],
     )
     per_model = F.array(
         *[
             F.struct(
                 F.lit(i).alias("model"),
-                F.abs(F.get(f"d{i}", F.col("pos"))).alias("mag"),
+                F.col(f"h{i}").alias("h"),
                 *[F.col(c)[i].alias(c[:-1]) for c in extra],
             )
             for i in range(n_models)
         ]
     )
-    return at.select("tensor", "chunk", "start", F.inline(per_model)).filter(
-        F.col("mag").isNotNull()
-    )
-
-
-def _bucket(mag: Column) -> Column:
-    """Order-preserving bucket; at most about 2^15 distinct floats share one."""
-    return F.coalesce(
-        F.floor(F.log2(mag.cast("double")) * 256).cast("int"), F.lit(_NO_BUCKET)
+    names = [c[:-1] for c in extra]
+    return (
+        counted.select("tensor", "chunk", "start", F.inline_outer(per_model))
+        .select(
+            "tensor", "chunk", "start", "model", *names,
+            F.inline_outer(F.arrays_zip(F.col(f"h.{key}"), F.col("h.n"))),
+        )
+        .filter(F.col("n").isNotNull())
     )
 
 
 def trim_thresholds(wide: DataFrame, n_models: int, density: float = K.DENSITY) -> DataFrame:
     """Exact k-th largest |delta| per (tensor, model), k = max(1, int(n * density)).
 
-    Two histogram passes instead of a sort: counts per log bucket find the bucket
-    that holds rank k, then counts per distinct value inside that one bucket find
-    the value. Both counts combine map-side and their size does not depend on the
-    number of elements, so no tensor is ever gathered or sorted in one task.
+    A radix selection in two histogram passes instead of a sort: counts by the upper
+    16 bits of the magnitudes find the bucket that holds rank k, counts by the lower
+    16 bits inside that bucket find the value. Every chunk sends at most 2^15 and
+    2^16 counts, however many elements there are, and no tensor is gathered.
     """
     key = ["tensor", "model"]
-    coarse = (
-        _magnitudes(wide, n_models)
-        .groupBy(*key, _bucket(F.col("mag")).alias("bucket"))
-        .agg(F.count("*").alias("n"), _last_chunk().alias("last"))
-    )
-    down = W.partitionBy(*key).orderBy(F.col("bucket").desc())
     whole = W.partitionBy(*key)
-    chosen = (
-        coarse.withColumn("cum", F.sum("n").over(down.rowsBetween(W.unboundedPreceding, 0)))
+
+    def falling(by: str):
+        return whole.orderBy(F.col(by).desc()).rowsBetween(W.unboundedPreceding, 0)
+
+    upper = (
+        _counts(wide, n_models, N.upper_histogram, "bucket")
+        .groupBy(*key, "bucket")
+        .agg(F.sum("n").alias("n"), _last_chunk().alias("last"))
+        .withColumn("cum", F.sum("n").over(falling("bucket")))
         .withColumn("total", F.sum("n").over(whole))
         .withColumn("last", F.max("last").over(whole))
-        .withColumn(
-            "k",
-            F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("total") * F.lit(density)).cast("bigint")),
-        )
-        .filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("n") < F.col("k")))
-        .select(*key, "last", "bucket", (F.col("k") - (F.col("cum") - F.col("n"))).alias("rest"))
+    )
+    k = F.greatest(
+        F.lit(1).cast("bigint"), F.floor(F.col("total") * F.lit(density)).cast("bigint")
+    )
+    above = F.col("cum") - F.col("n")
+    chosen = (
+        upper.withColumn("k", k)
+        .filter((F.col("cum") >= F.col("k")) & (above < F.col("k")))
+        .select(*key, "last", "bucket", (F.col("k") - above).alias("rest"))
     )
     picked = _per_chunk(_across_models(chosen, n_models, "bucket", "rest", "last"))
-    fine = (
-        _magnitudes(
-            # A left join: an inner one would filter below the shared exchanges.
-            wide.join(picked, ["tensor", "chunk"], "left"), n_models, "buckets", "rests", "lasts"
-        )
-        .filter(_bucket(F.col("mag")) == F.col("bucket"))
-        .groupBy(*key, "rest", "last", "mag")
-        .agg(F.count(F.when(F.col("start") >= 0, 1)).alias("n"))
+    # A left join: an inner one would filter below the shared exchanges.
+    inside = wide.join(picked, ["tensor", "chunk"], "left")
+    lower = (
+        _counts(inside, n_models, N.lower_histogram, "low", "buckets", "rests", "lasts")
+        .groupBy(*key, "bucket", "rest", "last", "low")
+        .agg(F.sum(F.when(F.col("start") >= 0, F.col("n"))).alias("n"))
+        .withColumn("cum", F.sum("n").over(falling("low")))
     )
-    down = W.partitionBy(*key).orderBy(F.col("mag").desc())
-    return (
-        fine.withColumn("cum", F.sum("n").over(down.rowsBetween(W.unboundedPreceding, 0)))
-        .filter((F.col("cum") >= F.col("rest")) & (F.col("cum") - F.col("n") < F.col("rest")))
-        .select(*key, "last", F.col("mag").alias("threshold"))
+    return lower.filter((F.col("cum") >= F.col("rest")) & (above < F.col("rest"))).select(
+        *key, "last", N.value_of_bits("bucket", "low").alias("threshold")
     )
 
 
@@ -241,86 +210,58 @@ def _across_models(rows: DataFrame, n_models: int, *names: str) -> DataFrame:
     )
 
 
-def trimmed(wide: DataFrame, n_models: int, density: float = K.DENSITY) -> DataFrame:
-    """Zero the deltas strictly below their (tensor, model) threshold."""
-    limits = trim_thresholds(wide, n_models, density)
-    cut = limits.groupBy("tensor").agg(
-        F.max("last").alias("last"),
-        *[
-            F.max(F.when(F.col("model") == i, F.col("threshold"))).alias(f"t{i}")
-            for i in range(n_models)
-        ]
+def with_thresholds(wide: DataFrame, n_models: int, density: float) -> DataFrame:
+    """Attach the threshold of every model as ``t0, t1, ...``."""
+    cut = (
+        trim_thresholds(wide, n_models, density)
+        .groupBy("tensor")
+        .agg(
+            F.max("last").alias("last"),
+            *[
+                F.max(F.when(F.col("model") == i, F.col("threshold"))).alias(f"t{i}")
+                for i in range(n_models)
+            ],
+        )
     )
-    out = wide.join(_per_chunk(cut), ["tensor", "chunk"], "left")
-    for i in range(n_models):
-        out = out.withColumn(f"d{i}", _cut_below(f"d{i}", f"t{i}")).drop(f"t{i}")
-    return out
-
-
-def _cut_below(deltas: str, limit: str) -> Column:
-    zero = F.lit(0.0).cast("float")
-    return F.transform(deltas, lambda d: F.when(F.abs(d) < F.col(limit), zero).otherwise(d))
+    return wide.join(_per_chunk(cut), ["tensor", "chunk"], "left")
 
 
-def deltas(params: DataFrame, base: str, models: list[str]) -> DataFrame:
-    return with_deltas(aligned(params, base, models), len(models))
+def trimmed(params: DataFrame, base: str, models: list[str], density: float = K.DENSITY) -> DataFrame:
+    """Aligned chunks with trimmed deltas ``d0, d1, ...``: below the limit is zero."""
+    n = len(models)
+    wide = with_thresholds(aligned(params, base, models), n, density)
+    cut = N.per_chunk(N.cut_below)
+    return wide.select(
+        "tensor", "chunk", "shape", "start", "base",
+        *[cut("base", f"v{i}", f"t{i}").alias(f"d{i}") for i in range(n)],
+    )
 
 
 def trimmed_rows(params: DataFrame, base: str, models: list[str], density: float) -> DataFrame:
     """Trimmed deltas as chunk rows per model."""
-    cut = trimmed(deltas(params, base, models), len(models), density)
     parts = F.array(
-        *[F.struct(F.lit(m).alias("model_id"), F.col(f"d{i}").alias("values")) for i, m in enumerate(models)]
+        *[
+            F.struct(F.lit(m).alias("model_id"), F.col(f"d{i}").alias("values"))
+            for i, m in enumerate(models)
+        ]
     )
     return (
-        cut.select("tensor", "shape", "chunk", "start", F.inline(parts))
+        trimmed(params, base, models, density)
+        .select("tensor", "shape", "chunk", "start", F.inline_outer(parts))
         .filter(F.col("values").isNotNull())
         .select("model_id", "tensor", "shape", "chunk", "start", "values")
     )
 
 
-# --- sign election -----------------------------------------------------------
-
-
-def _vote(ds: list[Column]) -> Column:
-    votes = _sum([F.coalesce(F.signum(d), F.lit(0.0)) for d in ds])
-    return F.when(votes < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-
-
-def with_elected(wide: DataFrame, n_models: int) -> DataFrame:
-    """Sign of the vote count per element; a tie elects plus."""
-    return wide.withColumn(
-        "elected", F.transform(_zip(n_models, "d"), lambda x: _vote(_each(x, n_models)))
+def elected(params: DataFrame, base: str, models: list[str], density: float = K.DENSITY) -> DataFrame:
+    """Elected sign per element of the trimmed deltas, as chunk rows."""
+    cut = trimmed(params, base, models, density)
+    return cut.select(
+        "tensor", "chunk", "start",
+        N.per_chunk(N.elected_signs)("base", *_models(len(models), "d")).alias("values"),
     )
 
 
-def _agreeing_mean(sign: Column, ds: list[Column], weights: list[float]) -> Column:
-    """Mean over the deltas whose sign is the elected one, 0 where none agrees."""
-    agrees = [F.signum(d) == sign for d in ds]
-    zero = F.lit(0.0)
-    total = _sum(
-        [
-            F.when(ok, F.lit(w) * d.cast("double")).otherwise(zero)
-            for ok, d, w in zip(agrees, ds, weights)
-        ]
-    )
-    mass = _sum([F.when(ok, F.lit(w)).otherwise(zero) for ok, w in zip(agrees, weights)])
-    return F.when(mass > 0, total / mass).otherwise(zero)
-
-
-def _elect_and_merge(
-    wide: DataFrame, n_models: int, scaling: float, weights: list[float] | None, name: str
-) -> DataFrame:
-    weights = weights or [1.0] * n_models
-
-    def moved(x: Column) -> Column:
-        step = _agreeing_mean(x["elected"], _each(x, n_models), weights)
-        return (x["base"].cast("double") + F.lit(scaling) * step).cast("float")
-
-    voted = with_elected(wide, n_models)
-    return _result(voted, name, F.transform(_zip(n_models, "d", "base", "elected"), moved))
-
-
 def ties(
     params: DataFrame,
     base: str,
@@ -331,48 +272,21 @@ def ties(
     name: str = "merged",
 ) -> DataFrame:
     """Trim, elect a sign per element, merge what agrees. Unmatched tensors keep base."""
-    cut = trimmed(deltas(params, base, models), len(models), density)
-    return _elect_and_merge(cut, len(models), scaling, weights, name)
+    n = len(models)
+    wide = with_thresholds(aligned(params, base, models), n, density)
+    vote = N.per_chunk(N.trimmed_vote(scaling, weights or [1.0] * n))
+    return _result(wide, name, vote("base", *_models(n), *_models(n, "t")))
 
 
 # --- random drop -------------------------------------------------------------
 
 
-def keep_draws(head: Column, first: Column, like: str) -> Column:
-    """A 32-bit draw per element from a per-tensor number: equal on every retry."""
-    width = F.lit(2**32)
-
-    def spread(idx: Column) -> Column:
-        return (head + (idx % F.lit(2**31)) * F.lit(2654435761) + F.shiftright(idx, 31)) % width
-
-    def fold(x: Column) -> Column:
-        return x.bitwiseXOR(F.shiftright(x, 16))
-
-    draws = F.transform(like, lambda _, pos: spread(first + pos))
-    for _ in range(2):
-        draws = F.transform(draws, lambda x: (fold(x) * F.lit(73244475)) % width)
-    return F.transform(draws, fold)
-
-
 def draw_head(seed: int, model: str) -> Column:
+    """A 32-bit number per (seed, model, tensor) from which the draws derive."""
     text = F.concat(F.lit(f"{seed}:{model}:"), F.col("tensor"))
     return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint")
 
 
-def dropped(wide: DataFrame, models: list[str], density: float, seed: int) -> DataFrame:
-    """Drop elements with probability 1 - density and scale the rest by 1 / density."""
-    limit = F.lit(int(density * 2**32))
-
-    def keep(d: Column, draw: Column) -> Column:
-        scaled = (d.cast("double") / F.lit(density)).cast("float")
-        return F.when(draw < limit, scaled).otherwise(F.lit(0.0).cast("float"))
-
-    for i, model in enumerate(models):
-        draws = keep_draws(draw_head(seed, model), F.col("start"), f"d{i}")
-        wide = wide.withColumn(f"d{i}", F.zip_with(f"d{i}", draws, keep))
-    return wide
-
-
 def dare_ties(
     params: DataFrame,
     base: str,
@@ -384,8 +298,11 @@ def dare_ties(
     name: str = "merged",
 ) -> DataFrame:
     """Random drop and rescale, then the sign election of the trimmed merge."""
-    thinned = dropped(deltas(params, base, models), models, density, seed)
-    return _elect_and_merge(thinned, len(models), scaling, weights, name)
+    n = len(models)
+    wide = aligned(params, base, models)
+    vote = N.per_chunk(N.thinned_vote(scaling, weights or [1.0] * n, density))
+    heads = [draw_head(seed, m) for m in models]
+    return _result(wide, name, vote("start", "base", *_models(n), *heads))
 
 
 # --- consensus ---------------------------------------------------------------
@@ -403,24 +320,12 @@ def breadcrumbs(
 
     ``density`` is accepted and has no effect, as specified.
     """
-    n = len(models)
-    wide = deltas(params, base, models)
-
-    def moved(x: Column) -> Column:
-        ds = _each(x, n)
-        signs = [F.signum(d) for d in ds]
-        low, high = (F.least(*signs), F.greatest(*signs)) if n > 1 else (signs[0], signs[0])
-        count = _sum([d.isNotNull().cast("int") for d in ds])
-        mean = F.try_divide(_sum([F.coalesce(d.cast("double"), F.lit(0.0)) for d in ds]), count)
-        step = F.when((low == high) & (F.abs(mean) >= epsilon), mean).otherwise(F.lit(0.0))
-        return (x["base"].cast("double") + step).cast("float")
-
-    return _result(wide, name, F.transform(_zip(n, "d"), moved))
+    wide = aligned(params, base, models)
+    return _result(wide, name, N.per_chunk(N.consensus(epsilon))("base", *_models(len(models))))
 
 
 # --- low-rank adapters -------------------------------------------------------
 
-
 ROW_GROUP = 1024
 
 
@@ -447,7 +352,10 @@ def merge_low_rank(
     groups = (
         side_b.groupBy("tensor")
         .agg(F.max("row").alias("top"))
-        .select("tensor", F.explode(F.sequence(F.lit(0).cast("bigint"), _row_group(F.col("top")))).alias("grp"))
+        .select(
+            "tensor",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), _row_group(F.col("top")))).alias("grp"),
+        )
     )
     blocks = side_a.groupBy("tensor", "chunk").agg(
         *[
@@ -460,25 +368,12 @@ def merge_low_rank(
         .join(side_b, ["tensor", "row"], "left")
         .join(blocks.join(groups, "tensor"), ["tensor", "chunk", "grp"], "left")
     )
-    scale = F.lit(alpha / rank)
-
-    none = F.array().cast("array<double>")
-    runs = F.arrays_zip(
-        F.col("values").alias("w"),
-        *[F.coalesce(F.col(f"a{i}").cast("array<double>"), none).alias(f"a{i}") for i in range(rank)],
+    fold = N.per_chunk(N.fold_low_rank(alpha / rank))
+    return joined.select(
+        "tensor", "row", "chunk", "start",
+        fold("values", "factors", *_models(rank, "a")).alias("values"),
     )
 
-    def folded(x: Column) -> Column:
-        product = _sum(
-            [
-                F.coalesce(F.get("factors", F.lit(i)).cast("double") * x[f"a{i}"], F.lit(0.0))
-                for i in range(rank)
-            ]
-        )
-        return (x["w"].cast("double") + scale * product).cast("float")
-
-    return joined.select("tensor", "row", "chunk", "start", F.transform(runs, folded).alias("values"))
-
 
 # --- dispatch ----------------------------------------------------------------
 

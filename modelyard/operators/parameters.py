@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelyard import constants as K
-from modelyard.functions.numbers import bfloat16
+from modelyard.functions import kernels as N
 
 CHUNK = 65_536
 
@@ -113,7 +113,7 @@ def layer_groups(params: DataFrame) -> DataFrame:
 
 def to_bfloat16(params: DataFrame) -> DataFrame:
     """Round every element to bfloat16 precision, chunk by chunk."""
-    return params.withColumn("values", F.transform("values", bfloat16))
+    return params.withColumn("values", N.per_chunk(N.round_bfloat16)("values"))
 
 
 def aligned(params: DataFrame, base: str, models: list[str]) -> DataFrame:
@@ -142,22 +142,13 @@ def aligned(params: DataFrame, base: str, models: list[str]) -> DataFrame:
     return out
 
 
-def with_deltas(wide: DataFrame, n_models: int) -> DataFrame:
-    """Replace ``v_i`` by ``d_i`` = model minus base, in float32; null stays null."""
-    for i in range(n_models):
-        wide = wide.withColumn(
-            f"d{i}", F.zip_with(f"v{i}", "base", lambda v, b: v - b)
-        ).drop(f"v{i}")
-    return wide
-
-
 def delta(params: DataFrame, base: str, model: str) -> DataFrame:
     """Chunked deltas of one model on the tensors it shares with the base."""
     return (
-        with_deltas(aligned(params, base, [model]), 1)
-        .filter(F.col("d0").isNotNull())
+        aligned(params, base, [model])
+        .filter(F.col("v0").isNotNull())
         .select(
             F.lit(model).alias("model_id"), "tensor", "shape", "chunk", "start",
-            F.col("d0").alias("values"),
+            N.per_chunk(N.difference)("base", "v0").alias("values"),
         )
     )

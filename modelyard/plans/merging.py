@@ -23,11 +23,8 @@ def _rows(chunks, *keys):
 
 
 def _elected(spark, sf):
-    wide = G.with_elected(
-        G.trimmed(G.deltas(_params(spark, sf), BASE, MODELS), len(MODELS)), len(MODELS)
-    )
-    return P.elements(wide.select("tensor", "start", F.col("elected").alias("values")), "tensor").select(
-        "tensor", "idx", F.col("value").alias("elected")
+    return P.elements(G.elected(_params(spark, sf), BASE, MODELS), "tensor").select(
+        "tensor", "idx", F.col("value").cast("double").alias("elected")
     )
 
 

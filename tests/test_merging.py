@@ -106,7 +106,7 @@ def test_thresholds_over_many_magnitudes(spark):
     x = (rng.choice([-1, 1], 3000) * 2.0 ** rng.uniform(-140, 100, 3000)).astype(np.float32)
     x[:400] = 0
     models = {"base": base, "x": {"w": x}}
-    wide = G.deltas(make(spark, models, 64), "base", ["x"])
+    wide = P.aligned(make(spark, models, 64), "base", ["x"])
     for density in (0.01, 0.5, 0.86, 0.87, 1.0):
         got = G.trim_thresholds(wide, 1, density).first().threshold
         k = max(1, int(3000 * density))
