@@ -182,25 +182,42 @@ def length_batches(chats: DataFrame, order: str, batch_size: int = K.TRAIN_BATCH
 # --- improvement loop --------------------------------------------------------
 
 
+ITERATION_BLOCK = 65_536
+
+
 def loop_decisions(history: DataFrame, target: float = K.TARGET_ROUGE) -> DataFrame:
     """Where each loop stops and why, and the best score up to there.
 
-    Expects ``loop_id, iteration, avg_rouge1, n_gaps, n_syn``. Both passes are
-    plain aggregations that combine map-side; no loop is sorted or gathered.
+    Expects ``loop_id, iteration, avg_rouge1, n_gaps, n_syn`` with unique iterations
+    per loop. The stop is found by a minimum that combines map-side. It is joined
+    back on the loop and a block of iterations, so a loop with a third of all rows
+    still spreads over many tasks; a loop shorter than a block has one row there.
     """
     reason = (
         F.when(F.col("avg_rouge1") >= target, "target reached")
         .when(F.col("n_gaps") == 0, "no gaps")
         .when(F.col("n_syn") == 0, "no synthetic rows")
     )
+    block = F.floor(F.col("iteration") / ITERATION_BLOCK)
     stops = (
         history.withColumn("reason", reason)
         .groupBy("loop_id")
-        .agg(F.min(F.when(F.col("reason").isNotNull(), F.struct("iteration", "reason"))).alias("stop"))
-        .select("loop_id", F.col("stop.iteration").alias("stopped_at"), F.col("stop.reason").alias("reason"))
+        .agg(
+            F.min(F.when(F.col("reason").isNotNull(), F.struct("iteration", "reason"))).alias("stop"),
+            F.min(block).alias("first"),
+            F.max(block).alias("last"),
+        )
+        .select(
+            "loop_id",
+            F.col("stop.iteration").alias("stopped_at"),
+            F.col("stop.reason").alias("reason"),
+            F.explode(F.sequence("first", "last")).alias("block"),
+        )
     )
-    ran = history.join(stops, "loop_id").filter(
-        F.col("stopped_at").isNull() | (F.col("iteration") <= F.col("stopped_at"))
+    ran = (
+        history.select("loop_id", "iteration", "avg_rouge1", block.alias("block"))
+        .join(stops, ["loop_id", "block"])
+        .filter(F.col("stopped_at").isNull() | (F.col("iteration") <= F.col("stopped_at")))
     )
     return ran.groupBy("loop_id").agg(
         F.max("stopped_at").alias("stopped_at"),

@@ -1,7 +1,9 @@
 """One run from discovery to the run record, composed of the operators.
 
 The only values brought to the driver are the ids of the shortlist (at most
-``top_k``), which name the weights to merge.
+``top_k``), which name the weights to merge. Score rows are written to the shared
+folder once: gaps, prompts and the record read that table, so answers are scored
+once and a lost executor costs no second evaluation.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from modelyard.operators import evaluation as V
 from modelyard.operators import merging as G
 from modelyard.operators import reports as R
 from modelyard.operators import synthetic as Y
+from modelyard.session import new_shared_path
 
 MERGED_MODELS = 3
 
@@ -79,7 +82,10 @@ def full_run(
 
     answers = answers_of(evaluated)
     embedding = embedding_scores_of(answers) if embedding_scores_of else None
-    run.scores = V.sample_scores(answers, embedding, stem=stem)
+    spark = answers.sparkSession
+    saved = new_shared_path(spark, "scores")
+    V.sample_scores(answers, embedding, stem=stem).write.parquet(saved)
+    run.scores = spark.read.parquet(saved)
     run.gaps = V.detect_gaps(run.scores)
     if not skip_training and replies_to:
         run.prompts = Y.gap_prompts(run.gaps)

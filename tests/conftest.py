@@ -10,7 +10,9 @@ from modelyard.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, spark__ui__showConsoleProgress="false")
+    session = local_session(
+        4, spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="3"
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
