@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from modelyard import constants as K
 from modelyard.functions.stemming import porter
@@ -16,23 +18,28 @@ from modelyard.functions.stemming import porter
 
 def tokens(text: Column) -> Column:
     """Lowercased runs of ``[a-z0-9]``."""
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
-    return F.filter(F.split(clean, " "), lambda t: t != "")
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    return F.array_remove(F.split(lowered, "[^a-z0-9]+"), "")
 
 
-@pandas_udf(T.ArrayType(T.StringType()))
-def stems(lists: pd.Series) -> pd.Series:
-    """Porter stems of tokens longer than three; once per distinct word of a batch."""
-    known: dict[str, str] = {}
+def _stem(token: str) -> str:
+    return porter(token) if len(token) > 3 else token
+
+
+def _encoded(lists: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All tokens of a batch as codes, and where each row's tokens end."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    return lists.flatten().dictionary_encode(), np.concatenate([[0], np.cumsum(sizes)])
 
-    def stem(token: str) -> str:
-        if len(token) <= 3:
-            return token
-        if token not in known:
-            known[token] = porter(token)
-        return known[token]
 
-    return lists.map(lambda ts: [stem(t) for t in ts], na_action="ignore")
+@arrow_udf(T.ArrayType(T.StringType()))
+def stems(lists: pa.Array) -> pa.Array:
+    """Porter stems of tokens longer than three; once per distinct word of a batch."""
+    coded, ends = _encoded(lists)
+    stemmed = pa.array([_stem(t) for t in coded.dictionary.to_pylist()], pa.string())
+    return pa.ListArray.from_arrays(
+        pa.array(ends.astype(np.int32)), stemmed.take(coded.indices), mask=lists.is_null()
+    )
 
 
 def common_subsequence(a, b) -> int:
@@ -51,18 +58,53 @@ def common_subsequence(a, b) -> int:
     return len(a) - row.bit_count()
 
 
-@pandas_udf(T.IntegerType())
-def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([common_subsequence(list(a), list(b)) for a, b in zip(left, right)], dtype="int32")
-
-
-def pairs(toks: Column) -> Column:
-    """Adjacent token pairs; a space cannot occur inside a token."""
-    return F.zip_with(
-        F.slice(toks, F.lit(1), F.greatest(F.size(toks) - 1, F.lit(0))),
-        F.slice(toks, F.lit(2), F.greatest(F.size(toks) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
+def clipped_matches(a, b) -> int:
+    """Items common to both lists, each as often as the rarer side has it."""
+    left: dict = {}
+    for t in a:
+        left[t] = left.get(t, 0) + 1
+    found = 0
+    for t in b:
+        n = left.get(t, 0)
+        if n:
+            left[t] = n - 1
+            found += 1
+    return found
+
+
+def overlap(stem: bool):
+    """Column function of two token lists: matches of single tokens (m1), of adjacent
+    pairs (m2) and the common subsequence (lcs).
+
+    Both lists sit in one row, so nothing is shuffled. Tokens are coded as integers,
+    and stemmed, once per distinct word of a batch.
+    """
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        flat = pa.concat_arrays([left.flatten(), right.flatten()]).dictionary_encode()
+        words = flat.dictionary.to_pylist()
+        number: dict[str, int] = {}
+        codes = np.array(
+            [number.setdefault(_stem(w) if stem else w, len(number)) for w in words], np.int64
+        )[flat.indices.to_numpy()] if words else np.empty(0, np.int64)
+        pairs = codes[:-1] * len(number) + codes[1:]
+
+        def rows(lists: pa.Array, at: int):
+            for n in lists.value_lengths().fill_null(0).to_pylist():
+                yield codes[at : at + n].tolist(), pairs[at : at + max(n - 1, 0)].tolist()
+                at += n
+
+        counts = [
+            (clipped_matches(a, b), clipped_matches(a2, b2), common_subsequence(a, b))
+            for (a, a2), (b, b2) in zip(rows(left, 0), rows(right, len(left.flatten())))
+        ]
+        columns = list(zip(*counts)) if counts else [[], [], []]
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.int32()) for c in columns], names=["m1", "m2", "lcs"]
+        )
+
+    fields = [T.StructField(n, T.IntegerType()) for n in ("m1", "m2", "lcs")]
+    return arrow_udf(run, T.StructType(fields))
 
 
 def f_measure(overlap: Column, n_prediction: Column, n_reference: Column) -> Column:
@@ -80,8 +122,6 @@ def hallucination_words(prediction: Column) -> Column:
 
 def fill(template: str, **columns: Column) -> Column:
     """Template with ``{name}`` slots as one concat; other braces stay literal."""
-    import re
-
     parts = []
     for piece in re.split(r"(\{[a-z_]+\})", template):
         slot = piece[1:-1] if piece.startswith("{") and piece.endswith("}") else None

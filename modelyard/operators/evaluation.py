@@ -51,12 +51,11 @@ def sample_scores(
     run_judge: bool = True,
     stem: bool = True,
 ) -> DataFrame:
-    """One score row per answer, from one scan and one shuffle of the answers.
+    """One score row per answer, decided inside the row: one scan, no shuffle.
 
-    What is decided inside a row (faithfulness, judge, category keywords) rides
-    along as numbers through the n-gram count. ``embedding_scores`` holds
-    (model_id, sample_id, bertscore_f1); an answer missing from it scores 0.
-    ``gap_signals`` exists and stays empty.
+    ``embedding_scores`` holds (model_id, sample_id, bertscore_f1) and is joined by
+    answer; an answer missing from it scores 0. ``gap_signals`` exists and stays
+    empty.
     """
     faith = S.faithfulness(F.col("nli_label"), F.col("nli_score"))
     judged = S.judge_score(F.col("judge_raw")) if run_judge else F.lit(K.DEFAULT_JUDGE)

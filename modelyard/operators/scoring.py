@@ -76,80 +76,38 @@ def batched_call(
 # --- n-gram and subsequence overlap ------------------------------------------
 
 
-def with_tokens(samples: DataFrame, stem: bool = True, *keep: str) -> DataFrame:
+def with_tokens(samples: DataFrame, stem: bool = True) -> DataFrame:
     """Key and the token lists of both sides: ``pred`` and ``ref``."""
     pred, ref = X.tokens(F.col("prediction")), X.tokens(F.col("reference"))
     if stem:
         pred, ref = X.stems(pred), X.stems(ref)
-    return samples.select(*KEY, *keep, pred.alias("pred"), ref.alias("ref"))
+    return samples.select(*KEY, pred.alias("pred"), ref.alias("ref"))
 
 
-def ngram_overlap(tokenised: DataFrame, *carry: str) -> DataFrame:
-    """Clipped n-gram matches for n = 1, 2 and the n-gram totals of both sides.
+def rouge(samples: DataFrame, stem: bool = True, *keep: str) -> DataFrame:
+    """F-measures of single tokens, token pairs and the common subsequence.
 
-    The token rows are spread by key once; counting per n-gram and then per
-    answer both reuse that partitioning, so no n-gram is ever shuffled. Numeric
-    per-answer columns named in ``carry`` pass through. Empty lists keep a row.
+    Decided inside the row, so a scan of any size needs no shuffle. An answer
+    without tokens scores 0.
     """
-    grams = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("grams"))
-            for n, make in ((1, lambda c: c), (2, X.pairs))
-            for side, g in ((0, make(F.col("pred"))), (1, make(F.col("ref"))))
-        ]
-    )
-    placed = tokenised.repartition(*KEY)
-    rows = placed.select(*KEY, *carry, F.inline_outer(grams)).select(
-        *KEY, *carry, "n", "side", F.explode_outer("grams").alias("gram")
-    )
-    real = F.col("gram").isNotNull().cast("int")
-    counted = rows.groupBy(*KEY, "n", "gram").agg(
-        F.sum(real * (1 - F.col("side"))).alias("p"),
-        F.sum(real * F.col("side")).alias("r"),
-        *[F.max(c).alias(c) for c in carry],
-    )
-
-    def when_n(n: int, value: Column) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, value)), F.lit(0).cast("bigint"))
-
-    return counted.groupBy(*KEY).agg(
-        *[
-            when_n(n, value).alias(f"{name}{n}")
-            for n in (1, 2)
-            for name, value in (
-                ("m", F.least("p", "r")),
-                ("p", F.col("p")),
-                ("r", F.col("r")),
-            )
-        ],
-        *[F.max(c).alias(c) for c in carry],
-    )
-
-
-def rouge_n(tokenised: DataFrame, *carry: str) -> DataFrame:
-    return ngram_overlap(tokenised, *carry).select(
-        *KEY,
-        X.f_measure(F.col("m1"), F.col("p1"), F.col("r1")).alias("rouge1"),
-        X.f_measure(F.col("m2"), F.col("p2"), F.col("r2")).alias("rouge2"),
-        *carry,
-    )
-
-
-def rouge_l(tokenised: DataFrame, *keep: str) -> DataFrame:
-    """Row-local: the two token lists of an answer never leave their row."""
-    return tokenised.select(
+    counted = (
+        samples.withColumn("_p", X.tokens(F.col("prediction")))
+        .withColumn("_r", X.tokens(F.col("reference")))
+        .withColumn("_o", X.overlap(stem)("_p", "_r"))
+    )
+    n_p, n_r = F.size("_p"), F.size("_r")
+    none = F.lit(0)
+    return counted.select(
         *KEY,
         *keep,
-        X.f_measure(X.lcs_length("pred", "ref"), F.size("pred"), F.size("ref")).alias("rougeL"),
+        X.f_measure(F.col("_o.m1"), n_p, n_r).alias("rouge1"),
+        X.f_measure(
+            F.col("_o.m2"), F.greatest(n_p - 1, none), F.greatest(n_r - 1, none)
+        ).alias("rouge2"),
+        X.f_measure(F.col("_o.lcs"), n_p, n_r).alias("rougeL"),
     )
 
 
-def rouge(samples: DataFrame, stem: bool = True, *carry: str) -> DataFrame:
-    """All three overlap scores in one pass; an answer without tokens scores 0."""
-    toks = rouge_l(with_tokens(samples, stem, *carry), "pred", "ref", *carry)
-    return rouge_n(toks, "rougeL", *carry)
-
-
 # --- embedding match ---------------------------------------------------------
 
 TOKEN_BLOCK = 256

@@ -68,13 +68,9 @@ QUERIES = {
     "E3_stems": lambda s, d: S.with_tokens(_samples(s, d)).select(
         *KEY, F.posexplode("pred").alias("pos", "token")
     ),
-    "E4_rouge1": lambda s, d: _r6(
-        S.rouge_n(S.with_tokens(_samples(s, d), False)).select(*KEY, "rouge1"), "rouge1"
-    ),
-    "E5_rouge2": lambda s, d: _r6(
-        S.rouge_n(S.with_tokens(_samples(s, d), False)).select(*KEY, "rouge2"), "rouge2"
-    ),
-    "E6_rougeL": lambda s, d: _r6(S.rouge_l(S.with_tokens(_samples(s, d), False)), "rougeL"),
+    "E4_rouge1": lambda s, d: _r6(S.rouge(_samples(s, d), False).select(*KEY, "rouge1"), "rouge1"),
+    "E5_rouge2": lambda s, d: _r6(S.rouge(_samples(s, d), False).select(*KEY, "rouge2"), "rouge2"),
+    "E6_rougeL": lambda s, d: _r6(S.rouge(_samples(s, d), False).select(*KEY, "rougeL"), "rougeL"),
     "E4_E6_rouge_stemmed": lambda s, d: _r6(S.rouge(_samples(s, d)), "rouge1", "rouge2", "rougeL"),
     "E7_bertscore_f1": lambda s, d: _r6(
         S.embedding_f1(view(s, d, "token_vecs"), baseline=0.1), "bertscore_f1"
