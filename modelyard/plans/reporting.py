@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modelyard.operators import discovery as D
 from modelyard.operators import parameters as P
 from modelyard.operators import reports as R
 from modelyard.plans import discovery as PD
+from modelyard.plans import merging as PM
 from modelyard.plans import scoring as PS
 from modelyard.plans import training as PT
 from modelyard.plans.full_run import full_run
@@ -165,8 +165,6 @@ named AS (SELECT 'ties_'||string_agg(split_part(model_id,'/',-1),'_' ORDER BY pl
  string_agg(model_id,',' ORDER BY place) AS base_models FROM short)"""
 _MERGE2 = """d AS (SELECT f.model_id, f.tensor, f.idx, f.value-b.value AS d FROM params f JOIN params b ON b.model_id='m0'
  AND f.tensor=b.tensor AND f.idx=b.idx AND f.numel=b.numel WHERE f.model_id IN ('m1','m2'))"""
-from modelyard.plans import merging as PM  # noqa: E402
-
 ORACLE = {
     "R1_workload_prompts": duck(
         "responses",

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from modelyard.operators import merging as G
 from modelyard.operators import parameters as P
