@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "modelyard", **conf: str) -> SparkSession:
@@ -25,24 +24,19 @@ def local_session(cores: int | str = "*", app: str = "modelyard", **conf: str) -
     return builder.getOrCreate()
 
 
-_local_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    Only a local session may fall back to a folder of this machine.
-    """
+    """Folder every executor can reach: spark.checkpoint.dir, else the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="modelyard-")
-    return _local_dirs[app]
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/written"
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once and written to the shared folder; its lineage ends there."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
