@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from modelyard.plans import catalog
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,11 +18,11 @@ def duck():
 
 def test_every_check_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(catalog.queries()) - set(catalog.oracle_sql())
     assert without == {"E3_stems", "E4_E6_rouge_stemmed"}
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, duck, name):
     ok, note = compare(spark, duck, SF_DIR, name)
     assert ok, note
