@@ -40,3 +40,10 @@ def settled(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df computed once and written to the shared folder as compressed columns."""
+    path = new_shared_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
