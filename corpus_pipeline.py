@@ -18,10 +18,7 @@ from modelyard.sources.tables import table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
-    model = quality_rules.fit(*quality_rules.with_signals(docs))
-    verdict = quality_rules.verdict(docs, model)
-    name = verdict.columns[-1]
-    return verdict.filter(F.col(name)).drop(name)
+    return quality_rules.kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelyard.llm.text import NOT_SPACE, free_name, let, once, words
+from modelyard.session import settled, written
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -206,8 +207,13 @@ def _failed(s: Column) -> Column:
 
 
 def judge(docs: DataFrame, text: str = "text", model: LabelModel | None = None) -> DataFrame:
-    """docs with the signals, base_failed, quality (posterior of good) and kept."""
+    """docs with the signals, base_failed, quality (posterior of good) and kept; no text.
+
+    The texts are read once: rows and their signals are written without the text, then
+    the model is fitted on them and applied to them.
+    """
     judged, name = with_signals(docs, text)
+    judged = settled(judged.drop(text))
     model = model or fit(judged, name)
     s = F.col(name)
     logit = model.logit(rules(s))
@@ -221,9 +227,15 @@ def judge(docs: DataFrame, text: str = "text", model: LabelModel | None = None)
     return judged.select(*rest, *[v.alias(k) for k, v in added.items()])
 
 
-def verdict(docs: DataFrame, model: LabelModel, text: str = "text") -> DataFrame:
-    """docs with one more column, the last: whether the row is kept."""
+def kept(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of docs that the rules keep, same columns.
+
+    Rows with their signals are written once and read for the model and for the result, so
+    every text is measured once.
+    """
     judged, name = with_signals(docs, text)
+    judged = written(judged, "rule-signals")
+    model = fit(judged, name)
     s = F.col(name)
-    kept = ~_failed(s) & (model.logit(rules(s)) >= 0)
-    return judged.select(*[F.col(f"`{c}`") for c in docs.columns], kept.alias(name))
+    stays = ~_failed(s) & (model.logit(rules(s)) >= 0)
+    return judged.filter(stays).select(*[F.col(f"`{c}`") for c in docs.columns])
