@@ -35,20 +35,27 @@ def request_latency(responses: DataFrame) -> DataFrame:
     )
 
 
-def throughput(responses: DataFrame) -> DataFrame:
-    """Totals per model, rounded half-even on the binary value."""
+def throughput(responses: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """Totals per model, rounded half-even on the binary value.
+
+    The latency is per request asked for, ``requested (model_id, requested)``, also where
+    the fixed workload holds fewer; without it, per answer.
+    """
 
     def rounded(value: Column, places: int) -> Column:
         return fixed(value, places).cast("double")
 
     ms = F.col("ms")
+    totals = responses.groupBy("model_id").agg(
+        F.count("*").alias("answers"),
+        F.sum("tokens_used").alias("total_tokens"),
+        F.sum("elapsed_ms").cast("double").alias("ms"),
+    )
+    if requested is not None:
+        totals = totals.join(requested.select("model_id", "requested"), "model_id", "left")
+    asked = F.col("requested") if requested is not None else F.lit(None)
     return (
-        responses.groupBy("model_id")
-        .agg(
-            F.count("*").alias("n_requests"),
-            F.sum("tokens_used").alias("total_tokens"),
-            F.sum("elapsed_ms").cast("double").alias("ms"),
-        )
+        totals.withColumn("n_requests", F.coalesce(asked.cast("bigint"), "answers"))
         .select(
             "model_id",
             "n_requests",
@@ -127,9 +134,9 @@ pipeline_tag: text-generation
 
 | Metric             | Score |
 |--------------------|-------|
-| ROUGE-1            | {rouge_a} |
-| ROUGE-2            | {rouge_b} |
-| ROUGE-L            | {rouge_l} |
+| ROUGE-1            | {rouge1} |
+| ROUGE-2            | {rouge2} |
+| ROUGE-L            | {rougeL} |
 | BERTScore F1       | {bertscore} |
 | Faithfulness       | {faithfulness} |
 | Hallucination rate | {hallucination} |
@@ -147,7 +154,16 @@ pipeline_tag: text-generation
 
 ## Usage
 
-Load the weights of `{repo_id}` with any causal language model loader.
+```python
+from transformers import AutoTokenizer, AutoModelForCausalLM
+
+model = AutoModelForCausalLM.from_pretrained("{repo_id}", trust_remote_code=True)
+tok   = AutoTokenizer.from_pretrained("{repo_id}")
+
+inputs = tok("Your prompt here", return_tensors="pt")
+output = model.generate(**inputs, max_new_tokens=256)
+print(tok.decode(output[0], skip_special_tokens=True))
+```
 
 ## Limitations
 - Evaluated primarily on English text
@@ -166,9 +182,9 @@ def model_cards(runs: DataFrame, repo_id: Column) -> DataFrame:
             F.transform("base_models", lambda m: F.concat(F.lit("`"), m, F.lit("`"))), ", "
         ),
         merge_strategy=F.col("merge_strategy"),
-        rouge_a=fixed(F.col("avg_rouge1"), 3),
-        rouge_b=fixed(F.col("avg_rouge2"), 3),
-        rouge_l=fixed(F.col("avg_rougeL"), 3),
+        rouge1=fixed(F.col("avg_rouge1"), 3),
+        rouge2=fixed(F.col("avg_rouge2"), 3),
+        rougeL=fixed(F.col("avg_rougeL"), 3),
         bertscore=fixed(F.col("avg_bertscore"), 3),
         faithfulness=fixed(F.col("avg_faithfulness"), 3),
         hallucination=F.concat(fixed(F.col("hallucination_rate") * 100, 1), F.lit("%")),
@@ -187,24 +203,20 @@ def result_file(model_id: Column, dataset: Column) -> Column:
 
 
 def leaderboard(results: DataFrame, top_n: int = K.LEADERBOARD_ROWS) -> DataFrame:
-    """Best runs by the first overlap score; ties keep file-name order."""
+    """Best runs by the first overlap score; ties in order of the result's file name."""
 
     def metric(name: str) -> Column:
         known = F.col(name) if name in results.columns else F.lit(None)
         return F.coalesce(known.cast("double"), F.lit(0.0))
 
-    file = (
-        F.col("file_name")
-        if "file_name" in results.columns
-        else result_file(F.col("model_id"), F.col("dataset"))
-    )
+    order = [F.col("_score").desc(), F.col("_file"), F.col("model_id")]
     top = (
-        results.withColumn("_file", file)
+        results.withColumn("_file", result_file(F.col("model_id"), F.col("dataset")))
         .withColumn("_score", metric("avg_rouge1"))
-        .orderBy(F.col("_score").desc(), "_file")
+        .orderBy(*order)
         .limit(top_n)
     )
-    place = W.orderBy(F.col("_score").desc(), "_file")  # at most top_n rows
+    place = W.orderBy(*order)  # at most top_n rows
     return top.select(
         F.row_number().over(place).alias("rank"),
         F.right(F.coalesce("model_id", F.lit("")), F.lit(K.LEADERBOARD_ID_CHARS)).alias("model"),

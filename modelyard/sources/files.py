@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelyard.operators.parameters import to_bfloat16
@@ -23,6 +23,8 @@ EVAL_RESULT = (
     "avg_rougeL double, avg_bertscore double, avg_faithfulness double, hallucination_rate double, "
     "avg_judge_score double, gap_categories array<string>"
 )
+#: Saved results of others, and the summary lines of write_evaluation.
+EVAL_FILES = "{eval_*.json,part-*.txt}"
 
 
 def qa_samples(rows: DataFrame, n: int = 100) -> DataFrame:
@@ -89,21 +91,40 @@ def read_training_text(spark: SparkSession, path: str) -> DataFrame:
     return chat_rows(read_synthetic(spark, path))
 
 
-def read_eval_results(spark: SparkSession, path: str, glob: str = "eval_*.json") -> DataFrame:
-    """All result files in a folder, one object each; unreadable ones are left out."""
-    return (
-        spark.read.schema(EVAL_RESULT + ", model string, _corrupt string")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", glob)
-        .json(path)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
-        .filter(F.col("_corrupt").isNull())
-        .drop("_corrupt", "model")
+def _is_object(document: Column) -> Column:
+    """One JSON object; the parser takes the first of several, so those are told by form."""
+    several = document.rlike(r"(?m)^\}\s*\{")
+    kind = F.schema_of_variant(F.try_parse_json(document))
+    return F.coalesce(kind.startswith("OBJECT") & ~several, F.lit(False))
+
+
+def _documents(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Texts that should hold one JSON object each: the lines of a file, or all of it.
+
+    A file whose first line is a whole object has one document per line; any other file is
+    one document, over as many lines as it has.
+    """
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    by_line = F.coalesce(F.get(lines, F.lit(0)).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
+    return files.select(
+        F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("document")
     )
 
 
+def read_eval_results(spark: SparkSession, path: str, glob: str = EVAL_FILES) -> DataFrame:
+    """All results below a folder, those of ``write_evaluation`` included.
+
+    Unreadable documents are left out; ``unreadable_results`` counts them.
+    """
+    readable = _documents(spark, path, glob).filter(_is_object(F.col("document")))
+    return readable.select(F.from_json("document", EVAL_RESULT).alias("r")).select("r.*")
+
+
+def unreadable_results(spark: SparkSession, path: str, glob: str = EVAL_FILES) -> int:
+    return _documents(spark, path, glob).filter(~_is_object(F.col("document"))).count()
+
+
 def write_candidates(ranked: DataFrame, path: str) -> None:
     ranked.write.mode("overwrite").partitionBy("category").json(path)
 
@@ -115,23 +136,25 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 def write_evaluation(summary: DataFrame, scores: DataFrame, path: str) -> None:
     """Summary and score rows by (model, dataset); a rerun replaces its own part only.
 
-    The score rows stay rows below their own folder instead of one nested list, so
-    an evaluation of any size is written by many tasks.
+    A summary row is a line that holds the whole result, so its file reads without the
+    folder names. The score rows stay rows below their own folder instead of one nested
+    list, so an evaluation of any size is written by many tasks.
     """
-    for rows, name in ((summary, "summary"), (scores, "sample_scores")):
+    keys = ["model_id", "dataset"]
+    whole = F.to_json(F.struct(*summary.columns)).alias("value")
+    for rows, kind, name in (
+        (summary.select(*keys, whole), "text", "summary"),
+        (scores, "json", "sample_scores"),
+    ):
         (
-            rows.withColumn("model", F.replace("model_id", F.lit("/"), F.lit("_")))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("model", "dataset")
-            .json(f"{path}/{name}")
+            .partitionBy(*keys)
+            .format(kind)
+            .save(f"{path}/{name}")
         )
 
 
-def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVAL_RESULT + ", model string").json(f"{path}/summary").drop("model")
-
-
 def write_synthetic(rows: DataFrame, path: str) -> None:
     rows.select("context", "question", "answer", "gap_cat").write.mode("overwrite").json(path)
 
@@ -147,6 +170,22 @@ def write_params(params: DataFrame, path: str) -> None:
     )
 
 
+def save_params_table(params: DataFrame, table: str, buckets: int = 200) -> None:
+    """Weights as a catalog table, bucketed and sorted by (tensor, chunk).
+
+    Merges of such a table shuffle and sort no weights. ``buckets`` should leave a few
+    hundred MB in each.
+    """
+    (
+        to_bfloat16(params)
+        .write.mode("overwrite")
+        .bucketBy(buckets, "tensor", "chunk")
+        .sortBy("tensor", "chunk")
+        .format("parquet")
+        .saveAsTable(table)
+    )
+
+
 def append_runs(runs: DataFrame, path: str) -> bool:
     """Append run records; a failing log is a warning, not the end of the run."""
     try:

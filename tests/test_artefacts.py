@@ -34,10 +34,27 @@ def test_eval_results_skip_unreadable_files(spark, tmp_path):
     (tmp_path / "eval_c.json").write_text(json.dumps({"model_id": "c/long", "dataset": "d", "avg_rouge1": 0.2}))
     (tmp_path / "other.json").write_text(json.dumps({"model_id": "o"}))
     got = files.read_eval_results(spark, str(tmp_path))
+    assert got.count() == 2 and files.unreadable_results(spark, str(tmp_path)) == 1
     board = R.leaderboard(got).orderBy("rank").collect()
     assert [(r.rank, r.model, r.rouge1, r.judge) for r in board] == [(1, "a", "0.200", "0.0"), (2, "c/long", "0.200", "0.0")]
 
 
+def test_a_file_with_several_results_loses_none(spark, tmp_path):
+    rows = [{"model_id": m, "dataset": "d", "avg_rouge1": v} for m, v in (("o/a", 0.5), ("o/b", 0.5), ("o_a", 0.7))]
+    lines(tmp_path / "eval_many.json", rows)
+    (tmp_path / "eval_list.json").write_text("[1, 2]")
+    (tmp_path / "eval_two.json").write_text("\n".join(json.dumps(r, indent=1) for r in rows))
+    assert files.unreadable_results(spark, str(tmp_path)) == 2
+    got = files.read_eval_results(spark, str(tmp_path))
+    assert sorted(r.model_id for r in got.collect()) == ["o/a", "o/b", "o_a"]
+    schema = "model_id string, dataset string, n_samples bigint, avg_rouge1 double"
+    df = spark.createDataFrame([("o/a", "d", 1, 0.5), ("o_a", "d", 1, 0.5), ("o/b", "d", 2, 0.7)], schema)
+    scores = spark.createDataFrame([("o/a", "1", "d")], "model_id string, sample_id string, dataset string")
+    files.write_evaluation(df.coalesce(1), scores, str(tmp_path / "own"))
+    board = R.leaderboard(files.read_eval_results(spark, str(tmp_path / "own"))).orderBy("rank").collect()
+    assert [r.model for r in board] == ["o/b", "o/a", "o_a"]
+
+
 def test_evaluation_rerun_replaces_only_its_part(spark, tmp_path):
     def summary(model, value):
         return spark.createDataFrame(
@@ -47,7 +64,7 @@ def test_evaluation_rerun_replaces_only_its_part(spark, tmp_path):
     scores = spark.createDataFrame([("m", "1", "d")], "model_id string, sample_id string, dataset string")
     for model, value in (("o/a", 0.1), ("o/b", 0.2), ("o/a", 0.3)):
         files.write_evaluation(summary(model, value), scores, str(tmp_path))
-    got = {r.model_id: r.avg_rouge1 for r in files.read_evaluation(spark, str(tmp_path)).collect()}
+    got = {r.model_id: r.avg_rouge1 for r in files.read_eval_results(spark, str(tmp_path)).collect()}
     assert got == {"o/a": 0.3, "o/b": 0.2}
 
 
@@ -108,6 +125,8 @@ def test_throughput_and_workload(spark):
                                "model_id string, batch_id int, turn int, tokens_used bigint, elapsed_ms bigint")
     t = R.throughput(df).first()
     assert (t.n_requests, t.total_tokens, t.elapsed_s, t.tokens_per_sec, t.avg_latency_ms) == (3, 35, 1.75, 20.0, 583.3)
+    asked = spark.createDataFrame([("m", 10)], "model_id string, requested int")
+    assert R.throughput(df, asked).first().avg_latency_ms == 175.0
     assert {r.latency_ms for r in R.request_latency(df).filter("batch_id = 1").collect()} == {750.0}
     sizes = spark.createDataFrame([("m", 7), ("n", 80)], "model_id string, n_requests int")
     rows = R.workload(sizes).collect()
