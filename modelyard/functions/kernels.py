@@ -47,6 +47,16 @@ def per_chunk(kernel: Callable):
     return arrow_udf(run, FLOATS)
 
 
+def per_chunk_sums(kernel: Callable):
+    """Like ``per_chunk`` for kernels that return a few sums in float64."""
+
+    def run(*columns: pa.Array) -> pa.Array:
+        sums = [kernel(*row) for row in zip(*[_cells(c) for c in columns])]
+        return pa.array(sums, pa.list_(pa.float64()))
+
+    return arrow_udf(run, T.ArrayType(T.DoubleType()))
+
+
 def per_chunk_counts(kernel: Callable, key: str):
     """Like ``per_chunk`` for kernels that return a pair (keys, counts)."""
 
@@ -73,6 +83,14 @@ def round_bfloat16(values):
     return np.where(np.isnan(values), np.float32(np.nan), rounded).astype(np.float32)
 
 
+def dot_products(base, values):
+    """Sums of x*x, y*y and x*y; none without a matching chunk."""
+    if values is None:
+        return None
+    x, y = base.astype(np.float64), values.astype(np.float64)
+    return [float(x @ x), float(y @ y), float(x @ y)]
+
+
 def mix(base, values, w0, w1):
     if values is None:
         return base
@@ -117,8 +135,11 @@ def upper_histogram(base, values):
 
 
 def lower_histogram(base, values, bucket):
-    """Counts by the lower 16 bits, among magnitudes whose upper bits are ``bucket``."""
-    if values is None:
+    """Counts by the lower 16 bits, among magnitudes whose upper bits are ``bucket``.
+
+    A tensor without elements has no bucket.
+    """
+    if values is None or bucket is None:
         return None, None
     bits = _magnitude_bits(base, values)
     return _tally(bits[(bits >> np.uint32(16)) == np.uint32(bucket)] & np.uint32(0xFFFF))
@@ -132,10 +153,15 @@ def value_of_bits(upper: pd.Series, lower: pd.Series) -> pd.Series:
 
 
 def cut_below(base, values, limit):
-    """Delta with everything strictly below ``limit`` set to zero; ties stay."""
+    """Delta with everything strictly below ``limit`` set to zero; ties stay.
+
+    A tensor without elements has no limit.
+    """
     if values is None:
         return None
     delta = values - base
+    if limit is None:
+        return delta
     return np.where(np.abs(delta) < np.float32(limit), np.float32(0), delta)
 
 

@@ -48,16 +48,12 @@ def _last_chunk() -> Column:
 
 
 def _slerp_figures(pairs: DataFrame) -> DataFrame:
-    """Squared norms and dot product per tensor, summed map-side in double."""
-    both = pairs.select(
-        "tensor", "chunk", "start", "v0", F.posexplode_outer("base").alias("pos", "x")
+    """Squared norms and dot product: summed per chunk in the kernel, then per tensor."""
+    sums = pairs.select(
+        "tensor", "chunk", "start", N.per_chunk_sums(N.dot_products)("base", "v0").alias("s")
     )
-    x = F.col("x").cast("double")
-    y = F.get("v0", F.col("pos")).cast("double")
-    return both.groupBy("tensor").agg(
-        F.sum(x * x).alias("xx"),
-        F.sum(y * y).alias("yy"),
-        F.sum(x * y).alias("xy"),
+    return sums.groupBy("tensor").agg(
+        *[F.sum(F.get("s", F.lit(i))).alias(name) for i, name in enumerate(("xx", "yy", "xy"))],
         _last_chunk().alias("last"),
     )
 
@@ -386,9 +382,12 @@ def merge_models(
     density: float = K.DENSITY,
     alpha: float = K.SCALING,
     name: str = "merged",
+    weights: list[float] | None = None,
 ) -> DataFrame:
     """Strategy by name; base defaults to the first model.
 
+    ``weights`` are those of the merged models in order, where the strategy sums deltas.
+
     The other models are all listed ones except the base, so an explicit base
     outside the list does not silently drop the first model.
     """
@@ -399,9 +398,9 @@ def merge_models(
     base = base_model or models[0]
     others = [m for m in models if m != base]
     if strategy == "task_arithmetic":
-        return task_arithmetic(params, base, others, alpha, name=name)
+        return task_arithmetic(params, base, others, alpha, weights=weights, name=name)
     if strategy == "ties":
-        return ties(params, base, others, density, alpha, name=name)
+        return ties(params, base, others, density, alpha, weights=weights, name=name)
     if strategy == "dare_ties":
-        return dare_ties(params, base, others, density, alpha, name=name)
+        return dare_ties(params, base, others, density, alpha, weights=weights, name=name)
     return breadcrumbs(params, base, others, density, name=name)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelyard.operators import merging as G
@@ -9,6 +12,7 @@ from modelyard.operators import parameters as P
 from modelyard.sources.views import duck, view
 
 BASE, MODELS = "m0", ["m1", "m2", "m3"]
+WEIGHTS = [0.5, 0.25, 2.0]
 
 
 def _params(spark, sf):
@@ -68,7 +72,9 @@ QUERIES = {
         "params_m", F.round("params_m", 6)
     ),
     "M4_layer_groups": lambda s, d: P.layer_groups(_params(s, d)),
-    "M5_delta": lambda s, d: _rows(P.delta(_params(s, d), BASE, "m1")),
+    "M5_delta": lambda s, d: _rows(
+        reduce(DataFrame.unionByName, [P.delta(_params(s, d), BASE, m) for m in MODELS]), "model_id", "tensor"
+    ),
     "M6_slerp": lambda s, d: _rows(G.slerp(_params(s, d), "m1", "m2", 0.3)),
     "M7_task_arithmetic": lambda s, d: _rows(G.task_arithmetic(_params(s, d), BASE, MODELS)),
     "M8_trim_by_magnitude": lambda s, d: _rows(
@@ -76,7 +82,7 @@ QUERIES = {
     ),
     "M9_sign_election": _elected,
     "M10_ties": lambda s, d: _rows(G.ties(_params(s, d), BASE, MODELS)),
-    "M11_breadcrumbs": lambda s, d: _rows(G.breadcrumbs(_params(s, d), BASE, ["m1", "m3"])),
+    "M11_breadcrumbs": lambda s, d: _rows(G.breadcrumbs(_params(s, d), BASE, MODELS)),
     "M12_bfloat16": lambda s, d: P.elements(P.to_bfloat16(_params(s, d))).select(
         "model_id", "tensor", "idx", F.col("value").cast("double").alias("value")
     ),
@@ -84,21 +90,24 @@ QUERIES = {
     "M14_merge_dispatch": lambda s, d: _rows(
         G.merge_models(_params(s, d), "ties", ["m1", "m2", "m3"], base_model=BASE)
     ),
+    "M14_merge_weights": lambda s, d: _rows(
+        G.merge_models(_params(s, d), "task_arithmetic", MODELS, base_model=BASE, weights=WEIGHTS)
+    ),
     "M15_equal_weights": lambda s, d: _rows(
         G.task_arithmetic(_params(s, d), BASE, MODELS, weights=G.equal_weights(MODELS))
     ),
     "M16_low_rank_merge": _low_rank,
 }
 
-_SHAPES = "sizes AS (SELECT model_id, tensor, any_value(numel) AS numel FROM params GROUP BY ALL)"
+_SHAPES = "sizes AS (SELECT * FROM tensors)"
 _KIND = """CASE WHEN regexp_matches(lower({0}),'embed_tokens|wte|word_embeddings') THEN 'embedding'
  WHEN regexp_matches(lower({0}),'self_attn|attention|attn|q_proj|k_proj|v_proj|o_proj') THEN 'attention'
  WHEN regexp_matches(lower({0}),'mlp|ffn|feed_forward|gate_proj|up_proj|down_proj|fc1|fc2') THEN 'mlp'
  WHEN regexp_matches(lower({0}),'norm') THEN 'norm' WHEN regexp_matches(lower({0}),'lm_head|embed_out|output') THEN 'head' ELSE 'other' END"""
 _ARCH = f"""arch AS (
- SELECT model_id, 0 AS depth, '' AS parent, model_id AS name, 'root' AS kind, CAST(sum(numel) AS BIGINT) AS numel FROM sizes GROUP BY model_id
- UNION ALL SELECT model_id, 1, model_id, split_part(tensor,'.',1) AS top, {_KIND.format("split_part(tensor,'.',1)")}, CAST(sum(numel) AS BIGINT) FROM sizes GROUP BY model_id, top
- UNION ALL SELECT model_id, 2, split_part(tensor,'.',1), tensor, {_KIND.format("tensor")}, numel FROM sizes)"""
+ SELECT model_id, 0 AS depth, '' AS parent, model_id AS name, 'root' AS kind, CAST(sum(numel) AS BIGINT) AS numel, min(ordinal) AS ordinal, NULL AS shape, NULL AS dtype FROM sizes GROUP BY model_id
+ UNION ALL SELECT model_id, 1, model_id, split_part(tensor,'.',1) AS top, {_KIND.format("split_part(tensor,'.',1)")}, CAST(sum(numel) AS BIGINT), min(ordinal), NULL, NULL FROM sizes GROUP BY model_id, top
+ UNION ALL SELECT model_id, 2, split_part(tensor,'.',1), tensor, {_KIND.format("tensor")}, numel, ordinal, '['||numel||']', dtype FROM sizes)"""
 _DELTA = """d AS (SELECT f.model_id, f.tensor, f.idx, f.value-b.value AS d FROM params f JOIN params b ON b.model_id='m0'
  AND f.tensor=b.tensor AND f.idx=b.idx AND f.numel=b.numel WHERE f.model_id<>'m0')"""
 _TRIM = (
@@ -130,19 +139,19 @@ ORACLE = {
         "params", "SELECT model_id, tensor, idx, CAST(value AS DOUBLE) AS value FROM params"
     ),
     "M1_layer_kind": duck(
-        "params", f"WITH {_SHAPES} SELECT model_id, tensor, {_KIND.format('tensor')} AS kind FROM sizes"
+        "tensors", f"WITH {_SHAPES} SELECT model_id, tensor, {_KIND.format('tensor')} AS kind FROM sizes"
     ),
-    "M2_architecture": duck("params", f"WITH {_SHAPES}, {_ARCH} SELECT * FROM arch"),
+    "M2_architecture": duck("tensors", f"WITH {_SHAPES}, {_ARCH} SELECT * FROM arch"),
     "M3_architecture_tree": duck(
-        "params",
-        f"WITH {_SHAPES}, {_ARCH} SELECT model_id, depth, name, kind, round(numel/1e6,6) AS params_m FROM arch",
+        "tensors",
+        f"WITH {_SHAPES}, {_ARCH} SELECT model_id, depth, ordinal, name, kind, shape, dtype, round(numel/1e6,6) AS params_m FROM arch",
     ),
     "M4_layer_groups": duck(
-        "params", f"WITH {_SHAPES} SELECT model_id, {_KIND.format('tensor')} AS kind, tensor FROM sizes"
+        "tensors", f"WITH {_SHAPES} SELECT model_id, {_KIND.format('tensor')} AS kind, tensor FROM sizes"
     ),
     "M5_delta": duck(
         "params",
-        f"WITH {_DELTA} SELECT tensor, idx, round(CAST(d AS DOUBLE),6) AS value FROM d WHERE model_id='m1'",
+        f"WITH {_DELTA} SELECT model_id, tensor, idx, round(CAST(d AS DOUBLE),6) AS value FROM d",
     ),
     "M6_slerp": duck(
         "params",
@@ -167,7 +176,7 @@ SELECT p.tensor, p.idx, round(CAST(CAST(CASE WHEN y IS NULL THEN x WHEN th IS NU
     "M11_breadcrumbs": duck(
         "params",
         f"""WITH {_DELTA}, m AS (SELECT tensor, idx, CASE WHEN min(sign(d))=max(sign(d)) AND abs(avg(CAST(d AS DOUBLE)))>=0.01
- THEN avg(CAST(d AS DOUBLE)) ELSE 0 END AS md FROM d WHERE model_id IN ('m1','m3') GROUP BY tensor, idx), {_BASE} {_OUT.replace('0.5e0*','')}""",
+ THEN avg(CAST(d AS DOUBLE)) ELSE 0 END AS md FROM d GROUP BY tensor, idx), {_BASE} {_OUT.replace('0.5e0*','')}""",
     ),
     "M12_bfloat16": duck(
         "params",
@@ -178,6 +187,9 @@ SELECT model_id, tensor, idx, CAST(CAST(CASE WHEN value=0 THEN 0 ELSE round_even
         "params", f"WITH {_DELTA}, {_DRAW}, {_ELECT}, {_MERGE}, {_BASE} {_OUT}"
     ),
     "M14_merge_dispatch": duck("params", _TIES),
+    "M14_merge_weights": duck(
+        "params", _sum_sql("(CASE model_id WHEN 'm1' THEN 0.5e0 WHEN 'm2' THEN 0.25e0 ELSE 2e0 END)")
+    ),
     "M15_equal_weights": duck("params", _sum_sql("(1e0/3)")),
     "M16_low_rank_merge": duck(
         "adapter_a adapter_b",

@@ -55,3 +55,17 @@ def test_keyword_cut_happens_before_the_shuffle(plan):
 @pytest.mark.parametrize("name,models", [("M6_slerp", 2), ("M10_ties", 4), ("M13_dare_ties", 4)])
 def test_each_model_is_read_once(plan, name, models):
     assert plan(name).count("FileScan parquet") == models
+
+
+def test_merge_of_a_stored_table_moves_no_weights(spark, plan):
+    from modelyard.operators import merging
+    from modelyard.sources import files
+    from modelyard.sources.views import view
+
+    spark.sql("DROP TABLE IF EXISTS stored_weights")
+    files.save_params_table(view(spark, SF, "params"), "stored_weights", 4)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        merging.task_arithmetic(spark.table("stored_weights"), "m0", ["m1", "m2", "m3"]).explain()
+    spark.sql("DROP TABLE stored_weights")
+    assert "SortMergeJoin" in out.getvalue() and "Exchange" not in out.getvalue()
