@@ -107,10 +107,8 @@ Vary context length 200-800 words.
 Return a JSON array only.""",
 }
 ROWS_PER_GAP = 50
-CHAT_OPEN = "<s>[INST] Context: "
-CHAT_QUESTION = "\n\nQuestion: "
-CHAT_RESPONSE = " [/INST]"
-CHAT_CLOSE = "</s>"
+CHAT_TEMPLATE = "<s>[INST] Context: {context}\n\nQuestion: {question} [/INST] {answer}</s>"
+CHAT_MARKER = " [/INST]"
 MAX_SEQ_LENGTH = 2048
 TRAIN_BATCH = 4
 TARGET_ROUGE = 0.45
@@ -138,3 +136,21 @@ RUN_METRICS = [
     ("avg_judge_score", "eval/judge_score", "judge_score"),
     ("tokens_per_sec", "perf/tokens_per_sec", "tokens_per_sec"),
 ]
+
+# --- Fixed values: labels of the evaluation reports ---------------------------
+COMPARED = {
+    "ROUGE-1": "avg_rouge1",
+    "BERTScore": "avg_bertscore",
+    "Faithfulness": "avg_faithfulness",
+    "Halluc. %": "hallucination_rate",
+    "Judge": "avg_judge_score",
+}
+SHOWN = {
+    "ROUGE-1": "avg_rouge1",
+    "ROUGE-2": "avg_rouge2",
+    "ROUGE-L": "avg_rougeL",
+    "BERTScore F1": "avg_bertscore",
+    "Faithfulness": "avg_faithfulness",
+    "Hallucination %": "hallucination_rate",
+    "Judge Score": "avg_judge_score",
+}

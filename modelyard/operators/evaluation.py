@@ -161,15 +161,6 @@ def summarise(scores: DataFrame, dataset: str = "custom") -> DataFrame:
     )
 
 
-COMPARED = {
-    "ROUGE-1": "avg_rouge1",
-    "BERTScore": "avg_bertscore",
-    "Faithfulness": "avg_faithfulness",
-    "Halluc. %": "hallucination_rate",
-    "Judge": "avg_judge_score",
-}
-
-
 def _long(summary: DataFrame, metrics: dict[str, str], *keep: str) -> DataFrame:
     cells = F.array(
         *[
@@ -183,24 +174,13 @@ def _long(summary: DataFrame, metrics: dict[str, str], *keep: str) -> DataFrame:
 def compare_models(summary: DataFrame, models: list[str]) -> DataFrame:
     """Metric rows with one column per model; naming the models avoids a scan."""
     return (
-        _long(summary, COMPARED, "model_id")
+        _long(summary, K.COMPARED, "model_id")
         .groupBy("metric_ord", "metric")
         .pivot("model_id", models)
         .agg(F.first("value"))
     )
 
 
-SHOWN = {
-    "ROUGE-1": "avg_rouge1",
-    "ROUGE-2": "avg_rouge2",
-    "ROUGE-L": "avg_rougeL",
-    "BERTScore F1": "avg_bertscore",
-    "Faithfulness": "avg_faithfulness",
-    "Hallucination %": "hallucination_rate",
-    "Judge Score": "avg_judge_score",
-}
-
-
 def threshold_table(summary: DataFrame) -> DataFrame:
     """Seven display rows per model: metric, score text, threshold text."""
     t = K.GAP_THRESHOLDS
@@ -220,6 +200,46 @@ def threshold_table(summary: DataFrame) -> DataFrame:
         .when(F.col("metric") == "Judge Score", F.concat(fixed(value, 1), F.lit("/10")))
         .otherwise(fixed(value, 3))
     )
-    return _long(summary, SHOWN, "model_id").select(
+    return _long(summary, K.SHOWN, "model_id").select(
         "model_id", "metric_ord", "metric", score.alias("score"), threshold.alias("threshold")
     )
+
+
+def evaluate(
+    samples: DataFrame,
+    generate: S.Model,
+    classify: S.Model,
+    judge: S.Model | None = None,
+    embedding_scores_of=None,
+    dataset: str = "custom",
+    batch_size: int = 4,
+    stem: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(summary, scores) of models over samples: generation, entailment, judge, scores.
+
+    Each model argument is a factory as in ``batched_call``. ``classify`` replies
+    ``LABEL score``. A failed call scores as neutral; without a judge every answer gets
+    the default score. ``embedding_scores_of`` maps the answers to (model_id, sample_id,
+    bertscore_f1).
+    """
+    asked = samples.withColumn("prompt", S.qa_prompt())
+    answers = S.batched_call(asked, "prompt", "prediction", generate, batch_size)
+    answers = answers.withColumn("prediction", F.coalesce("prediction", F.lit("")))
+    paired = answers.withColumn("prompt", S.nli_pair())
+    labelled = S.batched_call(paired, "prompt", "nli", classify, batch_size)
+    labelled = labelled.withColumns(
+        {
+            "nli_label": F.nullif(F.regexp_extract("nli", r"^(\S+)\s+\S+$", 1), F.lit("")),
+            "nli_score": F.regexp_extract("nli", r"^\S+\s+(\S+)$", 1).try_cast("double"),
+        }
+    )
+    if judge is None:
+        judged = labelled.withColumn("judge_raw", F.lit(None).cast("string"))
+    else:
+        judged = S.batched_call(
+            labelled.withColumn("prompt", S.judge_prompt()), "prompt", "judge_raw", judge, batch_size
+        )
+    done = judged.drop("prompt", "nli")
+    embedding = embedding_scores_of(done) if embedding_scores_of else None
+    scores = sample_scores(done, embedding, judge is not None, stem)
+    return summarise(scores, dataset), scores

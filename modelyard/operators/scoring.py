@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +15,11 @@ from pyspark.sql.functions import pandas_udf
 from modelyard import constants as K
 from modelyard.functions import text as X
 
+log = logging.getLogger(__name__)
+
 KEY = ["model_id", "sample_id"]
+#: Makes a model in a worker: a function from prompts to replies.
+Model = Callable[[], Callable[[list[str]], list[str]]]
 
 
 # --- prompts and model calls -------------------------------------------------
@@ -46,29 +51,49 @@ def nli_pair() -> Column:
     )
 
 
+def _replies(call: Callable[[list[str]], list[str]], prompts: list[str]) -> list[str | None]:
+    """Replies of one batch; a batch that fails is asked again one by one."""
+    try:
+        replies = list(call(prompts))
+        if len(replies) == len(prompts):
+            return [r.strip() if isinstance(r, str) else None for r in replies]
+        log.warning("%d replies to %d prompts", len(replies), len(prompts))
+    except Exception as err:  # the model is a user's; its failure costs its rows only
+        log.warning("model call failed: %s", err)
+    if len(prompts) == 1:
+        return [None]
+    return [_replies(call, [p])[0] for p in prompts]
+
+
 def batched_call(
     rows: DataFrame,
     prompt: str,
     output: str,
-    make: Callable[[], Callable[[list[str]], list[str]]],
+    make: Model,
     batch_size: int = 4,
 ) -> DataFrame:
     """Run a user's model over a prompt column in batches, in the worker processes.
 
     ``make`` is called once per task, so a model is loaded once and reused for all
-    of the task's rows. Replies are trimmed.
+    of the task's rows. Replies are trimmed. A prompt that is null, or whose call fails,
+    gets a null reply, which the scores read as neutral.
     """
-    schema = rows.withColumn(output, F.lit("")).schema
+    schema = T.StructType(
+        [f for f in rows.schema.fields if f.name != output] + [T.StructField(output, T.StringType())]
+    )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = make()
         for frame in frames:
+            asked = frame[prompt].notna().to_numpy().nonzero()[0]
             texts = frame[prompt].tolist()
-            replies: list[str] = []
-            for i in range(0, len(texts), batch_size):
-                replies.extend(call(texts[i : i + batch_size]))
-            frame[output] = [r.strip() for r in replies]
-            yield frame
+            replies: list[str | None] = [None] * len(texts)
+            for i in range(0, len(asked), batch_size):
+                part = asked[i : i + batch_size]
+                for at, reply in zip(part, _replies(call, [texts[k] for k in part])):
+                    replies[at] = reply
+            frame[output] = pd.Series(replies, index=frame.index, dtype=object)
+            yield frame[[f.name for f in schema.fields]]
 
     return rows.mapInPandas(run, schema)
 
@@ -113,87 +138,57 @@ def rouge(samples: DataFrame, stem: bool = True, *keep: str) -> DataFrame:
 TOKEN_BLOCK = 256
 
 
-_DOUBLES = T.ArrayType(T.DoubleType())
-
+_SIDES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("p", "r")])
 
-@pandas_udf(T.StructType([T.StructField("p", _DOUBLES), T.StructField("r", _DOUBLES)]))
-def _best_in_block(pred: pd.Series, n_pred: pd.Series, ref: pd.Series, n_ref: pd.Series) -> pd.DataFrame:
-    """Best match of every token of one block against the other block."""
 
-    def unit(flat, n):
-        m = np.asarray(flat, dtype=np.float64).reshape(n, -1)
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(norm == 0.0, 1.0, norm)
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0.0, 1.0, norm)
 
-    best_p, best_r = [], []
-    for a, n, b, m in zip(pred, n_pred, ref, n_ref):
-        match = unit(a, n) @ unit(b, m).T
-        best_p.append(match.max(axis=1))
-        best_r.append(match.max(axis=0))
-    return pd.DataFrame({"p": best_p, "r": best_r})
 
+@pandas_udf(_SIDES)
+def _greedy_match(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+    """Mean best match of the tokens of either side; 0 when a side is empty.
 
-def _blocks(token_vecs: DataFrame, side: str) -> DataFrame:
-    """Up to ``TOKEN_BLOCK`` consecutive token vectors laid end to end."""
-    return (
-        token_vecs.filter(F.col("side") == side)
-        .groupBy("sample_id", F.floor(F.col("pos") / TOKEN_BLOCK).alias(f"{side}_block"))
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "vec"))).alias("cells"))
-        .select(
-            "sample_id",
-            f"{side}_block",
-            F.flatten("cells.vec").alias(f"{side}_flat"),
-            F.size("cells").alias(f"{side}_n"),
-        )
-    )
+    Compared block against block, so memory stays at two blocks and a value per token.
+    """
+    means = []
+    for p, r in zip(pred, ref):
+        if not len(p) or not len(r):
+            means.append((0.0, 0.0))
+            continue
+        a, b = _unit(p), _unit(r)
+        best_a, best_b = np.full(len(a), -np.inf), np.full(len(b), -np.inf)
+        for i in range(0, len(a), TOKEN_BLOCK):
+            for j in range(0, len(b), TOKEN_BLOCK):
+                match = a[i : i + TOKEN_BLOCK] @ b[j : j + TOKEN_BLOCK].T
+                rows, cols = slice(i, i + match.shape[0]), slice(j, j + match.shape[1])
+                best_a[rows] = np.maximum(best_a[rows], match.max(axis=1))
+                best_b[cols] = np.maximum(best_b[cols], match.max(axis=0))
+        means.append((best_a.mean(), best_b.mean()))
+    return pd.DataFrame(means, columns=["p", "r"])
 
 
 def embedding_f1(token_vecs: DataFrame, baseline: float = 0.0) -> DataFrame:
-    """Greedy cosine match of prediction and reference tokens, as an F1.
+    """Greedy cosine match of prediction and reference tokens, as an F1 per answer.
 
-    Input rows are ``(sample_id, side in {pred, ref}, pos, vec)``. Vectors are
-    compared block against block: a block pair returns one best value per token,
-    never the pairs. Reference blocks are repeated per prediction block and the
-    join key holds the block, so a very long answer spreads over many tasks.
+    Input rows are ``(model_id, sample_id, side in {pred, ref}, pos, vec)``. One scan and
+    one shuffle bring an answer's vectors together; the group is one answer, as long as
+    its two texts. An answer with tokens on one side only scores like no match.
     """
-    pred, ref = _blocks(token_vecs, "pred"), _blocks(token_vecs, "ref")
-    reach = (
-        token_vecs.filter(F.col("side") == "pred")
-        .groupBy("sample_id")
-        .agg(F.floor(F.max("pos") / TOKEN_BLOCK).alias("top"))
-    )
-    spread = (
-        ref.join(reach, "sample_id")
-        .withColumn("pred_block", F.explode(F.sequence(F.lit(0).cast("bigint"), "top")))
-        .drop("top")
-    )
-    best = pred.join(spread, ["sample_id", "pred_block"]).select(
-        "sample_id",
-        "pred_block",
-        "ref_block",
-        _best_in_block("pred_flat", "pred_n", "ref_flat", "ref_n").alias("best"),
-    )
-    sides = F.array(
-        *[
-            F.struct(F.lit(s).alias("side"), F.col(f"{s}_block").alias("block"), F.col(f"best.{f}").alias("v"))
-            for s, f in (("pred", "p"), ("ref", "r"))
-        ]
-    )
-    means = (
-        best.select("sample_id", F.inline(sides))
-        .select("sample_id", "side", "block", F.posexplode("v").alias("at", "v"))
-        .groupBy("sample_id", "side", "block", "at")
-        .agg(F.max("v").alias("v"))
-        .groupBy("sample_id")
-        .agg(
-            F.avg(F.when(F.col("side") == "pred", F.col("v"))).alias("p"),
-            F.avg(F.when(F.col("side") == "ref", F.col("v"))).alias("r"),
-        )
-    )
-    f1 = F.coalesce(
-        F.try_divide(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")), F.lit(0.0)
+
+    def side(name: str) -> Column:
+        return F.collect_list(F.when(F.col("side") == name, F.col("vec")))
+
+    sides = (
+        token_vecs.groupBy(*KEY)
+        .agg(side("pred").alias("pred"), side("ref").alias("ref"))
+        .select(*KEY, _greedy_match("pred", "ref").alias("m"))
     )
-    return means.select("sample_id", ((f1 - baseline) / (1 - baseline)).alias("bertscore_f1"))
+    p, r = F.col("m.p"), F.col("m.r")
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return sides.select(*KEY, ((f1 - baseline) / (1 - baseline)).alias("bertscore_f1"))
 
 
 # --- faithfulness and judge --------------------------------------------------

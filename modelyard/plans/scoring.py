@@ -11,6 +11,7 @@ from modelyard.sources.views import duck, view
 
 KEY = S.KEY
 MODELS = ["m0", "m1", "m2"]
+BASELINE = 0.1
 
 
 def _samples(spark, sf):
@@ -24,11 +25,8 @@ def _r6(df, *names):
 
 
 def _scores(spark, sf, stem=False):
-    """Unstemmed, as DuckDB has no stemmer; sample scores of the embedding match
-    come from the two judge replies, so that column varies per answer."""
-    samples = _samples(spark, sf)
-    embedding = samples.select(*KEY, (S.judge_score(F.col("judge_raw_b")) / 10).alias("bertscore_f1"))
-    return V.sample_scores(samples, embedding, stem=stem)
+    embedding = S.embedding_f1(view(spark, sf, "token_vecs"), BASELINE)
+    return V.sample_scores(_samples(spark, sf), embedding, stem=stem)
 
 
 def _summary(spark, sf):
@@ -37,9 +35,13 @@ def _summary(spark, sf):
 
 def _echo():
     """Stand-in for a user's model: respells the question of each prompt."""
-    return lambda prompts: [
-        " " + p.rsplit("\nQuestion: ", 1)[-1].replace("e", "3") + " " for p in prompts
-    ]
+
+    def call(prompts):
+        if any("\nQuestion: Summarize " in p for p in prompts):
+            raise RuntimeError("this model cannot answer that")
+        return [" " + p.rsplit("\nQuestion: ", 1)[-1].replace("e", "3") + " " for p in prompts]
+
+    return call
 
 
 def _called(spark, sf):
@@ -73,7 +75,7 @@ QUERIES = {
     "E6_rougeL": lambda s, d: _r6(S.rouge(_samples(s, d), False).select(*KEY, "rougeL"), "rougeL"),
     "E4_E6_rouge_stemmed": lambda s, d: _r6(S.rouge(_samples(s, d)), "rouge1", "rouge2", "rougeL"),
     "E7_bertscore_f1": lambda s, d: _r6(
-        S.embedding_f1(view(s, d, "token_vecs"), baseline=0.1), "bertscore_f1"
+        S.embedding_f1(view(s, d, "token_vecs"), BASELINE), "bertscore_f1"
     ),
     "E8_hallucination_patterns": lambda s, d: _samples(s, d).select(
         *KEY, X.hallucination_words(F.col("prediction")).alias("hallucinated")
@@ -94,7 +96,7 @@ QUERIES = {
     ),
     "E13_pairwise_verdict": _judged,
     "E14_sample_scores": lambda s, d: _r6(
-        _scores(s, d).drop("ord", "gap_bits", "gap_signals"), "rouge1", "rouge2", "rougeL", "faithfulness"
+        _scores(s, d).drop("ord", "gap_bits", "gap_signals"), "rouge1", "rouge2", "rougeL", "faithfulness", "bertscore_f1"
     ),
     "E15_failing": lambda s, d: V.failing(_scores(s, d)).select(*KEY),
     "E16_gap_categories": lambda s, d: V.detect_gaps(_scores(s, d)),
@@ -134,9 +136,16 @@ def _judge(col: str) -> str:
     return rf"least(10e0, coalesce(TRY_CAST(nullif(regexp_extract({col},'SCORE:\s*(\d+)',1),'') AS DOUBLE),5e0))"
 
 
-_SCORES = f"""{_TOK}, {_GRAMS}, {_LCS}, scores AS (SELECT s.model_id, s.sample_id, s.ord, rouge1, rouge2, rougeL, {_judge('judge_raw_b')}/10 AS bertscore_f1,
+_BERT = f"""vm AS (SELECT p.model_id, p.sample_id, p.pos AS pp, r.pos AS rp,
+  list_inner_product(p.vec::DOUBLE[],r.vec::DOUBLE[])/sqrt(list_inner_product(p.vec::DOUBLE[],p.vec::DOUBLE[])*list_inner_product(r.vec::DOUBLE[],r.vec::DOUBLE[])) AS c
+ FROM token_vecs p JOIN token_vecs r ON p.model_id=r.model_id AND p.sample_id=r.sample_id AND p.side='pred' AND r.side='ref'),
+va AS (SELECT model_id, sample_id, avg(c) AS p FROM (SELECT model_id, sample_id, pp, max(c) AS c FROM vm GROUP BY ALL) GROUP BY ALL),
+vb AS (SELECT model_id, sample_id, avg(c) AS r FROM (SELECT model_id, sample_id, rp, max(c) AS c FROM vm GROUP BY ALL) GROUP BY ALL),
+bert AS (SELECT model_id, sample_id, (coalesce(2*p*r/nullif(p+r,0),0)-{BASELINE})/(1-{BASELINE}::DOUBLE) AS bertscore_f1
+ FROM (SELECT DISTINCT model_id, sample_id FROM token_vecs) LEFT JOIN va USING (model_id, sample_id) LEFT JOIN vb USING (model_id, sample_id))"""
+_SCORES = f"""{_TOK}, {_GRAMS}, {_LCS}, {_BERT}, scores AS (SELECT s.model_id, s.sample_id, s.ord, rouge1, rouge2, rougeL, coalesce(bertscore_f1,0) AS bertscore_f1,
  {_FAITH} AS faithfulness, {_HALL} OR {_FAITH}<0.3e0 AS hallucinated, {_judge('judge_raw')} AS judge_score
- FROM samples s JOIN rn USING (model_id,sample_id) JOIN rl USING (model_id,sample_id))"""
+ FROM samples s JOIN rn USING (model_id,sample_id) JOIN rl USING (model_id,sample_id) LEFT JOIN bert USING (model_id,sample_id))"""
 _FAIL = "failing AS (SELECT * FROM scores WHERE rouge1<0.3e0 OR bertscore_f1<0.5e0 OR faithfulness<0.5e0 OR judge_score<5 OR hallucinated)"
 _GAPS = """cats AS (SELECT * FROM (VALUES (0,'factual_recall',['who','when','where','what year','which country']),
  (1,'multi_step_reasoning',['therefore','because','if','then','step']),(2,'numerical',['how many','calculate','percent','number','count']),
@@ -162,7 +171,8 @@ ORACLE = {
     ),
     "E2_batched_model_call": duck(
         "samples",
-        """SELECT model_id, sample_id, regexp_replace(replace(question||chr(10)||'Answer:','e','3'),'^\\s+|\\s+$','','g') AS reply FROM samples""",
+        """SELECT model_id, sample_id, CASE WHEN NOT starts_with(question,'Summarize ')
+ THEN regexp_replace(replace(question||chr(10)||'Answer:','e','3'),'^\\s+|\\s+$','','g') END AS reply FROM samples""",
     ),
     "E3_tokens": duck(
         "samples",
@@ -179,13 +189,7 @@ ORACLE = {
         f'WITH RECURSIVE {_TOK}, {_LCS} SELECT model_id, sample_id, round(rougeL,6) AS "rougeL" FROM rl',
     ),
     "E7_bertscore_f1": duck(
-        "token_vecs",
-        """WITH m AS (SELECT p.sample_id, p.pos AS pp, r.pos AS rp,
-  list_inner_product(p.vec::DOUBLE[],r.vec::DOUBLE[])/sqrt(list_inner_product(p.vec::DOUBLE[],p.vec::DOUBLE[])*list_inner_product(r.vec::DOUBLE[],r.vec::DOUBLE[])) AS c
- FROM token_vecs p JOIN token_vecs r ON p.sample_id=r.sample_id AND p.side='pred' AND r.side='ref'),
-a AS (SELECT sample_id, avg(c) AS p FROM (SELECT sample_id, pp, max(c) AS c FROM m GROUP BY ALL) GROUP BY sample_id),
-b AS (SELECT sample_id, avg(c) AS r FROM (SELECT sample_id, rp, max(c) AS c FROM m GROUP BY ALL) GROUP BY sample_id)
-SELECT sample_id, round((2*p*r/(p+r)-0.1e0)/0.9e0,6) AS bertscore_f1 FROM a JOIN b USING (sample_id)""",
+        "token_vecs", f"WITH {_BERT} SELECT model_id, sample_id, round(bertscore_f1,6) AS bertscore_f1 FROM bert"
     ),
     "E8_hallucination_patterns": duck(
         "samples", f"SELECT model_id, sample_id, {_HALL} AS hallucinated FROM samples"
@@ -211,29 +215,29 @@ SELECT sample_id, round((2*p*r/(p+r)-0.1e0)/0.9e0,6) AS bertscore_f1 FROM a JOIN
  FROM (SELECT sample_id, {_judge('judge_raw')} AS score_a, {_judge('judge_raw_b')} AS score_b FROM samples)""",
     ),
     "E14_sample_scores": duck(
-        "samples",
+        "samples token_vecs",
         f"""WITH RECURSIVE {_SCORES} SELECT model_id, sample_id, round(rouge1,6) AS rouge1, round(rouge2,6) AS rouge2, round(rougeL,6) AS "rougeL",
- bertscore_f1, round(faithfulness,6) AS faithfulness, hallucinated, judge_score FROM scores""",
+ round(bertscore_f1,6) AS bertscore_f1, round(faithfulness,6) AS faithfulness, hallucinated, judge_score FROM scores""",
     ),
     "E15_failing": duck(
-        "samples", f"WITH RECURSIVE {_SCORES}, {_FAIL} SELECT model_id, sample_id FROM failing"
+        "samples token_vecs", f"WITH RECURSIVE {_SCORES}, {_FAIL} SELECT model_id, sample_id FROM failing"
     ),
     "E16_gap_categories": duck(
-        "samples", f"WITH RECURSIVE {_SCORES}, {_FAIL}, {_GAPS} SELECT * FROM gaps"
+        "samples token_vecs", f"WITH RECURSIVE {_SCORES}, {_FAIL}, {_GAPS} SELECT * FROM gaps"
     ),
     "E17_summary": duck(
-        "samples", f"{_ALL} SELECT model_id, dataset, n_samples, {_ROUND}, gap_categories FROM summary"
+        "samples token_vecs", f"{_ALL} SELECT model_id, dataset, n_samples, {_ROUND}, gap_categories FROM summary"
     ),
     "E18_compare_models": duck(
-        "samples",
+        "samples token_vecs",
         _ALL
         + " UNION ALL ".join(
             f" SELECT {i} AS metric_ord, '{label}' AS metric, {_PICK.format(c=c)} FROM summary"
-            for i, (label, c) in enumerate(V.COMPARED.items())
+            for i, (label, c) in enumerate(X.K.COMPARED.items())
         ),
     ),
     "E19_threshold_table": duck(
-        "samples",
+        "samples token_vecs",
         _ALL
         + " UNION ALL ".join(
             f" SELECT model_id, {i} AS metric_ord, '{label}' AS metric, {score} AS score, '{limit}' AS threshold FROM summary"

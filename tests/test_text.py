@@ -151,20 +151,67 @@ def test_embedding_f1_across_blocks(spark, monkeypatch):
     rng = np.random.default_rng(0)
     rows, want = [], {}
     for sample, (n, m) in enumerate([(3, 5), (1, 1), (23, 40)]):
-        p, r = rng.normal(size=(n, 6)), rng.normal(size=(m, 6))
-        p[0] = 0 if sample == 2 else p[0]
-        unit = lambda v: v / np.where(np.linalg.norm(v, axis=1, keepdims=True) == 0, 1, np.linalg.norm(v, axis=1, keepdims=True))
-        c = unit(p) @ unit(r).T
-        a, b = c.max(axis=1).mean(), c.max(axis=0).mean()
-        want[sample] = 2 * a * b / (a + b)
-        rows += [(sample, "pred", i, v.tolist()) for i, v in enumerate(p)]
-        rows += [(sample, "ref", i, v.tolist()) for i, v in enumerate(r)]
-    df = spark.createDataFrame(rows, "sample_id int, side string, pos int, vec array<double>")
+        for model in ("a", "b"):
+            p, r = rng.normal(size=(n, 6)), rng.normal(size=(m, 6))
+            p[0] = 0 if sample == 2 else p[0]
+            unit = lambda v: v / np.where(np.linalg.norm(v, axis=1, keepdims=True) == 0, 1, np.linalg.norm(v, axis=1, keepdims=True))
+            c = unit(p) @ unit(r).T
+            a, b = c.max(axis=1).mean(), c.max(axis=0).mean()
+            want[model, sample] = 2 * a * b / (a + b)
+            rows += [(model, sample, "pred", i, v.tolist()) for i, v in enumerate(p)]
+            rows += [(model, sample, "ref", i, v.tolist()) for i, v in enumerate(r)]
+    rows += [("a", 7, "ref", 0, [1.0] * 6), ("b", 8, "pred", 0, [1.0] * 6)]
+    want["a", 7] = want["b", 8] = 0.0  # one side only
+    df = spark.createDataFrame(rows, "model_id string, sample_id int, side string, pos int, vec array<double>")
     monkeypatch.setattr(S, "TOKEN_BLOCK", 4)
-    got = {r.sample_id: r.bertscore_f1 for r in S.embedding_f1(df).collect()}
+    got = {(r.model_id, r.sample_id): r.bertscore_f1 for r in S.embedding_f1(df).collect()}
     assert got == pytest.approx(want, abs=1e-9)
 
 
+def test_failed_calls_cost_their_rows_only(spark):
+    def make():
+        def call(prompts):
+            if any("bad" in p for p in prompts):
+                raise RuntimeError("no answer")
+            if "short" in prompts:
+                return prompts[:-1]
+            return [None if p == "none" else f" {p}! " for p in prompts]
+
+        return call
+
+    prompts = ["a", "bad 1", "b", "none", "c", "short", "d", None, "bad 2"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(prompts)], "i int, prompt string").coalesce(1)
+    got = [r.reply for r in S.batched_call(df, "prompt", "reply", make).orderBy("i").collect()]
+    assert got == ["a!", None, "b!", None, "c!", None, "d!", None, None]
+
+
+def test_evaluate_runs_the_models(spark):
+    from modelyard.operators import evaluation as V
+
+    samples = spark.createDataFrame(
+        [("m", str(i), i, f"context {i}", "who was it?", "it was me") for i in range(6)],
+        "model_id string, sample_id string, ord int, context string, question string, reference string",
+    )
+
+    def generate():
+        def call(prompts):
+            if any("context 3" in p for p in prompts):
+                raise RuntimeError
+            return ["it was me" for _ in prompts]
+
+        return call
+
+    classify = lambda: lambda pairs: ["ENTAILMENT 0.9" if "[SEP] it" in p else "odd" for p in pairs]
+    judge = lambda: lambda prompts: ["SCORE: 8 REASON: fine" if "it was me" in p.split("Prediction")[-1] else "" for p in prompts]
+    summary, scores = V.evaluate(samples, generate, classify, judge, dataset="d")
+    rows = {r.sample_id: r for r in scores.collect()}
+    assert rows["0"].rouge1 == 1 and rows["0"].faithfulness == 0.9
+    assert rows["3"].rouge1 == 0 and rows["3"].faithfulness == 0.5
+    one = summary.first()
+    assert (one.n_samples, one.dataset) == (6, "d")
+    assert V.evaluate(samples, generate, classify)[1].first().judge_score == 5.0
+
+
 def test_batched_call_makes_one_model_per_task(spark):
     def make():
         calls = []
