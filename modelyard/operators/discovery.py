@@ -6,14 +6,13 @@ The registry may be large; everything after the per-keyword cut is bounded by
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modelyard import constants as K
 from modelyard.functions.numbers import fixed, grouped, parse_float
+from modelyard.session import settled
 
 
 def category_keywords(
@@ -63,16 +62,6 @@ def matching_keywords(
     )
 
 
-def named_by_keyword(
-    rows: DataFrame, categories: dict[str, list[str]], wanted: list[str] | None = None
-) -> DataFrame:
-    """Rows whose model id holds any of the keywords: a plain scan filter."""
-    ident = F.lower("model_id")
-    words = {word for *_, word in category_keywords(categories, wanted)}
-    tests = [F.contains(ident, F.lit(word.lower())) for word in sorted(words)]
-    return rows.filter(reduce(lambda a, b: a | b, tests))
-
-
 def keyword_coverage(
     models: DataFrame, categories: dict[str, list[str]]
 ) -> DataFrame:
@@ -217,9 +206,11 @@ def card_completeness(cards: DataFrame) -> DataFrame:
 def with_card_quality(candidates: DataFrame, cards: DataFrame) -> DataFrame:
     """Attach card completeness; a missing card counts as 0.
 
-    Headings are counted where the card is read, so only (id, share) pairs move.
+    Only cards of candidates are searched; their number is bounded by the keyword cut.
+    Pass a written table of candidates, as it is read twice.
     """
-    return candidates.join(card_completeness(cards), "model_id", "left").withColumn(
+    wanted = cards.join(candidates.select("model_id").distinct(), "model_id", "left_semi")
+    return candidates.join(card_completeness(wanted), "model_id", "left").withColumn(
         "card_quality", F.coalesce("card_quality", F.lit(0.0))
     )
 
@@ -261,6 +252,12 @@ def _ranked(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("place", F.row_number().over(order))
 
 
+def probes_of_leading(candidates: DataFrame, probe_losses: DataFrame, top_k: int = K.TOP_K) -> DataFrame:
+    """Losses of the 2 x top_k leading models of each category, the only ones blended."""
+    leading = _ranked(candidates).filter(F.col("place") <= 2 * top_k).select("model_id").distinct()
+    return probe_losses.join(leading, "model_id", "left_semi")
+
+
 def blend_perplexity(candidates: DataFrame, ppl: DataFrame, top_k: int = K.TOP_K) -> DataFrame:
     """Re-score the leading 2 x top_k of each category where a perplexity is known."""
     bonus = F.when(F.isnan("ppl"), F.lit(0.0)).otherwise(
@@ -295,12 +292,11 @@ def discover(
     per_keyword: int = K.PER_KEYWORD,
 ) -> DataFrame:
     """Scan, gate, score and cut: every requested category in one job."""
-    found = scan_registry(models, categories, wanted, per_keyword)
-    candidates = scored(
-        with_card_quality(found, named_by_keyword(cards, categories, wanted))
-    )
+    found = settled(scan_registry(models, categories, wanted, per_keyword))
+    candidates = scored(with_card_quality(found, cards))
     if probe_losses is not None:
-        probes = named_by_keyword(probe_losses, categories, wanted)
+        candidates = settled(candidates)
+        probes = probes_of_leading(candidates, probe_losses, top_k)
         candidates = blend_perplexity(candidates, perplexity(probes), top_k)
     return top_candidates(candidates, top_k)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelyard.operators import discovery as D
+from modelyard.session import settled
 from modelyard.sources.views import CATEGORIES, duck, view
 
 def _models(spark, sf):
@@ -16,11 +17,13 @@ def _found(spark, sf):
 
 
 def _scored(spark, sf):
-    return D.scored(D.with_card_quality(_found(spark, sf), view(spark, sf, "cards")))
+    return D.scored(D.with_card_quality(settled(_found(spark, sf)), view(spark, sf, "cards")))
 
 
 def _blended(spark, sf):
-    return D.blend_perplexity(_scored(spark, sf), D.perplexity(view(spark, sf, "probe_losses")))
+    candidates = settled(_scored(spark, sf))
+    probes = D.probes_of_leading(candidates, view(spark, sf, "probe_losses"))
+    return D.blend_perplexity(candidates, D.perplexity(probes))
 
 
 def _all(spark, sf, ppl=True):
