@@ -123,7 +123,7 @@ def hallucination_words(prediction: Column) -> Column:
 def fill(template: str, **columns: Column) -> Column:
     """Template with ``{name}`` slots as one concat; other braces stay literal."""
     parts = []
-    for piece in re.split(r"(\{[a-z_]+\})", template):
+    for piece in re.split(r"(\{[A-Za-z0-9_]+\})", template):
         slot = piece[1:-1] if piece.startswith("{") and piece.endswith("}") else None
         if slot in columns:
             parts.append(F.coalesce(columns[slot].cast("string"), F.lit("")))

@@ -6,52 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 16
+from modelyard.session import settled
 
 
 def exclusive_running_total(
-    rows: DataFrame, order: str, value: str, out: str, group: str | None = None, bits: int = BLOCK_BITS
+    rows: DataFrame, order: str, value: str, out: str, group: str | None = None
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows that come before, in (group, order).
 
-    ``order`` must be a unique non-negative bigint. Rows fall into blocks of
-    ``2**bits`` order values, blocks into super-blocks of as many blocks; a window
-    never covers more than one of either, so neither a hot group nor a long table
-    ends in one task. Only the small tables of block totals are windowed above that.
+    ``order`` must be unique; it may be sparse, negative or of any sortable type. Rows are
+    range-partitioned by (group, order) and written with the number of their range, so the
+    ranges follow the data: neither a hot group nor sparse ids make one of them long, and
+    what feeds them runs once. A window covers one range; the window over all ranges has
+    one row for each.
     """
-    g = [group] if group else []
-    down = F.col(order)
-    # Spread once by block. Totals and windows below all read this exchange, so what
-    # feeds it runs once. To keep it shared, the totals mention ``order`` and the
-    # block number is never null (a nullable join key would add a filter below).
-    rows = rows.withColumn("_block", F.coalesce(F.shiftright(down, bits), F.lit(0).cast("bigint")))
-    rows = rows.repartition(*g, "_block")
+    keys = [group, order] if group else [order]
+    rows = settled(rows.repartitionByRange(*keys).withColumn("_block", F.spark_partition_id()))
     before = (W.unboundedPreceding, -1)
-
-    def lead_in(df: DataFrame, parts: list[str], by: str, name: str) -> DataFrame:
-        window = W.partitionBy(*parts).orderBy(by).rowsBetween(*before)
-        return df.withColumn(name, F.coalesce(F.sum("_n").over(window), F.lit(0).cast("bigint")))
-
-    totals = rows.groupBy(*g, "_block").agg(F.sum(F.when(down >= 0, F.col(value))).alias("_n"))
-    totals = totals.withColumn("_super", F.shiftright("_block", bits))
-    supers = totals.groupBy(*g, "_super").agg(F.sum("_n").alias("_n"))
-    blocks = lead_in(totals, [*g, "_super"], "_block", "_in_super").drop("_n")
-    tops = lead_in(supers, g, "_super", "_in_group").drop("_n")
-    offsets = blocks.join(tops, [*g, "_super"])
-    if group:
-        # One row per distinct group value, e.g. per distinct length.
-        groups = lead_in(totals.groupBy(group).agg(F.sum("_n").alias("_n")), [], group, "_in_all")
-        offsets = offsets.join(groups.drop("_n"), group)
-    else:
-        offsets = offsets.withColumn("_in_all", F.lit(0).cast("bigint"))
-    offsets = offsets.select(
-        *g, "_block", (F.col("_in_super") + F.col("_in_group") + F.col("_in_all")).alias("_offset")
-    )
-    inner = W.partitionBy(*g, "_block").orderBy(order).rowsBetween(*before)
+    none = F.lit(0).cast("bigint")
+    totals = rows.groupBy("_block").agg(F.sum(value).alias("_n"))
+    above = W.orderBy("_block").rowsBetween(*before)  # as many rows as ranges
+    offsets = totals.select("_block", F.coalesce(F.sum("_n").over(above), none).alias("_offset"))
+    inner = W.partitionBy("_block").orderBy(*keys).rowsBetween(*before)
     return (
-        rows.join(offsets, [*g, "_block"])
-        .withColumn(
-            out, F.col("_offset") + F.coalesce(F.sum(value).over(inner), F.lit(0).cast("bigint"))
-        )
+        rows.join(offsets, "_block")
+        .withColumn(out, F.col("_offset") + F.coalesce(F.sum(value).over(inner), none))
         .drop("_block", "_offset")
     )

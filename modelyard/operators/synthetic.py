@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelyard import constants as K
+from modelyard.functions.numbers import float_text
 from modelyard.functions.text import fill
 from modelyard.operators.prefix import exclusive_running_total
 
@@ -42,13 +43,21 @@ def parsed_replies(replies: DataFrame) -> DataFrame:
 
 
 def _as_text(item: Column, key: str) -> Column:
-    """Text of one field: absent -> '', null -> None, booleans capitalised."""
+    """Text of one field: absent -> '', null -> None, booleans capitalised.
+
+    A number written with a point or an exponent is a float and keeps a float's text.
+    """
     value = F.try_variant_get(item, f"$.{key}", "variant")
     text = F.try_variant_get(item, f"$.{key}", "string")
+    kind = F.schema_of_variant(value)
     return (
         F.when(value.isNull(), F.lit(""))
         .when(F.is_variant_null(value), F.lit("None"))
-        .when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text))
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .when(
+            kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
+            float_text(F.try_variant_get(item, f"$.{key}", "double")),
+        )
         .otherwise(text)
     )
 
@@ -86,10 +95,7 @@ def chat_rows(rows: DataFrame, *keep: str) -> DataFrame:
     complete = rows
     for part in parts:
         complete = complete.filter(F.col(part) != "")
-    text = F.concat(
-        F.lit(K.CHAT_OPEN), "context", F.lit(K.CHAT_QUESTION), "question",
-        F.lit(K.CHAT_RESPONSE + " "), "answer", F.lit(K.CHAT_CLOSE),
-    )
+    text = fill(K.CHAT_TEMPLATE, **{part: F.col(part) for part in parts})
     return complete.select(*keep, text.alias("text"), "gap_cat")
 
 
@@ -100,7 +106,7 @@ def words(text: Column) -> Column:
 
 def response_mask(chats: DataFrame, *keep: str) -> DataFrame:
     """Words with their place and whether they follow the last response marker."""
-    marker = K.CHAT_RESPONSE
+    marker = K.CHAT_MARKER
     spoken = F.when(
         F.contains("text", F.lit(marker)),
         F.size(words(F.substring_index("text", marker, -1))),

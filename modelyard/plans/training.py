@@ -74,7 +74,8 @@ sized AS (SELECT *, CAST(CASE json_type(js) WHEN 'ARRAY' THEN json_array_length(
 
 def _text(key: str) -> str:
     return f"""CASE json_type(it,'$.{key}') WHEN 'NULL' THEN 'None' WHEN 'BOOLEAN' THEN upper(left(it->>'$.{key}',1))||substring(it->>'$.{key}',2)
- ELSE coalesce(it->>'$.{key}','') END AS {key}"""
+
+ WHEN 'DOUBLE' THEN CAST(CAST(it->>'$.{key}' AS DOUBLE) AS VARCHAR) ELSE coalesce(it->>'$.{key}','') END AS {key}"""
 
 
 _ITEMS = (

@@ -1,5 +1,7 @@
 import json
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,17 +51,21 @@ def test_prompts(spark):
     assert '{"context": "...", "question"' in got["else"] and "factual recall" in got["else"]
 
 
-@pytest.mark.parametrize("bits", [2, 16])
-def test_running_total(spark, bits):
+@pytest.mark.parametrize("sparse", [False, True])
+def test_running_total(spark, sparse):
+    """Dense ids and 63-bit random ones; a group that holds two fifths of the rows."""
     n = 500
-    df = spark.range(n).selectExpr("id * 3 as o", "id % 7 as v", "case when id < 200 then 1 else id % 5 end as g")
-    got = {r.o: r.t for r in exclusive_running_total(df.repartition(7), "o", "v", "t", bits=bits).collect()}
+    r = random.Random(1)
+    ids = sorted({r.getrandbits(63) for _ in range(n)}) if sparse else [i * 3 for i in range(n)]
+    data = [(o, i % 7, 1 if i < 200 else i % 5) for i, o in enumerate(ids)]
+    df = spark.createDataFrame(data, "o bigint, v int, g int")
+    got = {r.o: r.t for r in exclusive_running_total(df.repartition(7), "o", "v", "t").collect()}
     total = 0
-    for i in range(n):
-        assert got[i * 3] == total
-        total += i % 7
-    rows = sorted((1 if i < 200 else i % 5, i * 3, i % 7) for i in range(n))
-    got = {r.o: r.t for r in exclusive_running_total(df, "o", "v", "t", "g", bits).collect()}
+    for o, v, _ in data:
+        assert got[o] == total
+        total += v
+    rows = sorted((g, o, v) for o, v, g in data)
+    got = {r.o: r.t for r in exclusive_running_total(df, "o", "v", "t", "g").collect()}
     total = 0
     for _, o, v in rows:
         assert got[o] == total
