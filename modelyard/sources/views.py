@@ -54,7 +54,9 @@ SELECT concat('m',conv_id%3) AS model_id, concat(conv_id,'-',turn) AS sample_id,
 FROM (SELECT u.conv_id, u.turn, u.text AS q, v.text AS a,
    u.conv_id%(SELECT count(*) FROM {documents}) AS doc_key, u.conv_id%(SELECT count(*) FROM {benchmark}) AS item_key
   FROM {conversations} u JOIN {conversations} v ON u.conv_id=v.conv_id AND v.turn=u.turn+1
-  WHERE u.role='user' AND v.role='assistant') c
+  WHERE u.role='user' AND v.role='assistant'
+  UNION ALL SELECT 100000000000+doc_id, 0, substring(text,1,60), substring(text,31,90), doc_id,
+   doc_id%(SELECT count(*) FROM {benchmark}) FROM {documents}) c
 JOIN {documents} d ON d.doc_id=c.doc_key JOIN {benchmark} b ON b.item_id=c.item_key""",
     "qa_raw": """
 SELECT ord, context, question, CASE WHEN nli_label IS NULL THEN NULL ELSE reference END AS answer FROM {samples}""",
@@ -63,9 +65,10 @@ SELECT conv_id*100+turn AS raw_id, CASE conv_id%5 WHEN 0 THEN 'factual_recall' W
   WHEN 2 THEN 'code_generation' WHEN 3 THEN 'summarization' ELSE 'unknown_gap' END AS gap_cat,
  CASE (conv_id+turn)%6 WHEN 0 THEN concat('[{{"context":"',t,'","question":"q',turn,'","answer":"a"}}]')
   WHEN 1 THEN concat('Here: [{{"context":"c',conv_id,'","question":"',t,'","answer":"a"}},{{"context":"","question":"q","answer":"z"}}] done')
-  WHEN 2 THEN text WHEN 3 THEN concat('[{{"context":1,"question":null,"answer":true}},5,{{"answer":"',t,'"}}]')
+  WHEN 2 THEN text WHEN 3 THEN concat('[{{"context":1,"question":null,"answer":true}},5,{{"answer":"',t,'"}},{{"context":',raw_num,',"question":1.0,"answer":-2.50}}]')
   WHEN 4 THEN '[a] then [{{"context":"z"}}]' ELSE concat('{{"context":"',t,'"}}') END AS raw
 FROM (SELECT conv_id, turn, text,
+  CASE conv_id%7 WHEN 0 THEN '1e-7' WHEN 1 THEN '123456789.5' WHEN 2 THEN '1.5e22' WHEN 3 THEN '0.0001' WHEN 4 THEN '12' WHEN 5 THEN '2e16' ELSE '0.5' END AS raw_num,
   replace(replace(replace(text,chr(92),concat(chr(92),chr(92))),chr(34),concat(chr(92),chr(34))),chr(10),concat(chr(92),'n')) AS t
   FROM {conversations}) c""",
     "responses": """
@@ -91,11 +94,12 @@ SELECT concat('m',vec_id%4) AS model_id,
   WHEN 1 THEN concat('model.layers.',t,'.self_attn.q_proj.weight') WHEN 2 THEN concat('model.layers.',t,'.mlp.up_proj.weight')
   WHEN 3 THEN concat('model.layers.',t,'.post_attention_layernorm.weight') WHEN 4 THEN concat('lm_head.',t,'.weight')
   WHEN 5 THEN concat('model.norm.',t,'.weight') ELSE concat('extra.',t,'.bias') END AS tensor,
+ t AS ordinal, CASE WHEN label=9 THEN 'BF16' ELSE 'F32' END AS dtype,
  {values} AS vals
 FROM (SELECT vec_id, label, embedding, cast(floor(vec_id/4e0) AS bigint) AS t FROM {embeddings}) e
 WHERE NOT (vec_id%4=3 AND label=9)"""
-_SPARK_VALUES = "CASE WHEN vec_id%4=2 AND label=7 THEN slice(embedding,1,60) ELSE embedding END"
-_DUCK_VALUES = "CASE WHEN vec_id%4=2 AND label=7 THEN embedding[1:60] ELSE embedding END"
+_SPARK_VALUES = "CASE WHEN vec_id%4=2 AND label=7 THEN slice(embedding,1,60) WHEN t%50=7 THEN slice(embedding,1,0) ELSE embedding END"
+_DUCK_VALUES = "CASE WHEN vec_id%4=2 AND label=7 THEN embedding[1:60] WHEN t%50=7 THEN embedding[1:0] ELSE embedding END"
 
 FIXTURE_CHUNK = 16
 
@@ -104,12 +108,18 @@ DUCK_ONLY = {
 SELECT m.model_id, q.probe, CASE WHEN m.tags IS NULL AND q.probe=2 THEN NULL
   ELSE ((m.ord*13+q.probe*7)%50)/10e0 END AS loss
 FROM {models} m CROSS JOIN (SELECT 0 AS probe UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) q""",
+    "tensors": f"""
+SELECT model_id, tensor, ordinal, dtype, len(vals) AS numel FROM ({_TENSORS.replace('{values}', _DUCK_VALUES)})""",
     "params": f"""
 SELECT model_id, tensor, len(vals) AS numel, unnest(range(len(vals))) AS idx, unnest(vals) AS value
 FROM ({_TENSORS.replace('{values}', _DUCK_VALUES)})""",
     "token_vecs": """
-SELECT vec_id//20 AS sample_id, CASE WHEN (vec_id//10)%2=0 THEN 'pred' ELSE 'ref' END AS side,
- vec_id%10 AS pos, embedding AS vec FROM {embeddings}""",
+SELECT t.model_id, t.sample_id, t.side, t.pos, e.embedding AS vec FROM (
+ SELECT CASE WHEN other THEN 'm9' ELSE model_id END AS model_id, sample_id, side, pos,
+  (ord*CASE side WHEN 'pred' THEN 3 ELSE 5 END+pos+CASE WHEN other THEN 7 ELSE 0 END)%(SELECT count(*) FROM {embeddings}) AS vec_id
+ FROM {samples}, (VALUES (false),(true)) o(other), (VALUES ('pred',6),('ref',5)) s(side,n), range(6) r(pos)
+ WHERE pos<n AND NOT (side='ref' AND ord%13=0) AND NOT (side='pred' AND ord%17=0)) t
+JOIN {embeddings} e ON e.vec_id=t.vec_id""",
     "adapter_a": """
 SELECT concat('w',label//5) AS tensor, label%5 AS r, col, avg(v) AS value
 FROM (SELECT label, unnest(range(len(embedding))) AS col, unnest(embedding) AS v FROM {embeddings}) GROUP BY ALL""",
@@ -154,18 +164,45 @@ def _from_sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
 def _params(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = _from_sql(spark, sf_dir, _TENSORS.replace("{values}", _SPARK_VALUES))
     return chunked(
-        whole.select("model_id", "tensor", F.array(F.size("vals").cast("bigint")).alias("shape"), "vals"),
+        whole.select(
+            "model_id",
+            "tensor",
+            "ordinal",
+            "dtype",
+            F.array(F.size("vals").cast("bigint")).alias("shape"),
+            "vals",
+        ),
         "vals",
         FIXTURE_CHUNK,
     )
 
 
 def _token_vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(
-        F.expr("vec_id div 20").alias("sample_id"),
-        F.when(F.expr("(vec_id div 10) % 2 = 0"), "pred").otherwise("ref").alias("side"),
-        F.expr("vec_id % 10").alias("pos"),
-        F.col("embedding").alias("vec"),
+    """Vectors of the answers of their model and, over the same samples, of model m9."""
+    vectors = table(spark, sf_dir, "embeddings")
+    cells = [
+        F.struct(F.lit(other).alias("other"), F.lit(side).alias("side"), F.lit(pos).cast("bigint").alias("pos"))
+        for other in (False, True)
+        for side, n in (("pred", 6), ("ref", 5))
+        for pos in range(n)
+    ]
+    places = view(spark, sf_dir, "samples").select(
+        "model_id", "sample_id", "ord", F.inline(F.array(*cells))
+    )
+    there = F.when(F.col("side") == "ref", F.col("ord") % 13 != 0).otherwise(F.col("ord") % 17 != 0)
+    step = F.when(F.col("side") == "pred", 3).otherwise(5)
+    place = F.col("ord") * step + F.col("pos") + F.when(F.col("other"), 7).otherwise(0)
+    return (
+        places.filter(there)
+        .withColumn("vec_id", place % F.lit(vectors.count()))
+        .join(vectors.select("vec_id", F.col("embedding").alias("vec")), "vec_id")
+        .select(
+            F.when(F.col("other"), "m9").otherwise(F.col("model_id")).alias("model_id"),
+            "sample_id",
+            "side",
+            "pos",
+            "vec",
+        )
     )
 
 

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import duckdb
 
-from modelyard.plans.catalog import oracle_sql, queries
+from __spark_entry__ import oracle_sql, queries
 from modelyard.session import local_session
 from modelyard.sources.tables import NAMES
 
