@@ -107,7 +107,6 @@ def run_code_category(spark, sf, **skip):
             PS.BASELINE,
         ),
         categories=CATEGORIES,
-        stem=False,
         **skip,
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from modelyard.functions import text as X
 from modelyard.operators import evaluation as V
 from modelyard.operators import scoring as S
+from modelyard.plans.stem_sql import stems_cte
 from modelyard.sources.views import duck, view
 
 KEY = S.KEY
@@ -24,9 +25,9 @@ def _r6(df, *names):
     return df
 
 
-def _scores(spark, sf, stem=False):
+def _scores(spark, sf):
     embedding = S.embedding_f1(view(spark, sf, "token_vecs"), BASELINE)
-    return V.sample_scores(_samples(spark, sf), embedding, stem=stem)
+    return V.sample_scores(_samples(spark, sf), embedding)
 
 
 def _summary(spark, sf):
@@ -109,6 +110,16 @@ QUERIES = {
 
 _TOK = """toks AS (SELECT model_id, sample_id, list_filter(string_split(regexp_replace(lower(prediction),'[^a-z0-9]+',' ','g'),' '), lambda t: t<>'') AS pred,
  list_filter(string_split(regexp_replace(lower(reference),'[^a-z0-9]+',' ','g'),' '), lambda t: t<>'') AS ref FROM samples)"""
+
+
+def _stemmed(side: str) -> str:
+    return f"""(SELECT model_id, sample_id, list(stem ORDER BY pos) AS {side} FROM (SELECT model_id, sample_id, unnest(range(len({side}))) AS pos, unnest({side}) AS tok
+  FROM raw_toks) u JOIN stems USING (tok) GROUP BY ALL)"""
+
+
+_STEMMED = f"""{_TOK.replace("toks AS", "raw_toks AS")}, {stems_cte("SELECT DISTINCT unnest(pred||ref) AS tok FROM raw_toks")},
+toks AS (SELECT model_id, sample_id, coalesce(p.pred,[]) AS pred, coalesce(q.ref,[]) AS ref FROM (SELECT model_id, sample_id FROM samples) s
+ LEFT JOIN {_stemmed('pred')} p USING (model_id, sample_id) LEFT JOIN {_stemmed('ref')} q USING (model_id, sample_id))"""
 _GRAMS = """grams AS (SELECT model_id, sample_id, 1 AS n, 'p' AS side, unnest(pred) AS g FROM toks
  UNION ALL SELECT model_id, sample_id, 1, 'r', unnest(ref) FROM toks
  UNION ALL SELECT model_id, sample_id, 2, 'p', unnest(list_transform(range(1,len(pred)), lambda i: pred[i]||' '||pred[i+1])) FROM toks
@@ -143,7 +154,7 @@ va AS (SELECT model_id, sample_id, avg(c) AS p FROM (SELECT model_id, sample_id,
 vb AS (SELECT model_id, sample_id, avg(c) AS r FROM (SELECT model_id, sample_id, rp, max(c) AS c FROM vm GROUP BY ALL) GROUP BY ALL),
 bert AS (SELECT model_id, sample_id, (coalesce(2*p*r/nullif(p+r,0),0)-{BASELINE})/(1-{BASELINE}::DOUBLE) AS bertscore_f1
  FROM (SELECT DISTINCT model_id, sample_id FROM token_vecs) LEFT JOIN va USING (model_id, sample_id) LEFT JOIN vb USING (model_id, sample_id))"""
-_SCORES = f"""{_TOK}, {_GRAMS}, {_LCS}, {_BERT}, scores AS (SELECT s.model_id, s.sample_id, s.ord, rouge1, rouge2, rougeL, coalesce(bertscore_f1,0) AS bertscore_f1,
+_SCORES = f"""{_STEMMED}, {_GRAMS}, {_LCS}, {_BERT}, scores AS (SELECT s.model_id, s.sample_id, s.ord, rouge1, rouge2, rougeL, coalesce(bertscore_f1,0) AS bertscore_f1,
  {_FAITH} AS faithfulness, {_HALL} OR {_FAITH}<0.3e0 AS hallucinated, {_judge('judge_raw')} AS judge_score
  FROM samples s JOIN rn USING (model_id,sample_id) JOIN rl USING (model_id,sample_id) LEFT JOIN bert USING (model_id,sample_id))"""
 _FAIL = "failing AS (SELECT * FROM scores WHERE rouge1<0.3e0 OR bertscore_f1<0.5e0 OR faithfulness<0.5e0 OR judge_score<5 OR hallucinated)"
@@ -178,6 +189,15 @@ ORACLE = {
         "samples",
         f"WITH {_TOK} SELECT model_id, sample_id, CAST(unnest(range(len(pred))) AS INTEGER) AS pos, unnest(pred) AS token FROM toks",
     ),
+    "E3_stems": duck(
+        "samples",
+        f"WITH {_STEMMED} SELECT model_id, sample_id, CAST(unnest(range(len(pred))) AS INTEGER) AS pos, unnest(pred) AS token FROM toks",
+    ),
+    "E4_E6_rouge_stemmed": duck(
+        "samples",
+        f"""WITH RECURSIVE {_STEMMED}, {_GRAMS}, {_LCS} SELECT model_id, sample_id, round(coalesce(rouge1,0),6) AS rouge1, round(coalesce(rouge2,0),6) AS rouge2,
+ round(rougeL,6) AS "rougeL" FROM rl LEFT JOIN rn USING (model_id, sample_id)""",
+    ),
     "E4_rouge1": duck(
         "samples", f"WITH {_TOK}, {_GRAMS} SELECT model_id, sample_id, round(rouge1,6) AS rouge1 FROM rn"
     ),
