@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelyard import constants as K
@@ -20,7 +20,8 @@ from modelyard.operators import evaluation as V
 from modelyard.operators import merging as G
 from modelyard.operators import reports as R
 from modelyard.operators import synthetic as Y
-from modelyard.session import new_shared_path
+from modelyard.session import written
+from modelyard.sources import files
 
 MERGED_MODELS = 3
 
@@ -35,6 +36,8 @@ class RunResult:
     prompts: DataFrame | None = None
     training_rows: DataFrame | None = None
     record: DataFrame | None = None
+    history: DataFrame | None = None
+    leaderboard: DataFrame | None = None
     shortlist: list[str] = field(default_factory=list)
 
 
@@ -55,12 +58,19 @@ def full_run(
     skip_eval: bool = False,
     skip_training: bool = False,
     stem: bool = True,
+    train: Callable[[str, DataFrame, int], str] | None = None,
+    max_iterations: int = 3,
+    results_path: str | None = None,
+    log_path: str | None = None,
 ) -> RunResult:
     """Discover, merge the leading three, evaluate, target the gaps, record.
 
     The callables stand for what needs a model: ``weights_of`` gives the chunked
     weights of named models, ``answers_of`` the scored-question table with a
-    model's answers, ``replies_to`` the generator's replies to gap prompts.
+    model's answers, ``replies_to`` the generator's replies to gap prompts, ``train`` a
+    model trained further on rows. With ``train`` the improvement loop runs instead of one
+    pass over the gaps. ``results_path`` receives the evaluation and is read back as the
+    leaderboard, ``log_path`` the run record.
     """
     shortlist: list[str] = []
     candidates = merged = None
@@ -83,11 +93,11 @@ def full_run(
     answers = answers_of(evaluated)
     embedding = embedding_scores_of(answers) if embedding_scores_of else None
     spark = answers.sparkSession
-    saved = new_shared_path(spark, "scores")
-    V.sample_scores(answers, embedding, stem=stem).write.parquet(saved)
-    run.scores = spark.read.parquet(saved)
+    run.scores = written(V.sample_scores(answers, embedding, stem=stem), "scores")
     run.gaps = V.detect_gaps(run.scores)
-    if not skip_training and replies_to:
+    if not skip_training and replies_to and train:
+        run.history = improvement_loop(evaluated, answers_of, replies_to, train, max_iterations, stem=stem)
+    elif not skip_training and replies_to:
         run.prompts = Y.gap_prompts(run.gaps)
         run.training_rows = Y.chat_rows(Y.synthetic_rows(replies_to(run.prompts)))
     summary = V.summarise(run.scores, category)
@@ -97,4 +107,49 @@ def full_run(
         F.lit(strategy),
         F.array(*[F.lit(m) for m in shortlist]).cast("array<string>"),
     )
+    if results_path:
+        files.write_evaluation(summary, run.scores.withColumn("dataset", F.lit(category)), results_path)
+        run.leaderboard = R.leaderboard(files.read_eval_results(spark, results_path))
+    if log_path:
+        files.append_runs(run.record, log_path)
     return run
+
+
+def improvement_loop(
+    model: str,
+    answers_of: Callable[[str], DataFrame],
+    replies_to: Callable[[DataFrame], DataFrame],
+    train: Callable[[str, DataFrame, int], str],
+    max_iterations: int = 3,
+    target: float = K.TARGET_ROUGE,
+    stem: bool = True,
+) -> DataFrame:
+    """Evaluate, find gaps, generate rows, train, again: one history row per iteration.
+
+    Scores and training rows are written once per iteration; only the iteration's mean and
+    its two counts come to the driver, to decide whether to go on. Rows are those that
+    ``loop_decisions`` judges: iteration, avg_rouge1, n_gaps, n_syn, and the model.
+    """
+    rows = []
+    spark = None
+    for iteration in range(1, max_iterations + 1):
+        scores = V.sample_scores(answers_of(model), run_judge=False, stem=stem)
+        spark = scores.sparkSession
+        scores = written(scores, "loop-scores")
+        one = V.summarise(scores, f"iter_{iteration}").first()
+        mean, gaps, made = (one["avg_rouge1"], len(one["gap_categories"]), 0) if one else (0.0, 0, 0)
+        trained = model
+        if mean < target and gaps:
+            prompts = Y.gap_prompts(V.detect_gaps(scores))
+            training = written(Y.chat_rows(Y.synthetic_rows(replies_to(prompts))), "loop-rows")
+            made = training.count()
+            if made:
+                trained = train(model, training, iteration)
+        rows.append((iteration, model, float(mean), gaps, made))
+        if not made:
+            break
+        model = trained
+    spark = spark or SparkSession.active()
+    return spark.createDataFrame(
+        rows, "iteration int, model_id string, avg_rouge1 double, n_gaps int, n_syn bigint"
+    )

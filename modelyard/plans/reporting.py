@@ -10,7 +10,7 @@ from modelyard.plans import discovery as PD
 from modelyard.plans import merging as PM
 from modelyard.plans import scoring as PS
 from modelyard.plans import training as PT
-from modelyard.plans.full_run import full_run
+from modelyard.plans.full_run import full_run, improvement_loop
 from modelyard.session import new_shared_path
 from modelyard.sources import files
 from modelyard.sources.views import CATEGORIES, duck, view
@@ -111,6 +111,33 @@ def run_code_category(spark, sf, **skip):
     )
 
 
+def _loop_history(spark, sf):
+    """Training is played by answers that turn into the reference, a quarter a time."""
+
+    def answers_of(model):
+        better = F.col("ord") % 4 < int(model.rsplit("+", 1)[-1])
+        return view(spark, sf, "samples").withColumns(
+            {"model_id": F.lit(model), "prediction": F.when(better, F.col("reference")).otherwise(F.col("prediction"))}
+        )
+
+    def replies_to(prompts):
+        return view(spark, sf, "llm_raw").join(prompts.select("gap_cat"), "gap_cat", "left_semi")
+
+    history = improvement_loop("x+0", answers_of, replies_to, lambda model, rows, i: f"x+{i}", target=LOOP_TARGET)
+    return history.withColumn("avg_rouge1", F.round("avg_rouge1", 6))
+
+
+def _run_leaderboard(spark, sf):
+    path = new_shared_path(spark, "run")
+    run = run_code_category(
+        spark, sf, skip_merge=True, skip_training=True, results_path=f"{path}/results", log_path=f"{path}/log"
+    )
+    logged = spark.read.parquet(f"{path}/log").select(F.col("model_id").alias("logged"))
+    return run.leaderboard.join(logged, F.col("model") == F.col("logged")).select(
+        "rank", "model", "dataset", "rouge1", "faithfulness", "judge", "hallucination"
+    )
+
+
 def _run_record(spark, sf):
     record = run_code_category(spark, sf).record
     return PS._r6(
@@ -128,6 +155,7 @@ def _run_weights(spark, sf):
 
 
 TWINS = ["", "o/", "o_"]
+LOOP_TARGET = 0.95
 
 QUERIES = {
     "R1_workload_prompts": lambda s, d: R.workload(
@@ -147,6 +175,8 @@ QUERIES = {
     "R7_leaderboard": lambda s, d: R.leaderboard(view(s, d, "eval_results")),
     "R8_run_record": _run_record,
     "R8_run_weights": _run_weights,
+    "R8_run_leaderboard": _run_leaderboard,
+    "R8_loop_history": _loop_history,
     "R8_run_training_rows": lambda s, d: run_code_category(s, d, skip_merge=True).training_rows,
     "R7_leaderboard_from_saved": lambda s, d: R.leaderboard(_saved_twins(s, d)),
     "IO5_eval_results_source": lambda s, d: PS._r6(
@@ -182,6 +212,16 @@ named AS (SELECT 'ties_'||string_agg(split_part(model_id,'/',-1),'_' ORDER BY pl
  string_agg(model_id,',' ORDER BY place) AS base_models FROM short)"""
 _MERGE2 = """d AS (SELECT f.model_id, f.tensor, f.idx, f.value-b.value AS d FROM params f JOIN params b ON b.model_id='m0'
  AND f.tensor=b.tensor AND f.idx=b.idx AND f.numel=b.numel WHERE f.model_id IN ('m1','m2'))"""
+# Three states of one model over the same samples; neither judge nor vectors are used.
+_LOOPED = (
+    PS._ALL.replace("WITH RECURSIVE ", """WITH RECURSIVE looped AS (SELECT s.* REPLACE ('x+'||i AS model_id,
+ sample_id||'/'||i AS sample_id, CASE WHEN ord%4<i THEN reference ELSE prediction END AS prediction) FROM samples s, range(3) t(i)), """)
+    .replace("FROM samples", "FROM looped")
+    .replace("JOIN samples", "JOIN looped")
+    .replace("looped s, range(3)", "samples s, range(3)")
+    .replace("coalesce(bertscore_f1,0) AS bertscore_f1", "0e0 AS bertscore_f1")
+    .replace(f"{PS._judge('judge_raw')} AS judge_score", "5e0 AS judge_score")
+)
 _TWINS = "twins AS (SELECT summary.* REPLACE (p||model_id AS model_id) FROM summary, (VALUES (''),('o/'),('o_')) v(p))"
 ORACLE = {
     "R1_workload_prompts": duck(
@@ -228,6 +268,22 @@ FROM (SELECT *, 'eval_'||replace(model_id,'/','_')||'_'||dataset||'.json' AS f F
  {PS._FAIL}, {PS._GAPS.replace("JOIN samples s USING (model_id,sample_id)", "JOIN samples s USING (sample_id)")}, {PS._SUMMARY}
 SELECT 'code-ties' AS run_name, model_id, 'ties' AS merge_strategy, (SELECT base_models FROM named) AS base_models, {PS._ROUND.replace('avg_rougeL,6) AS avg_rougeL', 'avg_rougeL,6) AS "avg_rougeL"')},
  0e0 AS tokens_per_sec, gap_categories, '' AS notes FROM summary""",
+    ),
+    "R8_run_leaderboard": duck(
+        "samples token_vecs",
+        f"""WITH RECURSIVE {PS._SCORES.replace("scores AS (SELECT s.model_id,", "scores AS (SELECT 'base' AS model_id,")},
+ {PS._FAIL}, {PS._GAPS.replace("JOIN samples s USING (model_id,sample_id)", "JOIN samples s USING (sample_id)")}, {PS._SUMMARY}
+SELECT CAST(1 AS INTEGER) AS rank, 'base' AS model, 'code' AS dataset, printf('%.3f',avg_rouge1) AS rouge1, printf('%.3f',avg_faithfulness) AS faithfulness,
+ printf('%.1f',avg_judge_score) AS judge, printf('%.1f',hallucination_rate*100)||'%' AS hallucination FROM summary""",
+    ),
+    "R8_loop_history": duck(
+        "samples token_vecs llm_raw",
+        f"""{_LOOPED} , {PT._ITEMS.replace("sized AS", "sized_r AS")},
+made AS (SELECT g.model_id, count(*) AS n_syn FROM syn JOIN gaps g USING (gap_cat) WHERE context<>'' AND question<>'' AND answer<>'' GROUP BY g.model_id),
+runs AS (SELECT CAST(right(model_id,1) AS INTEGER)+1 AS iteration, s.model_id, round(avg_rouge1,6) AS avg_rouge1,
+ CAST(CASE WHEN gap_categories='' THEN 0 ELSE len(string_split(gap_categories,',')) END AS INTEGER) AS n_gaps,
+ CASE WHEN avg_rouge1<{LOOP_TARGET} THEN coalesce(n_syn,0) ELSE 0 END AS n_syn FROM summary s LEFT JOIN made USING (model_id))
+SELECT * FROM runs r WHERE NOT EXISTS (SELECT 1 FROM runs e WHERE e.iteration<r.iteration AND e.n_syn=0)""",
     ),
     "R8_run_weights": duck(
         "params",
