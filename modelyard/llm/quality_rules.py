@@ -1,8 +1,8 @@
 """Weak supervision over quality rules, in DataFrame operations only.
 
 Each rule votes good or bad or abstains. Expectation-maximisation over the counts of vote
-patterns (at most 3^rules rows, whatever the corpus) estimates how accurate each rule is
-for good and for bad documents; a document is kept if its posterior probability of being
+patterns (at most 3^rules rows, whatever the corpus) estimates how often each rule votes
+right or wrong on good and on bad documents; a document is kept if its posterior probability of being
 good is at least one half and it does not fail the two hard limits.
 
 Defined results: a null or empty text has no words, fails the word limit and is not kept.
@@ -101,81 +101,104 @@ def signals(text: Column) -> Column:
     return let(text, of)
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    """1 good, 0 bad, null abstains."""
-    return F.when(bad, 0).when(good, 1)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    """0 bad, 1 good, null abstains. Most rules know a defect and say nothing without it."""
+    vote = F.when(bad, 0)
+    return vote if good is None else vote.when(good, 1)
 
 
 def rules(s: Column) -> dict[str, Column]:
     """The rules, as votes over the signals."""
     n, chars = s["n_words"], s["word_chars"]
     return {
-        "length": _vote(n >= 50, n < MIN_WORDS),
-        "symbols": _vote(s["n_symbols"] * 50 <= n, s["n_symbols"] * 10 > n),
-        "lines": _vote(s["n_dup_lines"] == 0, s["n_dup_lines"] * 10 > s["n_lines"] * 3),
-        "repeats": _vote(s["n_repeat_words"] * 20 <= n, s["n_repeat_words"] * 5 > n),
-        "word_length": _vote((chars >= n * 3) & (chars <= n * 10), (chars < n * 2) | (chars > n * 14)),
-        "upper": _vote(s["n_upper"] * 5 <= chars, s["n_upper"] * 10 > chars * 4),
-        "marks": _vote(s["n_marks"] * 50 <= n, s["n_marks"] * 10 > n),
+        "length": _vote(n < MIN_WORDS, n >= 50),
+        "symbols": _vote(s["n_symbols"] * 10 > n),
+        "lines": _vote(s["n_dup_lines"] * 2 > s["n_lines"]),
+        "repeats": _vote(s["n_repeat_words"] * 100 > n * MAX_REPEAT_PERCENT),
+        "word_length": _vote((chars < n * 2) | (chars > n * 14), (chars >= n * 3) & (chars <= n * 10)),
+        "upper": _vote(s["n_upper"] * 10 > chars * 4),
+        "marks": _vote(s["n_marks"] * 4 > n),
     }
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Prior of good, and per rule P(votes good | good) and P(votes bad | bad)."""
+    """Prior of good, and per rule how often it votes (good, bad) on good and on bad documents."""
 
     prior: float
-    accuracy: dict[str, tuple[float, float]]
+    votes: dict[str, tuple[tuple[float, float], tuple[float, float]]]
+
+    def accuracy(self, name: str) -> tuple[float, float]:
+        """Share of the rule's votes that are right, on good and on bad documents."""
+        (gg, gb), (bg, bb) = self.votes[name]
+        return gg / (gg + gb), bb / (bg + bb)
+
+    def weight(self, name: str, vote: int | None) -> float:
+        """Log-odds of good that a vote, or an abstention, adds."""
+        (gg, gb), (bg, bb) = self.votes[name]
+        good, bad = {1: (gg, bg), 0: (gb, bb), None: (1 - gg - gb, 1 - bg - bb)}[vote]
+        return math.log(good / bad) if good and bad else 0.0
 
     def logit(self, votes: dict[str, Column]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, vote in votes.items():
-            good, bad = self.accuracy[name]
-            total = total + F.when(vote == 1, math.log(good / (1 - bad))).when(
-                vote == 0, math.log((1 - good) / bad)
-            ).otherwise(0.0)
+            total = total + F.when(vote == 1, self.weight(name, 1)).when(
+                vote == 0, self.weight(name, 0)
+            ).otherwise(self.weight(name, None))
         return total
 
+    def posterior(self, names: list[str], votes: tuple[int | None, ...]) -> float:
+        logit = math.log(self.prior / (1 - self.prior))
+        logit += sum(self.weight(n, v) for n, v in zip(names, votes))
+        return 1 / (1 + math.exp(-logit))
+
 
-START_PRIOR, START_ACCURACY = 0.9, (0.95, 0.8)
+START_PRIOR = 0.9
+#: (votes good, votes bad) of a rule on good and on bad documents before any data, for rules
+#: that cast both votes and for rules that only know a defect; and the share of the
+#: documents that this opinion weighs.
+START_BOTH = ((0.6, 0.002), (0.5, 0.2))
+START_DEFECT = ((0.0, 0.002), (0.0, 0.2))
+OPINION = 0.05
+#: Rules are written to be rare on good documents. Without this bound a defect that never
+#: meets another one would be learned as a harmless trait of good documents.
+MOST_FALSE, LEAST_FOUND, MOST_GOOD = 0.002, 0.1, 0.95
 
 
 def expectation_maximisation(
-    patterns: list[tuple[tuple[int | None, ...], int]], names: list[str], rounds: int = 50
+    patterns: list[tuple[tuple[int | None, ...], int]], names: list[str], rounds: int = 60
 ) -> LabelModel:
-    """Fit the label model on counted vote patterns. An abstaining rule says nothing.
+    """Fit the label model on counted vote patterns.
 
-    Estimates are smoothed with pseudo-documents and kept between 0.55 and 0.995, so that
-    no rule can decide alone or be read the wrong way round.
+    On good documents a rule votes bad at most MOST_FALSE of the time, on bad ones at least
+    LEAST_FOUND; the share of good documents stays between one half and MOST_GOOD.
     """
-    prior = START_PRIOR
-    accuracy = {name: START_ACCURACY for name in names}
+    both = {name: any(votes[i] == 1 for votes, _ in patterns) for i, name in enumerate(names)}
+    start = {name: START_BOTH if both[name] else START_DEFECT for name in names}
+    model = LabelModel(START_PRIOR, start)
     total = sum(count for _, count in patterns)
-    clip = lambda x: min(0.995, max(0.55, x))
     for _ in range(rounds if total else 0):
-        seen = {name: [0.0, 0.0, 0.0, 0.0] for name in names}
-        good_mass = 0.0
+        mass = [0.0, 0.0]  # of good, of bad
+        cast = {name: [[0.0, 0.0], [0.0, 0.0]] for name in names}
         for votes, count in patterns:
-            logit = math.log(prior / (1 - prior))
-            for name, vote in zip(names, votes):
-                good, bad = accuracy[name]
-                if vote is not None:
-                    logit += math.log(good / (1 - bad) if vote else (1 - good) / bad)
-            p = 1 / (1 + math.exp(-logit))
-            good_mass += p * count
-            for name, vote in zip(names, votes):
-                if vote is not None:
-                    s = seen[name]
-                    s[0] += p * count * (vote == 1)
-                    s[1] += p * count
-                    s[2] += (1 - p) * count * (vote == 0)
-                    s[3] += (1 - p) * count
-        prior = min(0.99, max(0.5, (good_mass + 9) / (total + 10)))
-        accuracy = {
-            name: (clip((s[0] + 19) / (s[1] + 20)), clip((s[2] + 8) / (s[3] + 10)))
-            for name, s in seen.items()
-        }
-    return LabelModel(prior, accuracy)
+            p = model.posterior(names, votes)
+            for k, share in enumerate((p * count, (1 - p) * count)):
+                mass[k] += share
+                for name, vote in zip(names, votes):
+                    if vote is not None:
+                        cast[name][k][1 - vote] += share
+        extra = OPINION * total
+
+        def rates(name: str, k: int) -> tuple[float, float]:
+            good, bad = (
+                (cast[name][k][i] + extra * start[name][k][i]) / (mass[k] + extra) for i in (0, 1)
+            )
+            bad = min(bad, MOST_FALSE) if k == 0 else max(bad, LEAST_FOUND)
+            return min(good, 0.999 - bad), bad
+
+        prior = min(MOST_GOOD, max(0.5, (mass[0] + extra * START_PRIOR) / (total + extra)))
+        model = LabelModel(prior, {name: (rates(name, 0), rates(name, 1)) for name in names})
+    return model
 
 
 def fit(judged: DataFrame, signal: str) -> LabelModel:

@@ -92,22 +92,42 @@ def test_rules_on_an_empty_table(no_docs):
     assert quality_rules.judge(no_docs).count() == 0
 
 
-def test_expectation_maximisation_finds_accuracies():
-    """Votes drawn from known accuracies are recovered."""
+def test_expectation_maximisation_finds_rates():
+    """Votes drawn from known rates are recovered, and so are the documents' classes."""
     r = random.Random(1)
-    truth = {"a": (0.95, 0.9), "b": (0.9, 0.8), "c": (0.8, 0.95), "d": (0.85, 0.85)}
-    counts = {}
-    for _ in range(20_000):
+    truth = {  # (good, bad) votes on good, on bad documents
+        "a": ((0.9, 0.001), (0.3, 0.5)),
+        "b": ((0.0, 0.002), (0.0, 0.4)),
+        "c": ((0.0, 0.001), (0.0, 0.6)),
+        "d": ((0.7, 0.002), (0.2, 0.3)),
+    }
+    counts, right, n = {}, {}, 40_000
+    for _ in range(n):
         good = r.random() < 0.8
         votes = []
-        for g, b in truth.values():
-            right = r.random() < (g if good else b)
-            votes.append(None if r.random() < 0.1 else int(right == good))
+        for rates in truth.values():
+            g, b = rates[0 if good else 1]
+            x = r.random()
+            votes.append(1 if x < g else 0 if x < g + b else None)
         counts[tuple(votes)] = counts.get(tuple(votes), 0) + 1
+        right.setdefault(tuple(votes), []).append(good)
     model = quality_rules.expectation_maximisation(list(counts.items()), list(truth))
-    assert abs(model.prior - 0.8) < 0.03
-    for name, (g, b) in truth.items():
-        assert abs(model.accuracy[name][0] - g) < 0.03 and abs(model.accuracy[name][1] - b) < 0.06
+    assert abs(model.prior - 0.8) < 0.05
+    for name, (on_good, on_bad) in truth.items():
+        assert abs(model.votes[name][0][0] - on_good[0]) < 0.05
+        assert abs(model.votes[name][1][1] - on_bad[1]) < 0.12
+    agree = sum(
+        sum(g == (model.posterior(list(truth), v) > 0.5) for g in goods) for v, goods in right.items()
+    )
+    assert agree / n > 0.95
+
+
+def test_one_defect_outweighs_what_other_rules_do_not_see():
+    """Rules that only know a defect: documents with one are bad, all others good."""
+    counts = {(1, None, None): 9000, (None, None, None): 400, (1, 0, None): 250, (1, None, 0): 300, (0, None, None): 50}
+    model = quality_rules.expectation_maximisation(list(counts.items()), ["length", "a", "b"])
+    verdict = {v: model.posterior(["length", "a", "b"], v) for v in counts}
+    assert [p > 0.5 for p in verdict.values()] == [True, True, False, False, False]
 
 
 def test_encoding_equals_the_library(spark):
