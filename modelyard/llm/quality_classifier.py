@@ -2,8 +2,8 @@
 
 Every token bin has a fixed sparse index vector of signs. A bin's word vector is the sum of
 the index vectors of its neighbours (up to REACH places away) over all texts. A document
-is pooled to the mean and the spread of its tokens' vectors; a two-layer network, with a
-temperature fitted on rows it has not seen, turns that into the probability of good.
+is pooled to the mean and the spread of its tokens' vectors, with its length and its share
+of distinct tokens; a two-layer network, with a temperature fitted on rows it has not seen, turns that into the probability of good.
 
 Word vectors come from all texts; the network is fitted on at most 2 * PER_CLASS labelled
 texts.
@@ -82,16 +82,19 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of the word vectors of every text."""
+    """Mean and spread of the word vectors of every text, its length and its share of
+    distinct tokens."""
     bins, at = features.token_bins(*features.code_points(texts), BITS)
-    out = np.zeros((len(texts), 2 * DIM))
+    out = np.zeros((len(texts), 2 * DIM + 2))
     for i in range(len(texts)):
         own = bins[at[i] : at[i + 1]]
         if len(own):
             x = vectors[own]
             mean = x.mean(axis=0)
             out[i, :DIM] = mean
-            out[i, DIM:] = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean * mean, 0))
+            out[i, 2 * DIM] = np.log1p(len(own))
+            out[i, 2 * DIM + 1] = len(np.unique(own)) / len(own)
+            out[i, DIM : 2 * DIM] = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean * mean, 0))
     return out
 
 
