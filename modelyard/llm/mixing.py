@@ -31,7 +31,7 @@ BLOCK = 1024
 MAX_REPEATS = 3
 MAX_SOURCES = 4096
 SLOT_PIECE = 1 << 15
-ROWS_PER_PIECE = 20_000
+ROWS_PER_PIECE = 4096
 
 
 def word_count(text: Column) -> Column:
