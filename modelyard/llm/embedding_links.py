@@ -4,9 +4,12 @@ Vectors are scaled to length one and cut into halves; each half has its own code
 the two codes span a grid of cells. For a pair with cosine >= c the distance is at most
 r = sqrt(2 - 2c), and a vector's distance to a cell of the grid is bounded from below by
 its distances to the bisecting planes between its own centroids and the cell's. A vector
-visits cells in growing order of that bound until it passes r, so recall is complete:
-what is not visited cannot link. Residents of visited cells are then verified in double
-precision, in tiles.
+visits cells in growing order of that bound until the target recall: for the default of
+1 until the bound passes r, beyond which no cell can hold a link; for less until the
+chance that a link's difference, if it points anywhere alike, reaches farther is small
+enough. Residents of visited cells are then verified in double precision, in tiles.
+Complete recall visits a share of the grid that shrinks slowly (a quarter of 256 cells, a
+sixteenth of 4096, in 64 dimensions); tables of billions should ask for 0.9999.
 
 The codebooks are fitted on at most SAMPLE vectors; all vectors are indexed and compared.
 
@@ -33,9 +36,10 @@ from modelyard.session import settled
 
 THRESHOLD = 0.98
 SAMPLE = 8192  # vectors that the codebooks are fitted on, at most
-PER_CELL = 256  # wanted vectors of one label in a cell
+PER_CELL = 2048  # wanted vectors of one label in a cell
 MAX_CODES = 256  # centroids of one half, at most: bounds the broadcast codebooks
-TILE = 1024
+TILE = 4096
+TARGET_RECALL = 1.0
 ADDED = ("n_links", "component_id", "kept")
 
 
@@ -99,6 +103,18 @@ def traverse(first: np.ndarray, second: np.ndarray, limit: float) -> list[tuple[
     return [(i, j) for _, i, j in sorted(cells)]
 
 
+def stop_at(threshold: float, recall: float, width: int) -> float:
+    """The bound's value at which a traversal may end.
+
+    Two unit normals, one in each half, span a plane; of a difference of length r in width
+    dimensions, the part in that plane has a squared length below t * r**2 with
+    probability 1 - (1 - t) ** ((width - 2) / 2).
+    """
+    r2 = 2 - 2 * threshold
+    share = 1.0 if recall >= 1 or width <= 2 else 1 - (1 - recall) ** (2 / (width - 2))
+    return r2 * share + 1e-9
+
+
 def _codebooks(vectors: DataFrame, codes: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     sample = (
         vectors.orderBy(F.xxhash64("rep", "k1"), "rep").limit(SAMPLE).select("vector").toPandas()["vector"]
@@ -109,9 +125,8 @@ def _codebooks(vectors: DataFrame, codes: int, width: int) -> tuple[np.ndarray,
     return fit_codebook(x[:, :cut], codes), fit_codebook(x[:, cut:] if width > 1 else x * 0, codes)
 
 
-def _entries(books: tuple[np.ndarray, np.ndarray], width: int, threshold: float):
+def _entries(books: tuple[np.ndarray, np.ndarray], width: int, limit: float):
     """A task function: each vector as resident of its cell and as visitor of later cells."""
-    limit = 2 - 2 * threshold + 1e-9
     cut, columns = (width + 1) // 2, len(books[1])
 
     def run(batches):
@@ -201,6 +216,7 @@ def link(
     vector: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
+    recall: float = TARGET_RECALL,
 ) -> DataFrame:
     """vectors with n_links, component_id and kept (id = component_id)."""
     k1, k2, rep = (free_name(vectors, n) for n in ("k1", "k2", "rep"))
@@ -231,7 +247,8 @@ def link(
         slim = distinct.select("label", "dim", "rep", "copies", "vector")
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields)
         entries = slim.mapInPandas(
-            _entries(books, shape["width"], threshold), f"{kinds}, cell int, resident boolean"
+            _entries(books, shape["width"], stop_at(threshold, recall, shape["width"])),
+            f"{kinds}, cell int, resident boolean",
         )
         found = settled(_tile_results(entries, shape["width"], threshold))
         links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))

@@ -67,6 +67,7 @@ def test_embedding_links(spark):
 
 def test_embedding_links_in_many_tiles(spark, monkeypatch):
     monkeypatch.setattr(embedding_links, "TILE", 16)
+    monkeypatch.setattr(embedding_links, "PER_CELL", 8)
     test_embedding_links(spark)
 
 
@@ -86,6 +87,25 @@ def test_visits_reach_every_cell_of_a_link():
             assert (o1[i], o2[i]) in cells
 
 
+def test_recall_of_an_early_stop():
+    """With a target below 1, links in random directions are still found as often."""
+    r = np.random.default_rng(6)
+    x = embedding_links.unit(r.normal(size=(1500, 64)), 64)
+    step = r.normal(size=x.shape)
+    step -= (step * x).sum(axis=1, keepdims=True) * x
+    y = embedding_links.unit(x + 0.2 * step / np.linalg.norm(step, axis=1, keepdims=True), 64)
+    books = embedding_links.fit_codebook(x[:, :32], 16), embedding_links.fit_codebook(x[:, 32:], 16)
+    (_, b1), (_, b2) = embedding_links.bounds(x[:, :32], books[0]), embedding_links.bounds(x[:, 32:], books[1])
+    (o1, _), (o2, _) = embedding_links.bounds(y[:, :32], books[0]), embedding_links.bounds(y[:, 32:], books[1])
+    visits = {}
+    for recall in (0.99, 1.0):
+        limit = embedding_links.stop_at(0.98, recall, 64)
+        cells = [set(embedding_links.traverse(b1[i], b2[i], limit)) for i in range(len(x))]
+        assert np.mean([(o1[i], o2[i]) in c for i, c in enumerate(cells)]) >= recall
+        visits[recall] = sum(map(len, cells))
+    assert visits[0.99] < visits[1.0] / 2
+
+
 def near_copies():
     r = random.Random(7)
     texts = []
