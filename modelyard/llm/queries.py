@@ -162,5 +162,29 @@ WITH RECURSIVE v AS (
 degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, c AS component_id, e.vec_id = c AS kept
 FROM embeddings e JOIN component ON component.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+""",
+    "op9_jaccard_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), firsts AS (
+  SELECT text, any_value(ws) AS ws, min(doc_id) AS rep, count(*) AS copies FROM w WHERE len(ws) > 0 GROUP BY text
+), shingles AS (
+  SELECT DISTINCT rep, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
+    lambda i: array_to_string(ws[i:i + 4], ' '))) AS g FROM firsts
+), sizes AS (SELECT rep, count(*) AS n FROM shingles GROUP BY rep),
+shared AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.g = b.g AND a.rep <> b.rep GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.rep = a JOIN sizes y ON y.rep = b WHERE 5 * common >= 4 * (x.n + y.n - common)
+), reach AS (
+  SELECT rep AS a, rep AS b FROM firsts
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), component AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+degree AS (SELECT l.a, sum(f.copies) AS n FROM links l JOIN firsts f ON f.rep = l.b GROUP BY l.a)
+SELECT d.doc_id, coalesce(f.rep, d.doc_id) AS class_id, CAST(coalesce(f.copies - 1, 0) + coalesce(g.n, 0) AS BIGINT) AS n_links,
+  coalesce(c.c, d.doc_id) AS component_id, d.doc_id = coalesce(c.c, d.doc_id) AS kept
+FROM documents d LEFT JOIN firsts f ON f.text = d.text LEFT JOIN component c ON c.a = f.rep LEFT JOIN degree g ON g.a = f.rep
 """,
 }

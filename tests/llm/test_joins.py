@@ -281,10 +281,11 @@ def test_whole_tables(spark):
         assert QUERIES[name](spark, sf).count() == spark.read.parquet(f"{sf}/{table}.parquet").count()
 
 
-def test_links_check_sql(spark):
+@pytest.mark.parametrize("name", ["op1_embedding_links", "op9_jaccard_join"])
+def test_check_sql(spark, name):
     from tests.oracle import compare, connect
 
-    ok, note = compare(spark, connect("/root/testdata/sf0.001"), "/root/testdata/sf0.001", "op1_embedding_links")
+    ok, note = compare(spark, connect("/root/testdata/sf0.001"), "/root/testdata/sf0.001", name)
     assert ok, note
 
 
