@@ -32,10 +32,12 @@ HEADLINE = [
     "S3_item_projection",
     "S6_response_mask",
     "S7_packing_segments",
+    "S7_packed_windows",
     "S8_length_batches",
     "S9_loop_decisions",
     "R3_throughput",
     "R7_leaderboard",
+    "IO10_parameter_sink",
 ]
 
 

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from modelyard.plans import catalog
+from modelyard.sources.tables import table
+from modelyard.sources.views import view
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -29,3 +31,9 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_every_document_is_a_context(spark):
+    contexts = view(spark, SF_DIR, "samples").select("context").distinct()
+    documents = table(spark, SF_DIR, "documents").select("text").distinct()
+    assert documents.join(contexts, documents.text == contexts.context, "left_anti").count() == 0
