@@ -49,7 +49,8 @@ def counts(texts: list[str]) -> np.ndarray:
 
 
 def scaled(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = x * idf
+    """TF-IDF of length one; the logarithm keeps a foreign passage from outweighing a text."""
+    x = np.log1p(x) * idf
     length = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(length == 0, 1, length)
 
@@ -99,11 +100,13 @@ def _vectors(batches):
 
 
 def _k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
-    """Spherical k-means; the starts are far from each other."""
-    centres = [x.mean(axis=0)]
-    while len(centres) < min(k, len(x)):
-        centres.append(x[(x @ np.array(centres).T).max(axis=1).argmin()])
-    c = np.array(centres)
+    """Spherical k-means; starts are the means of layers by closeness to the common mean.
+
+    Starting from outliers instead would give texts with a foreign passage a centroid.
+    """
+    layers = np.array_split(x[np.argsort(x @ x.mean(axis=0), kind="stable")], min(k, len(x)))
+    c = np.array([layer.mean(axis=0) for layer in layers])
+    c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
     for _ in range(rounds):
         own = (x @ c.T).argmax(axis=1)
         c = np.array([x[own == i].mean(axis=0) if (own == i).any() else c[i] for i in range(len(c))])
@@ -126,7 +129,7 @@ def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lan
     idf = np.zeros(1 << BITS, np.float32)
     total = df.pop(-1)
     for k, n in df.items():
-        idf[k] = np.log((1 + total) / (1 + n)) + 1e-3
+        idf[k] = np.log((1 + total) / (1 + n)) + 1
     per_language = max(1, SAMPLE // len(sizes))
     chosen = F.lit(False)
     for r in sizes:  # a share of the hash range that holds about per_language rows

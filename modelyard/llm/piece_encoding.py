@@ -23,7 +23,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from pathlib import Path
 
 import ahocorasick

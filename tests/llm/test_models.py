@@ -84,7 +84,7 @@ def test_language_by_hand(spark):
     model = language.fit(docs, F.lit(True))
     names = model.predict([r.text for r in docs.collect()])[0]
     for r, name in zip(docs.collect(), names):
-        x = language.counts([r.text])[0] * model.idf
+        x = np.log1p(language.counts([r.text])[0]) * model.idf
         cosines = model.centroids @ x / (np.linalg.norm(x) or 1)
         assert model.languages[model.owner[int(cosines.argmax())]] == name
     far = model.predict(["0123 4567 " * 50])[2]
