@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from modelyard.llm.text import free_name
 
 MARK = "▁"
-KNOWN_STRETCHES = 500_000
+KNOWN_STRETCHES = 200_000
 KNOWN_PAIRS = 300_000
 CHUNK = 4_000_000  # bytes of text encoded at once
 NORMAL, USER_DEFINED = 1, 4
