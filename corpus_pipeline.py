@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from modelyard.llm import jaccard_join, mixing, pii, piece_encoding, quality_rules
 from modelyard.llm.queries import tokenizer_model
-from modelyard.session import new_shared_path
+from modelyard.llm.text import free_name
+from modelyard.session import new_shared_path, settled
 from modelyard.sources.tables import table
 
 
@@ -22,9 +23,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of copies and near copies; the least id stays."""
-    found = jaccard_join.join(docs).filter("kept").select(*docs.columns)
-    return found.dropDuplicates(["doc_id"])
+    """One document of every group of copies and near copies; the least id stays.
+
+    A document is an id and its text: texts that share an id are documents of their own, and
+    rows that repeat both are one. A row with a null id is nobody's copy and stays.
+    """
+    named = docs.filter(F.col("doc_id").isNotNull())
+    hashes = [F.xxhash64(F.lit(k), "text").alias(free_name(docs, f"text_hash{k}")) for k in (1, 2)]
+    texts = named.select("doc_id", F.struct(*hashes).alias("text_key"))
+    ambiguous = texts.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).filter("a <> b")
+    id_col = "doc_id"
+    if not ambiguous.isEmpty():  # the join needs an id per document: number them in the order of doc_id
+        id_col = free_name(docs, "document_no")
+        known = [free_name(docs, x) for x in ("known_id", "known_hash1", "known_hash2")]
+        numbers = settled(
+            named.select(F.col("doc_id").alias(known[0]), *[h.alias(x) for h, x in zip(hashes, known[1:])])
+            .distinct()
+            .orderBy(*known)
+            .withColumn(id_col, F.monotonically_increasing_id())
+        )
+        keyed = named.select("*", *hashes)
+        same = [F.col(a) == F.col(b) for a, b in zip(["doc_id", *keyed.columns[-2:]], known)]
+        named = keyed.join(numbers, same).select(*docs.columns, id_col)
+    kept = jaccard_join.join(named, id_col).filter("kept").dropDuplicates([id_col])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from modelyard.llm import pii, quality_rules
 from tests.llm import brute
-from tests.llm.conftest import edge_texts
+from tests.llm.conftest import edge_texts, words
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -88,3 +88,23 @@ def test_stages_take_empty_tables(spark, no_docs):
 def test_masking_leaves_clean_text_alone(spark):
     df = spark.createDataFrame([("no data here 12 34",)], "text string")
     assert pii.mask(df).first().text == "no data here 12 34"
+
+
+def test_near_duplicates_lose_no_document_without_a_copy(spark):
+    a, b, c, d, e = (" ".join(words(seed, 80)) for seed in range(50, 55))
+    rows = [
+        (None, a, "en", "s", 1),
+        (None, b, "en", "s", 2),
+        (7, c, "en", "s", 3),  # one id with two texts
+        (7, d, "en", "s", 4),
+        (7, c, "en", "s", 3),  # a repeated row
+        (3, d, "en", "s", 5),  # a copy of the second text only; the least id stays
+        (9, d + " tail", "en", "s", 6),
+        (8, e, "en", "s", 7),
+    ]
+    wanted = [(None, a), (None, b), (3, d), (7, c), (8, e)]
+    shared = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for docs, left in ((shared, wanted), (shared.filter("doc_id IS NULL OR doc_id <> 7"), wanted[:3] + wanted[4:])):
+        got = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF)
+        assert got.columns == COLUMNS
+        assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted((str(i), t) for i, t in left)
