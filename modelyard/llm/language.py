@@ -5,7 +5,8 @@ language has a few centroids (spherical k-means of its training texts); the lang
 the centroid with the highest cosine wins. A text farther from it than nearly all training
 texts of that language were is marked as rejected; its nearest language is still told.
 
-Document frequencies come from all training rows; centroids from at most SAMPLE texts.
+Document frequencies come from all training rows; centroids from at most SAMPLE texts, an
+equal number of each language, in the order of a hash of id and text.
 
 Defined results: a null text or one without a letter is "und" with score 0, as is every
 text if there is nothing to learn from. Very long texts are read whole. Ties go to the
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -114,10 +115,47 @@ def _k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return c
 
 
+def _sample(rows: DataFrame, per_language: int) -> DataFrame:
+    """(lang, text) of per_language rows of every language, or all it has, in the order of h.
+
+    Counts per hash range tell how far the order is read, so a window holds little more
+    than the ranges and the wanted rows. Rows that tie are alike and taken by their number.
+    """
+    upto = Window.partitionBy("lang").orderBy(F.col("part")).rowsBetween(Window.unboundedPreceding, -1)
+    part = F.shiftright("h", 52)
+    ends = (
+        rows.groupBy("lang", part.alias("part"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+        .filter(F.col("before") < per_language)
+        .groupBy("lang")
+        .agg(F.max("part").alias("last"))
+    )
+    ordered = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    taken = (
+        rows.select("lang", "h")
+        .join(F.broadcast(ends), "lang")
+        .filter(part <= F.col("last"))
+        .groupBy("lang", "h")
+        .agg(F.count("*").alias("n"))
+        .withColumn("free", per_language - F.coalesce(F.sum("n").over(ordered), F.lit(0)))
+        .filter("free > 0")
+        .select("lang", "h", F.least("n", "free").cast("int").alias("times"))
+    )
+    return (
+        rows.join(F.broadcast(taken), ["lang", "h"])
+        .dropDuplicates(["lang", "h"])
+        .select("lang", F.explode(F.array_repeat("text", F.col("times"))).alias("text"))
+    )
+
+
 def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lang") -> Model | None:
     """Learn from rows that learnable marks and whose language is not null."""
+    key = [F.col("doc_id")] if "doc_id" in docs.columns else []
     rows = docs.filter(learnable & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(F.lit(3), text).alias("h")
+        F.col(text).alias("text"),
+        F.col(lang).cast("string").alias("lang"),
+        F.xxhash64(F.lit(3), *key, text).alias("h"),
     )
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
@@ -130,13 +168,7 @@ def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lan
     total = df.pop(-1)
     for k, n in df.items():
         idf[k] = np.log((1 + total) / (1 + n)) + 1
-    per_language = max(1, SAMPLE // len(sizes))
-    chosen = F.lit(False)
-    for r in sizes:  # a share of the hash range that holds about per_language rows
-        share = min(1.0, per_language / r["n"])
-        inside = F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-        chosen = chosen | ((F.col("lang") == r["lang"]) & inside)
-    sample = rows.filter(chosen).limit(2 * SAMPLE + len(sizes)).mapInArrow(_vectors, "lang string, x binary").toPandas()
+    sample = _sample(rows, max(1, SAMPLE // len(sizes))).mapInArrow(_vectors, "lang string, x binary").toPandas()
     languages = sorted(sample["lang"].unique())
     centroids, owner, limit = [], [], []
     for number, name in enumerate(languages):

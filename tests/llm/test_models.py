@@ -156,3 +156,24 @@ def test_refit_gives_the_same_model(spark):
     a = toxicity.fit(docs, labels, learn)
     b = toxicity.fit(docs.repartition(5), labels.repartition(2), learn)
     assert np.array_equal(a.keep, b.keep) and np.allclose(a.weight, b.weight, atol=1e-9)
+
+
+def test_languages_of_few_texts_in_many_copies(spark):
+    """Each language gets its share of the sample, however the copies' texts hash."""
+    made = [(" ".join(words(seed, 40)),) for seed in range(400, 440)]
+    high = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 20))  # the old sample left the highest out
+    texts = [r.text for r in spark.createDataFrame(made, "text string").orderBy(high.desc()).limit(2).collect()]
+    few = spark.createDataFrame([(t, "few") for t in texts], "text string, lang string")
+    many = spark.createDataFrame([("zu wem " + " ".join(words(k, 9)), "many") for k in range(40)], "text string, lang string")
+    docs = few.unionByName(many).crossJoin(spark.range(10_000).withColumnRenamed("id", "k"))
+    docs = docs.filter("lang = 'few' OR k < 250").withColumn("doc_id", F.xxhash64("text", "k")).drop("k")
+    model = language.fit(docs, F.lit(True))
+    assert model.languages == ["few", "many"] and model.predict(texts)[0] == ["few", "few"]
+    rows = docs.withColumn("h", F.xxhash64("doc_id", "text"))
+    for n in (50, 3000):
+        for parts in (rows.repartition(2), rows.repartition(7)):
+            got = language._sample(parts, n).groupBy("lang", "text").count().collect()
+            assert {k: sum(r["count"] for r in got if r.lang == k) for k in ("few", "many")} == {"few": n, "many": n}
+            assert {r.text for r in got if r.lang == "few"} == set(texts)
+    alike = few.limit(1).crossJoin(spark.range(500)).drop("id").withColumn("h", F.lit(5).cast("bigint"))
+    assert language._sample(alike, 30).count() == 30  # repeated rows tie
