@@ -47,3 +47,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a written table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
