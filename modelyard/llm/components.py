@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelyard.session import settled
+from modelyard.session import discard, written
 
 MAX_ROUNDS = 60
 
@@ -41,14 +41,16 @@ def components(links: DataFrame) -> DataFrame:
     Rows are long ids, in any order, repeated or not; loops are ignored. A round ends in a
     written table, so a lost executor costs one round. Vertices without links are absent.
     """
-    links = settled(
+    links = written(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a > b")
-        .distinct()
+        .distinct(),
+        "links",
     )
     mark = None
     for _ in range(MAX_ROUNDS):
-        links = settled(_small_star(_large_star(links)))
+        before, links = links, written(_small_star(_large_star(links)), "links")
+        discard(before)
         now = links.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

@@ -4,13 +4,16 @@ Each distinct text becomes a set of tokens (position, MinHash value): two sets s
 token at a position with a probability equal to their similarity. A run starts with all
 sets in one bucket and splits it on CHILDREN sampled positions: sets that share the token
 there go on together. Buckets that are small, that splitting no longer divides, or that are
-at the last level are compared by brute force, in tiles and with exact shingle sets. With
-similarity 0.8 and two children a pair is lost by one run with probability 1/16 at most
-on average; runs repeat until the target recall.
+at the last level are compared by brute force, in tiles and with exact shingle sets. Runs
+repeat until the target recall, averaged over how many of the positions a pair agrees in.
 
 Every pair is counted in one bucket only (the least one its sets share), so a text's links
 are exact. Equal texts are joined once and counted as often as they occur.
 
+A tile ships sketches of at most 2 * TILE sets. Where shingle sets are compared, tiles are cut
+again so that a part has some 2 * TILE_SHINGLES shingles, or two sets if those have more: no
+row holds more than that, however long the texts are. A text is one set of 8 bytes a word.
+
 Defined results: null texts and texts without words link with nothing and are their own
 component, as are rows with a null id. Texts of fewer than five words have one shingle,
 the whole text. Repeated rows are copies. An empty table gives an empty table. Extra
@@ -31,29 +34,40 @@ from modelyard.llm import shingles as S
 from modelyard.llm.components import components
 from modelyard.llm.links import forest, tiles
 from modelyard.llm.text import free_name
-from modelyard.session import settled
+from modelyard.session import written
 
 THRESHOLD = (4, 5)  # least similarity, as a fraction
 CHILDREN = 2
-TARGET_RECALL = 0.99999
+TARGET_RECALL = 0.99998
 LEVELS = 4
 SMALL = 32  # buckets up to this size are not split
 ALIKE = 0.5  # a child with this share of its parent's sets shows that they are alike
-TILE = 256
+TILE = 4096  # sets in a block of sketches
+TILE_SHINGLES = 1 << 20  # shingles in a block of sets
+SIDE = 256  # sets compared at once in a task
 SCREEN = 34  # of 64 equal positions; at similarity 0.8 fewer have probability below 1e-6
 ADDED = ("class_id", "n_links", "component_id", "kept")
 
 
-def runs_needed(recall: float = TARGET_RECALL, children: int = CHILDREN) -> int:
+def runs_needed(recall: float = TARGET_RECALL, children: int = CHILDREN, levels: int = LEVELS) -> int:
     """Runs until a pair at the threshold is found with the wanted probability.
 
-    lost is the chance that a pair's line dies out: the least solution of
-    lost = (1 - s + s * lost) ** children.
+    A pair agrees in a number of positions that is binomial; given that share p, its line
+    dies out within k levels with probability lost = (1 - p + p * lost) ** children, lost
+    being 0 at the last level. All runs draw from the same positions.
     """
-    s, lost = THRESHOLD[0] / THRESHOLD[1], 0.0
-    for _ in range(200):
-        lost = (1 - s + s * lost) ** children
-    return math.ceil(math.log(1 - recall) / math.log(lost))
+    s, n = THRESHOLD[0] / THRESHOLD[1], S.POSITIONS
+    chance, lost = [], []
+    for agree in range(n + 1):
+        chance.append(math.comb(n, agree) * s**agree * (1 - s) ** (n - agree))
+        dead, p = 0.0, agree / n
+        for _ in range(levels):
+            dead = (1 - p + p * dead) ** children
+        lost.append(dead)
+    runs = 1
+    while sum(c * x**runs for c, x in zip(chance, lost)) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _sketches(batches):
@@ -104,7 +118,7 @@ def buckets(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS
     for level in range(1, levels + 1):
         grown = nodes.select("rep", "parent_n", F.explode(_children(F.col("path"))).alias("path"))
         sizes = grown.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        shared = settled(grown.join(sizes, "path").select("rep", "path", "n", "parent_n"))
+        shared = written(grown.join(sizes, "path").select("rep", "path", "n", "parent_n"), "bucket-level")
         done = (F.col("n") <= small) | F.coalesce(F.col("n") >= F.col("parent_n") * ALIKE, F.lit(False))
         if level == levels:
             done = F.lit(True)
@@ -116,7 +130,7 @@ def buckets(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS
     out = leaves[0]
     for x in leaves[1:]:
         out = out.unionByName(x)
-    return settled(out)
+    return out
 
 
 def _in_tiles(members: DataFrame, *carried: str) -> DataFrame:
@@ -129,24 +143,46 @@ def _in_tiles(members: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def _owned(owners: list[np.ndarray], path: int) -> np.ndarray:
-    """Pairs of members that share no bucket below path."""
-    below = [o[o < path] for o in owners]
-    values, code = np.unique(np.concatenate(below), return_inverse=True)
-    held = np.zeros((len(owners), len(values)), np.float32)
-    held[np.repeat(np.arange(len(owners)), [len(b) for b in below]), code] = 1
-    return held @ held.T == 0
-
-
-def _apart(block: np.ndarray, first: int, second: int) -> np.ndarray:
-    """Pairs that the tile compares: across its blocks, each once."""
-    if first == second:
-        return np.triu(np.ones((len(block), len(block)), bool), 1)
-    return (block == first)[:, None] & (block == second)[None, :]
+def common(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Matrix of the numbers of values that sets on the left and on the right share."""
+    both = np.zeros((len(left), len(right)), np.float32)
+    owner = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    flat = [np.concatenate(x) for x in (left, right)]
+    values = np.intersect1d(*flat)  # a value of one side alone adds nothing
+    for begin in range(0, len(values), columns):
+        part, held = values[begin : begin + columns], []
+        for o, f in zip(owner, flat):
+            code = np.minimum(np.searchsorted(part, f), len(part) - 1)
+            hit = part[code] == f
+            side = np.zeros((len(both) if o is owner[0] else len(right), len(part)), np.float32)
+            side[o[hit], code[hit]] = 1
+            held.append(side)
+        both += held[0] @ held[1].T
+    return both
+
+
+def _owned(left: list[np.ndarray], right: list[np.ndarray], path: int) -> np.ndarray:
+    """Pairs that share no bucket below path."""
+    return common([o[o < path] for o in left], [o[o < path] for o in right]) == 0
+
+
+def _sides(block: np.ndarray, tile: tuple[int, int], sub: np.ndarray | None = None, part: tuple[int, int] = (0, 0)):
+    """(left places, right places, pairs to compare) of a tile, SIDE by SIDE, each pair once."""
+    places = np.arange(len(block))
+    first, second = (places, places) if tile[0] == tile[1] else (places[block == tile[0]], places[block == tile[1]])
+    for i in range(0, len(first), SIDE):
+        for j in range(i if tile[0] == tile[1] else 0, len(second), SIDE):
+            a, b = first[i : i + SIDE], second[j : j + SIDE]
+            pairs = a[:, None] < b[None, :] if tile[0] == tile[1] else np.ones((len(a), len(b)), bool)
+            if sub is not None:
+                low, high = np.minimum(sub[a][:, None], sub[b][None, :]), np.maximum(sub[a][:, None], sub[b][None, :])
+                pairs = pairs & (low == part[0]) & (high == part[1])
+            if pairs.any():
+                yield a, b, pairs
 
 
 def _tiles_of(batch: pa.RecordBatch, *names: str):
-    """(path, tile, rep, block, *lists) of every tile row; lists are arrays per member."""
+    """(row, rep, block, *lists) of every tile row; lists are arrays per member."""
     members = batch.column("members")
     flat = members.flatten()
     rep, block = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "block"))
@@ -162,14 +198,7 @@ def _tiles_of(batch: pa.RecordBatch, *names: str):
     at = 0
     for row in range(batch.num_rows):
         end = at + len(members[row])
-        tile = batch.column("tile")[row].as_py()
-        yield (
-            batch.column("path")[row].as_py(),
-            (tile["first"], tile["second"]),
-            rep[at:end],
-            block[at:end],
-            *[x[at:end] for x in lists],
-        )
+        yield row, rep[at:end], block[at:end], *[x[at:end] for x in lists]
         at = end
 
 
@@ -177,26 +206,27 @@ def _screen(batches):
     """Members of a tile with a partner that is owned there and has a similar sketch."""
     for batch in batches:
         out = []
-        for path, tile, rep, block, sketch, owners in _tiles_of(batch, "sketch", "owners"):
-            pairs = _apart(block, *tile)
-            if not pairs.any():
-                continue
-            values = np.stack(sketch)
-            equal = np.zeros(pairs.shape, np.uint8)
-            for k in range(values.shape[1]):
-                equal += values[:, k][:, None] == values[:, k][None, :]
-            pairs &= equal >= SCREEN
-            if pairs.any():
-                pairs &= _owned(owners, path)
-            wanted = pairs.any(axis=0) | pairs.any(axis=1)
+        for row, rep, block, sketch, owners in _tiles_of(batch, "sketch", "owners"):
+            path, tile = batch.column("path")[row].as_py(), batch.column("tile")[row].as_py()
+            values, wanted = np.stack(sketch), np.zeros(len(rep), bool)
+            for a, b, pairs in _sides(block, (tile["first"], tile["second"])):
+                left, right = values[a], values[b]
+                equal = np.zeros(pairs.shape, np.uint8)
+                for k in range(values.shape[1]):
+                    equal += left[:, k][:, None] == right[:, k][None, :]
+                pairs = pairs & (equal >= SCREEN)
+                if pairs.any():
+                    pairs &= _owned([owners[x] for x in a], [owners[x] for x in b], path)
+                    wanted[a[pairs.any(axis=1)]] = True
+                    wanted[b[pairs.any(axis=0)]] = True
             if wanted.any():
                 out.append((path, tile, rep[wanted], block[wanted]))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat([p for p, _, _, _ in out], [len(r) for _, _, r, _ in out])),
-                    pa.array([t[0] for _, t, r, _ in out for _ in r], pa.int32()),
-                    pa.array([t[1] for _, t, r, _ in out for _ in r], pa.int32()),
+                    pa.array([t["first"] for _, t, r, _ in out for _ in r], pa.int32()),
+                    pa.array([t["second"] for _, t, r, _ in out for _ in r], pa.int32()),
                     pa.array(np.concatenate([r for _, _, r, _ in out])),
                     pa.array(np.concatenate([b for _, _, _, b in out]).astype(np.int32)),
                 ],
@@ -204,39 +234,35 @@ def _screen(batches):
             )
 
 
-def similar(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Matrix of pairs whose sets have at least the threshold's similarity, counted exactly."""
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    values, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[code] > 1  # what one set alone holds adds to no intersection
-    owner, code = owner[shared], code[shared]
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    both = np.zeros((len(sets), len(sets)), np.float64)
-    _, code = np.unique(code, return_inverse=True)
-    for begin in range(0, int(code[-1]) + 1 if len(code) else 0, columns):
-        a, b = np.searchsorted(code, [begin, begin + columns])
-        held = np.zeros((len(sets), columns), np.float32)
-        held[owner[a:b], code[a:b] - begin] = 1
-        both += held @ held.T
-    union = sizes[:, None] + sizes[None, :] - both
+    both = common(left, right).astype(np.float64)
+    sizes = [np.array([len(s) for s in x]) for x in (left, right)]
+    union = sizes[0][:, None] + sizes[1][None, :] - both
     return THRESHOLD[1] * both >= THRESHOLD[0] * union
 
 
 def _verify(batches):
-    """Links per member, and a spanning forest, of the pairs owned by a tile."""
+    """Links per member, and a spanning forest, of the pairs owned by a part of a tile."""
     for batch in batches:
         parts = []
-        for path, tile, rep, block, copies, owners, sets in _tiles_of(batch, "copies", "owners", "shingles"):
-            pairs = _apart(block, *tile) & _owned(owners, path)
-            pairs &= similar(sets)
-            left, right = np.nonzero(pairs)
-            if len(left):
-                n = len(rep)
-                count = np.bincount(left, copies[right], n) + np.bincount(right, copies[left], n)
-                child, root = forest(left, right, n)
-                linked = np.flatnonzero(count)
+        for row, rep, block, sub, copies, owners, sets in _tiles_of(batch, "sub", "copies", "owners", "shingles"):
+            path, n = batch.column("path")[row].as_py(), len(rep)
+            tile, part = ((x["first"], x["second"]) for x in (batch.column("tile")[row].as_py(), batch.column("part")[row].as_py()))
+            count, child, root = np.zeros(n), np.empty(0, int), np.empty(0, int)
+            for a, b, pairs in _sides(block, tile, sub, part):
+                pairs = pairs & _owned([owners[x] for x in a], [owners[x] for x in b], path)
+                rows, columns = np.flatnonzero(pairs.any(axis=1)), np.flatnonzero(pairs.any(axis=0))
+                if not len(rows):
+                    continue
+                a, b, pairs = a[rows], b[columns], pairs[np.ix_(rows, columns)]
+                pairs &= similar([sets[x] for x in a], [sets[x] for x in b])
+                left, right = np.nonzero(pairs)
+                left, right = a[left], b[right]
+                count += np.bincount(left, copies[right], n) + np.bincount(right, copies[left], n)
+                child, root = forest(np.concatenate([child, left]), np.concatenate([root, right]), n)
+            linked = np.flatnonzero(count)
+            if len(linked):
                 parts.append((rep[linked], rep[linked], count[linked]))
                 parts.append((rep[child], rep[root], np.zeros(len(child))))
         if parts:
@@ -250,10 +276,11 @@ def _found(sets: DataFrame, texts: DataFrame, recall: float) -> DataFrame:
     owners = leaves.groupBy("rep").agg(F.sort_array(F.collect_list("path")).alias("owners"))
     owners = owners.join(sets, "rep")  # at most runs * CHILDREN ** LEVELS paths each
     members = leaves.join(owners, "rep").withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
-    wanted = settled(
+    wanted = written(
         _in_tiles(members, "sketch", "owners").mapInArrow(
             _screen, "path bigint, first int, second int, rep bigint, block int"
-        )
+        ),
+        "bucket-candidates",
     )
     needed = wanted.select("rep").distinct()
     shingled = (
@@ -262,13 +289,24 @@ def _found(sets: DataFrame, texts: DataFrame, recall: float) -> DataFrame:
         .mapInArrow(_sets, "rep bigint, shingles array<bigint>")
     )
     full = shingled.join(owners.select("rep", "copies", "owners"), "rep")
+    tile = F.struct("first", "second")
+    weights = (
+        wanted.join(sets.select("rep", "size"), "rep")
+        .groupBy("path", tile.alias("tile"))
+        .agg(F.ceil(F.sum("size") / TILE_SHINGLES).cast("int").alias("parts"))
+    )
+    dealt = (
+        wanted.select("path", tile.alias("tile"), "rep", "block")
+        .join(weights, ["path", "tile"])
+        .withColumn("sub", F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("parts")).cast("int"))
+        .withColumn("part", F.explode(tiles(F.col("parts"), F.col("sub"))))
+    )
     rows = (
-        wanted.select("path", F.struct("first", "second").alias("tile"), "rep", "block")
-        .join(full, "rep")
-        .groupBy("path", "tile")
-        .agg(F.collect_list(F.struct("rep", "block", "copies", "owners", "shingles")).alias("members"))
+        dealt.join(full, "rep")
+        .groupBy("path", "tile", "part")
+        .agg(F.collect_list(F.struct("rep", "block", "sub", "copies", "owners", "shingles")).alias("members"))
     )
-    return settled(rows.mapInArrow(_verify, "a bigint, b bigint, n bigint"))
+    return written(rows.mapInArrow(_verify, "a bigint, b bigint, n bigint"), "jaccard-links")
 
 
 def join(
@@ -286,18 +324,20 @@ def join(
         F.xxhash64(F.lit(2), text).alias("k2"),
         F.col(text).alias("text"),
     )
-    sketched = settled(
-        rows.mapInArrow(_sketches, "id bigint, k1 bigint, k2 bigint, size int, sketch array<int>").filter(
-            "size > 0"
-        )
-    )
-    classes = settled(
-        sketched.groupBy("k1", "k2").agg(
-            F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")
-        )
+    sketched = rows.mapInArrow(_sketches, "id bigint, k1 bigint, k2 bigint, size int, sketch array<int>")
+    classes = written(
+        sketched.filter("size > 0")
+        .groupBy("k1", "k2")
+        .agg(
+            F.min("id").alias("rep"),
+            F.count("*").alias("copies"),
+            F.first("size").alias("size"),
+            F.first("sketch").alias("sketch"),
+        ),
+        "text-classes",
     )
     texts = rows.select(F.col("id").alias("rep"), "text")
-    found = _found(classes.select("rep", "copies", "sketch"), texts, recall)
+    found = _found(classes.select("rep", "copies", "size", "sketch"), texts, recall)
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     groups = components(found.select("a", "b").filter("a <> b")).withColumnRenamed("id", "rep")
     known = (

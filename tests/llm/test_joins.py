@@ -155,6 +155,7 @@ def test_jaccard_join(spark):
 def test_jaccard_join_splits_and_tiles(spark, monkeypatch):
     """The same with buckets that must be split, alike buckets and several tiles."""
     monkeypatch.setattr(jaccard_join, "TILE", 8)
+    monkeypatch.setattr(jaccard_join, "TILE_SHINGLES", 300)
     full = jaccard_join.buckets
     monkeypatch.setattr(jaccard_join, "buckets", lambda s, runs: full(s, runs, small=4, levels=3))
     check_join(spark, near_copies())
@@ -165,8 +166,34 @@ def test_join_of_an_empty_table(no_docs):
 
 
 def test_runs_reach_the_target_recall():
-    lost = 0.0625  # of one run at the threshold with two children
-    assert lost ** jaccard_join.runs_needed(0.999) <= 0.001 < lost ** (jaccard_join.runs_needed(0.999) - 1)
+    """Against trials of pairs that agree in a position with probability 0.8."""
+    r = np.random.default_rng(8)
+    agree = r.random((200_000, 64)) < 0.8
+
+    def lost(share, levels):
+        return 0 if levels == 0 else (1 - share + share * lost(share, levels - 1)) ** 2
+
+    chances = np.array([lost(k / 64, 4) for k in range(65)])[agree.sum(axis=1)]
+    for target in (0.99, 0.999):
+        runs = jaccard_join.runs_needed(target)
+        assert np.mean(chances**runs) <= (1 - target) * 1.1
+        assert np.mean(chances ** (runs - 1)) > (1 - target) * 0.9
+    assert jaccard_join.runs_needed() == 5
+
+
+def test_sides_hold_every_pair_once(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIDE", 4)
+    r = np.random.default_rng(2)
+    for tile in ((1, 1), (0, 2)):
+        block = r.choice(np.unique(tile), 30).astype(np.int32)
+        sub = r.integers(0, 3, 30)
+        seen = []
+        for part in ((a, b) for a in range(3) for b in range(a, 3)):
+            for a, b, pairs in jaccard_join._sides(block, tile, sub, part):
+                i, j = np.nonzero(pairs)
+                seen += [tuple(sorted(x)) for x in zip(a[i].tolist(), b[j].tolist())]
+        wanted = [(i, j) for i in range(30) for j in range(i + 1, 30) if tile[0] == tile[1] or block[i] != block[j]]
+        assert sorted(seen) == wanted
 
 
 def mixed_docs(spark, n=400):
