@@ -45,7 +45,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         keyed = named.select("*", *hashes)
         same = [F.col(a) == F.col(b) for a, b in zip(["doc_id", *keyed.columns[-2:]], known)]
         named = keyed.join(numbers, same).select(*docs.columns, id_col)
-    kept = jaccard_join.join(named, id_col).filter("kept").dropDuplicates([id_col])
+    # the join passes keys only; the texts are shuffled once, by the key that also finds repeated rows
+    ids = jaccard_join.join(named.select(id_col, "text"), id_col).filter("kept").select(id_col).distinct()
+    kept = named.join(ids, id_col, "left_semi").dropDuplicates([id_col])
     return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
