@@ -124,17 +124,22 @@ def mark(
     columns = {f"c{k}": F.col(f"`{x}`") for k, x in enumerate(carried)}
     columns |= {"id": F.col(f"`{id_col}`"), "length": F.length(F.coalesce(F.col(f"`{text}`"), F.lit("")))}
     rows, names = _first_names(docs, text, columns)
-    known = rows.select("row", "text_sha256", "doc").join(_identities(rows, names), "row")
-    order = F.struct(-F.col("doc.length"), F.col("doc.id").isNull(), F.col("doc.id"), F.col("row"))
-    best = known.groupBy("level", "name").agg(
-        F.count("*").alias("group_size"), F.min(order).alias("best")
+    names = _identities(rows, names)
+    known = rows.select("row", F.col("doc.id").alias("id"), F.col("doc.length").alias("length")).join(names, "row")
+    order = F.struct(-F.col("length"), F.col("id").isNull(), F.col("id"), F.col("row"))
+    # written, so that the join with it is one of plain shuffles and hot groups are split
+    best = written(
+        known.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.min(order).alias("best")),
+        "block-groups",
     )
-    return known.join(best, ["level", "name"]).select(
-        *[F.col(f"doc.c{k}").alias(x) for k, x in enumerate(carried)],
+    found = known.join(best, ["level", "name"]).select(
+        "row",
         F.col("best.id").alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
-        "text_sha256",
+    )
+    return rows.join(found, "row").select(
+        *[F.col(f"doc.c{k}").alias(x) for k, x in enumerate(carried)], "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
