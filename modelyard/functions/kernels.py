@@ -118,38 +118,41 @@ def _magnitude_bits(base, values):
     return np.abs(values - base).astype(np.float32).view(np.uint32)
 
 
-def _tally(keys):
-    """Distinct keys (below 2^16) and their counts; counting beats sorting when long."""
-    if len(keys) < 4096:
-        return np.unique(keys, return_counts=True)
-    counts = np.bincount(keys)
-    found = np.flatnonzero(counts)
-    return found, counts[found]
+def magnitude_summary(points: int) -> Callable:
+    """Every step-th magnitude, falling, with the number of elements it stands for.
 
+    The sum of numbers down to a point undercounts the elements that are at least as large by
+    less than a step.
+    """
 
-def upper_histogram(base, values):
-    """Counts by the upper 16 bits of the magnitudes."""
-    if values is None:
-        return None, None
-    return _tally(_magnitude_bits(base, values) >> np.uint32(16))
+    def kernel(base, values):
+        if values is None:
+            return None, None
+        bits = np.sort(_magnitude_bits(base, values).view(np.int32))[::-1]
+        ranks = np.arange(0, len(bits), max(1, -(-len(bits) // points)))[1:]
+        ranks = np.append(ranks, len(bits))[: len(bits)]
+        return bits[ranks - 1], np.diff(ranks, prepend=0)
+
+    return kernel
 
 
-def lower_histogram(base, values, bucket):
-    """Counts by the lower 16 bits, among magnitudes whose upper bits are ``bucket``.
+def magnitudes_between(base, values, low, high):
+    """Counts of the magnitudes; those outside (low, high) count at the nearer end.
 
-    A tensor without elements has no bucket.
+    A tensor without elements has no ends.
     """
-    if values is None or bucket is None:
+    if values is None or low is None:
         return None, None
-    bits = _magnitude_bits(base, values)
-    return _tally(bits[(bits >> np.uint32(16)) == np.uint32(bucket)] & np.uint32(0xFFFF))
+    bits = _magnitude_bits(base, values).view(np.int32)
+    over, inside = np.count_nonzero(bits >= high), bits[(bits > low) & (bits < high)]
+    found, counts = np.unique(inside, return_counts=True)
+    return np.append(found, [low, high]), np.append(counts, [len(bits) - len(inside) - over, over])
 
 
 @pandas_udf(T.FloatType())
-def value_of_bits(upper: pd.Series, lower: pd.Series) -> pd.Series:
-    """The magnitude with these upper and lower 16 bits."""
-    bits = (upper.astype("uint32").to_numpy() << np.uint32(16)) | lower.astype("uint32").to_numpy()
-    return pd.Series(bits.astype(np.uint32).view(np.float32))
+def value_of_bits(bits: pd.Series) -> pd.Series:
+    """The magnitude with these bits."""
+    return pd.Series(bits.to_numpy().astype(np.int32).view(np.float32))
 
 
 def cut_below(base, values, limit):

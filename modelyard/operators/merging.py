@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from modelyard import constants as K
 from modelyard.functions import kernels as N
 from modelyard.operators.parameters import aligned
+from modelyard.session import written
 
 
 def _models(n: int, prefix: str = "v") -> list[str]:
@@ -113,119 +114,152 @@ def equal_weights(models: list[str]) -> list[float]:
 # --- trimming by magnitude ---------------------------------------------------
 
 
-def _counts(wide: DataFrame, n_models: int, histogram, key: str, *extra: str) -> DataFrame:
-    """Histogram rows (tensor, chunk, start, model, key, n) of every model's chunk.
+POINTS = 256  # of a summary
+FAN = 64  # summaries merged into one
 
-    ``extra`` names array columns with one value per model, which stay on the rows;
-    the first of them is the histogram's third argument.
+
+def joined_once(params: DataFrame, base: str, models: list[str], points: int = POINTS) -> DataFrame:
+    """Aligned chunks, written, with a summary of every model's magnitudes as ``q0, q1, ...``.
+
+    The models are joined here and nowhere later: brackets read the summaries alone, the
+    selection and the merge read the values, each by a plain scan.
     """
-    count = N.per_chunk_counts(histogram, key)
-    counted = wide.select(
-        "tensor",
-        "chunk",
-        "start",
-        *extra,
-        *[count("base", v, *[F.col(c)[i] for c in extra[:1]]).alias(f"h{i}") for i, v in enumerate(_models(n_models))],
-    )
-    per_model = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("model"),
-                F.col(f"h{i}").alias("h"),
-                *[F.col(c)[i].alias(c[:-1]) for c in extra],
-            )
-            for i in range(n_models)
-        ]
-    )
-    names = [c[:-1] for c in extra]
-    return (
-        counted.select("tensor", "chunk", "start", F.inline_outer(per_model))
-        .select(
-            "tensor", "chunk", "start", "model", *names,
-            F.inline_outer(F.arrays_zip(F.col(f"h.{key}"), F.col("h.n"))),
-        )
-        .filter(F.col("n").isNotNull())
+    summary = N.per_chunk_counts(N.magnitude_summary(points), "bits")
+    wide = aligned(params, base, models)
+    return written(
+        wide.select("*", *[summary("base", v).alias(f"q{i}") for i, v in enumerate(_models(len(models)))]),
+        "joined-models",
     )
 
 
-def trim_thresholds(wide: DataFrame, n_models: int, density: float = K.DENSITY) -> DataFrame:
-    """Exact k-th largest |delta| per (tensor, model), k = max(1, int(n * density)).
+def _by_model(rows: DataFrame, n_models: int, pairs: str) -> DataFrame:
+    """Rows (tensor, chunk, model, step, bits, n) of the pairs of arrays ``pairs0, pairs1, ...``.
 
-    A radix selection in two histogram passes instead of a sort: counts by the upper
-    16 bits of the magnitudes find the bucket that holds rank k, counts by the lower
-    16 bits inside that bucket find the value. Every chunk sends at most 2^15 and
-    2^16 counts, however many elements there are, and no tensor is gathered.
+    step is the largest n of a chunk, on its first row and 0 on the others.
     """
-    key = ["tensor", "model"]
-    whole = W.partitionBy(*key)
+    each = F.array(*[F.struct(F.lit(i).alias("model"), F.col(f"{pairs}{i}").alias("p")) for i in range(n_models)])
+    return (
+        rows.select("tensor", "chunk", F.inline_outer(each))
+        .select("tensor", "chunk", "model", F.array_max("p.n").alias("most"), F.posexplode_outer(F.arrays_zip("p.bits", "p.n")))
+        .filter(F.col("pos").isNotNull())
+        .select("tensor", "chunk", "model", F.when(F.col("pos") == 0, F.col("most")).otherwise(0).alias("step"), "col.bits", "col.n")
+    )
+
 
-    def falling(by: str):
-        return whole.orderBy(F.col(by).desc()).rowsBetween(W.unboundedPreceding, 0)
+def _merged_summaries(points: DataFrame, fan: int, size: int) -> DataFrame:
+    """One summary for every ``fan`` neighbouring ones, again of about ``size`` points.
 
-    upper = (
-        _counts(wide, n_models, N.upper_histogram, "bucket")
-        .groupBy(*key, "bucket")
-        .agg(F.sum("n").alias("n"), _last_chunk().alias("last"))
-        .withColumn("cum", F.sum("n").over(falling("bucket")))
+    A point stands for those dropped before it. slack, how much sums of n may undercount,
+    grows by less than the largest n that results.
+    """
+    key = ["tensor", "model", "chunk"]
+    whole, falling = W.partitionBy(*key), W.partitionBy(*key).orderBy(F.desc("bits"), "n")
+    step = F.ceil(F.col("total") / size)
+    kept = (
+        points.withColumn("chunk", F.floor(F.col("chunk") / fan).cast("int"))
         .withColumn("total", F.sum("n").over(whole))
-        .withColumn("last", F.max("last").over(whole))
+        .withColumn("slack", F.sum("slack").over(whole))
+        .withColumn("cum", F.sum("n").over(falling.rowsBetween(W.unboundedPreceding, 0)))
+        .filter((F.floor(F.col("cum") / step) > F.floor((F.col("cum") - F.col("n")) / step)) | (F.col("cum") == F.col("total")))
+        .withColumn("n", F.col("cum") - F.coalesce(F.lag("cum").over(falling), F.lit(0)))
+        .withColumn("first", F.row_number().over(falling) == 1)
+        .withColumn("most", F.max("n").over(whole))
     )
-    k = F.greatest(
-        F.lit(1).cast("bigint"), F.floor(F.col("total") * F.lit(density)).cast("bigint")
+    slack = F.when(F.col("first"), F.col("slack") + F.col("most") - 1).otherwise(0)
+    return kept.select(*key, "bits", "n", slack.alias("slack"))
+
+
+def brackets(joined: DataFrame, n_models: int, density: float, fan: int = FAN, size: int = POINTS) -> DataFrame:
+    """(tensor, model, k, low, high): low <= k-th largest magnitude < high, as float bits.
+
+    Summaries are merged as a tree, so a window sees at most fan * size points.
+    """
+    points = _by_model(joined, n_models, "q").select(
+        "tensor", "model", "chunk", "bits", "n", F.greatest(F.col("step") - 1, F.lit(0)).alias("slack")
     )
-    above = F.col("cum") - F.col("n")
-    chosen = (
-        upper.withColumn("k", k)
-        .filter((F.col("cum") >= F.col("k")) & (above < F.col("k")))
-        .select(*key, "last", "bucket", (F.col("k") - above).alias("rest"))
+    last = joined.agg(F.max("chunk")).first()[0] or 0
+    while last >= fan:
+        points, last = _merged_summaries(points, fan, size), last // fan
+    whole = W.partitionBy("tensor", "model")
+    atleast = F.sum("n").over(whole.orderBy(F.desc("bits")).rangeBetween(W.unboundedPreceding, 0))
+    k = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("total") * F.lit(density)).cast("bigint"))
+    return (
+        points.withColumn("total", F.sum("n").over(whole))
+        .withColumn("slack", F.sum("slack").over(whole))
+        .withColumn("cum", atleast)
+        .withColumn("k", k)
+        .groupBy("tensor", "model", "k")
+        .agg(
+            F.max(F.when(F.col("cum") >= F.col("k"), F.col("bits"))).alias("low"),
+            F.coalesce(F.min(F.when(F.col("cum") + F.col("slack") < F.col("k"), F.col("bits"))), F.lit(2**31 - 1)).alias("high"),
+        )
     )
-    picked = _per_chunk(_across_models(chosen, n_models, "bucket", "rest", "last"))
-    # A left join: an inner one would filter below the shared exchanges.
-    inside = wide.join(picked, ["tensor", "chunk"], "left")
-    lower = (
-        _counts(inside, n_models, N.lower_histogram, "low", "buckets", "rests", "lasts")
-        .groupBy(*key, "bucket", "rest", "last", "low")
-        .agg(F.sum(F.when(F.col("start") >= 0, F.col("n"))).alias("n"))
-        .withColumn("cum", F.sum("n").over(falling("low")))
+
+
+def trim_thresholds(joined: DataFrame, n_models: int, density: float = K.DENSITY) -> DataFrame:
+    """Exact k-th largest |delta| per (tensor, model), k = max(1, int(n * density)).
+
+    Brackets come from the summaries. One scan of the values then counts what lies inside, a
+    few in a hundred; what lies outside is counted at the nearer end. Among the candidates a
+    radix selection finds rank k: their upper 16 bits first, then the lower ones.
+    """
+    key = ["tensor", "model"]
+    bounds = written(brackets(joined, n_models, density), "brackets")
+    cut = _spread(joined, _across_models(bounds, n_models, "low", "high"))
+    count = N.per_chunk_counts(N.magnitudes_between, "bits")
+    inside = cut.select(
+        "tensor",
+        "chunk",
+        *[count("base", f"v{i}", F.col("lows")[i], F.col("highs")[i]).alias(f"c{i}") for i in range(n_models)],
     )
-    return lower.filter((F.col("cum") >= F.col("rest")) & (above < F.col("rest"))).select(
-        *key, "last", N.value_of_bits("bucket", "low").alias("threshold")
+    candidates = written(
+        _by_model(inside, n_models, "c").filter("n > 0").groupBy(*key, "bits").agg(F.sum("n").alias("n")), "candidates"
     )
 
+    def chosen(rows: DataFrame, by: str, rank: str, *names: str) -> DataFrame:
+        """The value of ``by`` that holds the rank, and the rank that is left inside it."""
+        falling = W.partitionBy(*key).orderBy(F.desc(by)).rowsBetween(W.unboundedPreceding, 0)
+        above = F.col("cum") - F.col("n")
+        return (
+            rows.withColumn("cum", F.sum("n").over(falling))
+            .filter((F.col("cum") >= F.col(rank)) & (above < F.col(rank)))
+            .select(*key, *names, by, (F.col(rank) - above).alias("rest"))
+        )
+
+    halves = candidates.withColumn("upper", F.shiftright("bits", 16)).join(bounds.select(*key, "k"), key)
+    upper = chosen(halves.groupBy(*key, "k", "upper").agg(F.sum("n").alias("n")), "upper", "k")
+    lower = chosen(halves.drop("k").join(upper, [*key, "upper"]).select(*key, "bits", "n", "rest"), "bits", "rest")
+    return lower.select(*key, N.value_of_bits("bits").alias("threshold"))
+
 
 def _across_models(rows: DataFrame, n_models: int, *names: str) -> DataFrame:
-    """One row per tensor with arrays by model number: ``bucket`` -> ``buckets``."""
+    """One row per tensor with arrays by model number: ``low`` -> ``lows``."""
     return rows.groupBy("tensor").agg(
-        F.max("last").alias("last"),
-        *[
-            F.array(
-                *[F.max(F.when(F.col("model") == i, F.col(c))) for i in range(n_models)]
-            ).alias(f"{c}s")
-            for c in names
-        ],
+        *[F.array(*[F.max(F.when(F.col("model") == i, F.col(c))) for i in range(n_models)]).alias(f"{c}s") for c in names]
     )
 
 
-def with_thresholds(wide: DataFrame, n_models: int, density: float) -> DataFrame:
-    """Attach the threshold of every model as ``t0, t1, ...``."""
-    cut = (
-        trim_thresholds(wide, n_models, density)
-        .groupBy("tensor")
-        .agg(
-            F.max("last").alias("last"),
-            *[
-                F.max(F.when(F.col("model") == i, F.col("threshold"))).alias(f"t{i}")
-                for i in range(n_models)
-            ],
-        )
+def _spread(joined: DataFrame, per_tensor: DataFrame) -> DataFrame:
+    """joined with per-tensor figures, repeated per chunk so that the key is even."""
+    last = joined.groupBy("tensor").agg(F.max("chunk").alias("last"))
+    return joined.join(_per_chunk(per_tensor.join(last, "tensor")), ["tensor", "chunk"], "left")
+
+
+def with_thresholds(params: DataFrame, base: str, models: list[str], density: float) -> DataFrame:
+    """Aligned chunks with the threshold of every model as ``t0, t1, ...``."""
+    n = len(models)
+    joined = joined_once(params, base, models)
+    cut = _spread(joined, _across_models(trim_thresholds(joined, n, density), n, "threshold"))
+    return cut.select(
+        "tensor", "chunk", "shape", "start", "base", *_models(n),
+        *[F.col("thresholds")[i].alias(f"t{i}") for i in range(n)],
     )
-    return wide.join(_per_chunk(cut), ["tensor", "chunk"], "left")
 
 
 def trimmed(params: DataFrame, base: str, models: list[str], density: float = K.DENSITY) -> DataFrame:
     """Aligned chunks with trimmed deltas ``d0, d1, ...``: below the limit is zero."""
     n = len(models)
-    wide = with_thresholds(aligned(params, base, models), n, density)
+    wide = with_thresholds(params, base, models, density)
     cut = N.per_chunk(N.cut_below)
     return wide.select(
         "tensor", "chunk", "shape", "start", "base",
@@ -269,7 +303,7 @@ def ties(
 ) -> DataFrame:
     """Trim, elect a sign per element, merge what agrees. Unmatched tensors keep base."""
     n = len(models)
-    wide = with_thresholds(aligned(params, base, models), n, density)
+    wide = with_thresholds(params, base, models, density)
     vote = N.per_chunk(N.trimmed_vote(scaling, weights or [1.0] * n))
     return _result(wide, name, vote("base", *_models(n), *_models(n, "t")))
 

@@ -105,13 +105,42 @@ def test_thresholds_over_many_magnitudes(spark):
     x = (rng.choice([-1, 1], 3000) * 2.0 ** rng.uniform(-140, 100, 3000)).astype(np.float32)
     x[:400] = 0
     models = {"base": base, "x": {"w": x}}
-    wide = P.aligned(make(spark, models, 64), "base", ["x"])
+    joined = G.joined_once(make(spark, models, 64), "base", ["x"])
     for density in (0.01, 0.5, 0.86, 0.87, 1.0):
-        got = G.trim_thresholds(wide, 1, density).first().threshold
+        got = G.trim_thresholds(joined, 1, density).first().threshold
         k = max(1, int(3000 * density))
         assert np.float32(got) == np.sort(np.abs(x))[::-1][k - 1]
 
 
+def test_summaries_bracket_the_rank(spark):
+    """Few points, many chunks, merged as a tree: the brackets hold, and are narrow."""
+    rng = np.random.default_rng(6)
+    n = 40_000
+    one = {"w": np.zeros(n, np.float32), "flat": np.zeros(500, np.float32), "none": np.zeros(0, np.float32)}
+    x = rng.normal(size=n).astype(np.float32)
+    x[rng.random(n) < 0.2] = np.float32(0.25)  # many equal magnitudes
+    flat = np.full(500, 3, np.float32)
+    odd = x.copy()
+    odd[5], odd[6] = np.nan, np.inf
+    models = {"base": one, "x": {"w": x, "flat": flat, "none": one["none"]}, "y": {"w": odd}}
+    joined = G.joined_once(make(spark, models, 200), "base", ["x", "y"], points=16)
+    for density in (0.003, 0.4, 0.95, 1.0):
+        for fan in (5, 1000):
+            found = {(r.tensor, r.model): r for r in G.brackets(joined, 2, density, fan, 64).collect()}
+            assert set(found) == {("w", 0), ("w", 1), ("flat", 0)}
+            for (tensor, model), r in found.items():
+                bits = np.sort(np.abs(models["xy"[model]][tensor]).view(np.int32))[::-1]
+                k = max(1, int(len(bits) * density))
+                assert r.k == k and r.low <= bits[k - 1] < r.high
+                inside = np.count_nonzero((bits > r.low) & (bits < r.high))
+                assert inside < 0.35 * len(bits)
+        cut = {(r.tensor, r.model): r.threshold for r in G.trim_thresholds(joined, 2, density).collect()}
+        assert set(cut) == set(found)
+        for (tensor, model), limit in cut.items():
+            bits = np.sort(np.abs(models["xy"[model]][tensor]).view(np.int32))[::-1]
+            assert np.float32(limit).view(np.int32) == bits[max(1, int(len(bits) * density)) - 1]
+
+
 def test_task_arithmetic(spark, weights):
     names = ["x", "y", "z"]
     want = {

@@ -52,11 +52,23 @@ def test_keyword_cut_happens_before_the_shuffle(plan):
     assert "row_number(), 50, Partial" in text
 
 
-@pytest.mark.parametrize("name,models", [("M6_slerp", 2), ("M10_ties", 4), ("M13_dare_ties", 4)])
+@pytest.mark.parametrize("name,models", [("M6_slerp", 2), ("M13_dare_ties", 4)])
 def test_each_model_is_read_once(plan, name, models):
     assert plan(name).count("FileScan parquet") == models
 
 
+@pytest.mark.parametrize("name", ["M8_trim_by_magnitude", "M9_sign_election", "M10_ties"])
+def test_trimming_joins_the_models_once(plan, monkeypatch, name):
+    from modelyard.operators import merging
+
+    joins = []
+    real = merging.aligned
+    monkeypatch.setattr(merging, "aligned", lambda *a: joins.append(1) or real(*a))
+    text = plan(name)
+    assert len(joins) == 1  # and written: the plan reads no model again
+    assert "embeddings.parquet" not in text and "joined-models" in text
+
+
 def test_merge_of_a_stored_table_moves_no_weights(spark, plan):
     from modelyard.operators import merging
     from modelyard.sources import files
