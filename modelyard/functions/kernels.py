@@ -253,16 +253,56 @@ def consensus(epsilon: float) -> Callable:
     return kernel
 
 
-def fold_low_rank(scale: float) -> Callable:
-    """Part of one matrix row plus its factors times the matching runs of side A."""
-
-    def kernel(values, factors, *runs):
-        if factors is None or all(r is None for r in runs):
-            return values
-        moved = values.astype(np.float64)
-        for factor, run in zip(factors, runs):
-            if run is not None:
-                moved = moved + scale * float(factor) * np.asarray(run, dtype=np.float64)
-        return moved.astype(np.float32)
-
-    return kernel
+ROWS_AT_ONCE = 512
+
+
+def fold_blocks(scale: float, rank: int) -> Callable:
+    """Stream of blocks: the runs of side A (kind 0), then per row its factors (1) and its part
+    of the weights (2), which are moved by scale * factors * runs."""
+
+    def moved(rows: list, runs: dict, width: int) -> list:
+        """The weights of rows (values, factors) of one block."""
+        known = [k for k, (_, f) in enumerate(rows) if f is not None]
+        out = [v for v, _ in rows]
+        if known and runs:
+            side_a = np.zeros((rank, width))
+            for r, run in runs.items():
+                if r < rank:
+                    side_a[r] = run
+            product = scale * (np.stack([rows[k][1] for k in known]).astype(np.float64) @ side_a)
+            for k, change in zip(known, product):
+                out[k] = (out[k].astype(np.float64) + change).astype(np.float32)
+        return out
+
+    def run(batches):
+        block, runs, factors = None, {}, (None, None)
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in ("tensor", "chunk", "grp"))))
+            kinds, rows = batch.column("kind").to_pylist(), batch.column("row").to_pylist()
+            values, small = _cells(batch.column("values")), _cells(batch.column("factors"))
+            taken, results, waiting = [], [], []
+            for at, (key, kind, row, cell, part) in enumerate(zip(keys, kinds, rows, values, small)):
+                if key != block or len(waiting) >= ROWS_AT_ONCE:
+                    results += moved(waiting, runs, len(waiting[0][0]) if waiting else 0)
+                    waiting = []
+                if key != block:
+                    block, runs, factors = key, {}, (None, None)
+                if kind == 0:
+                    runs[row] = np.array(part)
+                elif kind == 1:
+                    factors = row, np.array(part)
+                elif cell is None:
+                    taken.append(at)
+                    results += moved(waiting, runs, len(waiting[0][0]) if waiting else 0) + [None]
+                    waiting = []
+                else:
+                    taken.append(at)
+                    waiting.append((cell, factors[1] if factors[0] == row else None))
+            results += moved(waiting, runs, len(waiting[0][0]) if waiting else 0)
+            kept = batch.take(pa.array(taken, pa.int32()))
+            columns = [kept.column(k) for k in ("tensor", "row", "chunk", "start")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, _lists(results, np.float32)], names=["tensor", "row", "chunk", "start", "values"]
+            )
+
+    return run

@@ -356,11 +356,12 @@ def breadcrumbs(
 
 # --- low-rank adapters -------------------------------------------------------
 
-ROW_GROUP = 1024
+BLOCK_ELEMENTS = 1 << 24  # of a weight block: 64 MB
 
 
-def _row_group(row: Column) -> Column:
-    return F.floor(row / F.lit(ROW_GROUP)).cast("bigint")
+def _block_rows(values: str) -> Column:
+    """Rows of a block of that column width."""
+    return F.greatest(F.lit(1), F.expr(f"{BLOCK_ELEMENTS} div greatest(size({values}), 1)")).cast("bigint")
 
 
 def merge_low_rank(
@@ -374,35 +375,40 @@ def merge_low_rank(
 
     ``weight(tensor, row, chunk, start, values)`` holds part of one row;
     ``side_a(tensor, r, chunk, values)`` holds rank rows cut at the same columns;
-    ``side_b(tensor, row, factors)`` holds the ``rank`` factors of one row. Each
-    weight chunk meets one factor row and one block of at most ``rank`` runs, so
-    no (row, rank, column) triples are ever emitted. Blocks are repeated once per
-    group of ``ROW_GROUP`` rows, which keeps the rows of one tensor spread out.
+    ``side_b(tensor, row, factors)`` holds the ``rank`` factors of one row.
+
+    All three are dealt over one grid of blocks: a column chunk by as many rows as make
+    BLOCK_ELEMENTS. A column chunk of A goes to the blocks below each other, that is once per
+    64 MB of weights; the factors of a row go to the blocks beside each other. Weights are
+    shuffled once, sorted by block, and pass as a stream: a task holds one column chunk of A
+    and a few rows. No (row, rank, column) triples are emitted.
     """
-    groups = (
-        side_b.groupBy("tensor")
-        .agg(F.max("row").alias("top"))
-        .select(
-            "tensor",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), _row_group(F.col("top")))).alias("grp"),
-        )
+    block = ["tensor", "chunk", "grp"]
+    widths = side_a.groupBy("tensor", "chunk").agg(F.max(_block_rows("values")).alias("high"))
+    tops = side_b.groupBy("tensor").agg(F.max("row").alias("top"))
+    runs = side_a.withColumn("high", _block_rows("values")).join(tops, "tensor").select(
+        "tensor",
+        "chunk",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("top div high"))).alias("grp"),
+        F.lit(0).alias("kind"),
+        F.col("r").cast("bigint").alias("row"),
+        F.col("values").cast("array<double>").alias("factors"),
     )
-    blocks = side_a.groupBy("tensor", "chunk").agg(
-        *[
-            F.first(F.when(F.col("r") == i, F.col("values")), ignorenulls=True).alias(f"a{i}")
-            for i in range(rank)
-        ]
+    factors = side_b.join(widths, "tensor").select(
+        "tensor", "chunk", F.expr("row div high").alias("grp"), F.lit(1).alias("kind"), "row",
+        F.col("factors").cast("array<double>").alias("factors"),
     )
-    joined = (
-        weight.withColumn("grp", _row_group(F.col("row")))
-        .join(side_b, ["tensor", "row"], "left")
-        .join(blocks.join(groups, "tensor"), ["tensor", "chunk", "grp"], "left")
+    parts = weight.withColumn("high", _block_rows("values")).select(
+        "tensor", "chunk", F.expr("row div high").alias("grp"), F.lit(2).alias("kind"), "row", "start", "values"
     )
-    fold = N.per_chunk(N.fold_low_rank(alpha / rank))
-    return joined.select(
-        "tensor", "row", "chunk", "start",
-        fold("values", "factors", *_models(rank, "a")).alias("values"),
+    dealt = (
+        parts.unionByName(runs, allowMissingColumns=True)
+        .unionByName(factors, allowMissingColumns=True)
+        .repartition(*block)
+        .sortWithinPartitions(*block, F.col("kind") > 0, "row", "kind")
     )
+    schema = weight.select("tensor", "row", "chunk", "start", F.col("values").cast("array<float>").alias("values")).schema
+    return dealt.mapInArrow(N.fold_blocks(alpha / rank, rank), schema)
 
 
 # --- dispatch ----------------------------------------------------------------

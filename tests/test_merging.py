@@ -211,13 +211,17 @@ def test_dare_keeps_about_density_and_is_repeatable(spark):
     assert abs((kept[1:] & kept[:-1]).mean() - 0.49) < 0.015
 
 
-def test_low_rank(spark):
+@pytest.mark.parametrize("elements", [1 << 24, 400])
+def test_low_rank(spark, monkeypatch, elements):
+    """In one block per column chunk, and in a grid of many."""
+    monkeypatch.setattr(G, "BLOCK_ELEMENTS", elements)
     rng = np.random.default_rng(4)
     rows, cols, rank, width = 2100, 10, 3, 4
     w, b, a = rng.normal(size=(rows, cols)), rng.normal(size=(rows, rank)), rng.normal(size=(rank, cols))
     cut = lambda v: [(c, v[c * width : (c + 1) * width].tolist()) for c in range(-(-cols // width))]
     weight = spark.createDataFrame(
-        [("t", i, c, c * width, p) for i in range(rows) for c, p in cut(w[i])],
+        [("t", i, c, c * width, p) for i in range(rows) for c, p in cut(w[i])]
+        + [("other", 0, 0, 0, [1.0, 2.0]), ("t", rows, 0, 0, w[0][:width].tolist())],  # no side A; no factors
         "tensor string, row bigint, chunk int, start bigint, values array<float>",
     )
     side_a = spark.createDataFrame(
@@ -228,8 +232,14 @@ def test_low_rank(spark):
         [("t", i, b[i].tolist()) for i in range(rows)], "tensor string, row bigint, factors array<double>"
     )
     got = np.zeros((rows, cols))
-    for r in P.elements(G.merge_low_rank(weight, side_a, side_b, rank, 6.0), "row").collect():
-        got[r.row, r.idx] = r.value
+    rest = []
+    for r in P.elements(G.merge_low_rank(weight, side_a, side_b, rank, 6.0), "tensor", "row").collect():
+        if r.tensor == "t" and r.row < rows:
+            got[r.row, r.idx] = r.value
+        else:
+            rest.append((r.tensor, r.idx, r.value))
+    left = [("t", k, np.float32(v)) for k, v in enumerate(w[0][:width])]
+    assert sorted(rest) == [("other", 0, 1.0), ("other", 1, 2.0), *left]
     np.testing.assert_allclose(got, w + 2.0 * b @ a, atol=1e-5)
 
 
