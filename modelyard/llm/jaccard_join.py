@@ -44,6 +44,7 @@ SMALL = 32  # buckets up to this size are not split
 ALIKE = 0.5  # a child with this share of its parent's sets shows that they are alike
 TILE = 4096  # sets in a block of sketches
 TILE_SHINGLES = 1 << 20  # shingles in a block of sets
+SLOTS = 24  # bits of a slot in the bitmap of ids: 2 MB
 SIDE = 256  # sets compared at once in a task
 SCREEN = 34  # of 64 equal positions; at similarity 0.8 fewer have probability below 1e-6
 ADDED = ("class_id", "n_links", "component_id", "kept")
@@ -270,6 +271,19 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], names=["a", "b", "n"])
 
 
+def _likely(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """texts without most rows whose rep is not needed, before they are shuffled.
+
+    A bitmap of hashed ids, at most 2^SLOTS / 64 words however many ids there are, is sent
+    to the texts. It only thins them out; the join that follows decides.
+    """
+    slot = F.pmod(F.xxhash64(F.lit(9), "rep"), F.lit(1 << SLOTS))
+    word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
+    words = needed.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("mask"))
+    marked = texts.withColumn("word", word).join(F.broadcast(words), "word")
+    return marked.filter(F.call_function("getbit", "mask", bit) == 1).select("rep", "text")
+
+
 def _found(sets: DataFrame, texts: DataFrame, recall: float) -> DataFrame:
     """Rows (a, a, links) and (a, b, 0): links of each set, and a forest of them."""
     leaves = buckets(sets.select("rep", "sketch"), runs_needed(recall))
@@ -284,16 +298,18 @@ def _found(sets: DataFrame, texts: DataFrame, recall: float) -> DataFrame:
     )
     needed = wanted.select("rep").distinct()
     shingled = (
-        texts.join(needed, "rep", "left_semi")
+        _likely(texts, needed)
+        .join(needed, "rep", "left_semi")
         .dropDuplicates(["rep"])
         .mapInArrow(_sets, "rep bigint, shingles array<bigint>")
     )
     full = shingled.join(owners.select("rep", "copies", "owners"), "rep")
     tile = F.struct("first", "second")
-    weights = (
+    weights = written(  # so that the join with it is one of plain shuffles and hot tiles are split
         wanted.join(sets.select("rep", "size"), "rep")
         .groupBy("path", tile.alias("tile"))
-        .agg(F.ceil(F.sum("size") / TILE_SHINGLES).cast("int").alias("parts"))
+        .agg(F.ceil(F.sum("size") / TILE_SHINGLES).cast("int").alias("parts")),
+        "tile-weights",
     )
     dealt = (
         wanted.select("path", tile.alias("tile"), "rep", "block")
