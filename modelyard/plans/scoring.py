@@ -127,17 +127,15 @@ _GRAMS = """grams AS (SELECT model_id, sample_id, 1 AS n, 'p' AS side, unnest(pr
 counts AS (SELECT model_id, sample_id, n, g, count(*) FILTER (side='p') AS p, count(*) FILTER (side='r') AS r FROM grams GROUP BY ALL),
 rn AS (SELECT model_id, sample_id, coalesce(2e0*sum(least(p,r)) FILTER (n=1)/nullif(sum(p+r) FILTER (n=1),0),0) AS rouge1,
  coalesce(2e0*sum(least(p,r)) FILTER (n=2)/nullif(sum(p+r) FILTER (n=2),0),0) AS rouge2 FROM counts GROUP BY ALL)"""
-# Rows of the classic dynamic programme, one prediction token per step; the
-# running maximum over the reference positions replaces the left neighbour.
-_LCS = """pt AS (SELECT sample_id, unnest(range(1,len(pred)+1)) AS i, unnest(pred) AS tok FROM toks),
-rt AS (SELECT sample_id, unnest(range(1,len(ref)+1)) AS j, unnest(ref) AS tok FROM toks),
-dp AS (SELECT sample_id, CAST(0 AS BIGINT) AS i, j, tok, CAST(0 AS BIGINT) AS v FROM rt
- UNION ALL SELECT s.sample_id, s.i+1, s.j, s.tok, max(greatest(s.v, CASE WHEN s.tok=s.ptok THEN s.left_v+1 ELSE 0 END))
-   OVER (PARTITION BY s.sample_id ORDER BY s.j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
- FROM (SELECT dp.*, pt.tok AS ptok, coalesce(lag(dp.v) OVER (PARTITION BY dp.sample_id ORDER BY dp.j),0) AS left_v
-   FROM dp JOIN pt ON pt.sample_id=dp.sample_id AND pt.i=dp.i+1) s),
-lcs AS (SELECT sample_id, max(v) AS lcs FROM dp GROUP BY sample_id),
-rl AS (SELECT model_id, sample_id, coalesce(2e0*coalesce(lcs,0)/nullif(len(pred)+len(ref),0),0) AS rougeL FROM toks LEFT JOIN lcs USING (sample_id))"""
+# t[k] is the earliest reference position that ends a common subsequence of k tokens. A
+# prediction token with matches m moves every t[k] to its first match after t[k-1].
+_LCS = """pt AS (SELECT model_id, sample_id, unnest(range(1,len(pred)+1)) AS i, unnest(pred) AS tok FROM toks),
+rt AS (SELECT model_id, sample_id, unnest(range(1,len(ref)+1)) AS j, unnest(ref) AS tok FROM toks),
+matches AS (SELECT model_id, sample_id, i, list(j ORDER BY j) AS m FROM pt JOIN rt USING (model_id, sample_id, tok) GROUP BY ALL),
+lcs AS (SELECT model_id, sample_id, len(list_reduce(list(m ORDER BY i), lambda t, m: list_filter(
+  list_transform(range(1,len(t)+2), lambda k: least(t[k], list_min(list_filter(m, lambda p: k=1 OR p>t[k-1])))), lambda p: p IS NOT NULL), []::BIGINT[])) AS lcs
+ FROM matches GROUP BY model_id, sample_id),
+rl AS (SELECT model_id, sample_id, coalesce(2e0*coalesce(lcs,0)/nullif(len(pred)+len(ref),0),0) AS rougeL FROM toks LEFT JOIN lcs USING (model_id, sample_id))"""
 _HALL = r"""(regexp_matches(prediction,'\b(definitely|certainly|always|never|everyone|nobody)\b','i') OR regexp_matches(prediction,'\b(100%|absolutely|guaranteed)\b','i')
  OR regexp_matches(prediction,'\bin \d{4},? .{0,30} (invented|discovered|created|founded)\b','i'))"""
 _FAITH = """(CASE upper(coalesce(nli_label,'')) WHEN 'ENTAILMENT' THEN nli_score WHEN 'CONTRADICTION' THEN 1-nli_score ELSE 0.5e0 END)"""

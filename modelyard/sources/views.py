@@ -55,7 +55,7 @@ FROM (SELECT u.conv_id, u.turn, u.text AS q, v.text AS a,
    u.conv_id%(SELECT count(*) FROM {documents}) AS doc_key, u.conv_id%(SELECT count(*) FROM {benchmark}) AS item_key
   FROM {conversations} u JOIN {conversations} v ON u.conv_id=v.conv_id AND v.turn=u.turn+1
   WHERE u.role='user' AND v.role='assistant'
-  UNION ALL SELECT 100000000000+doc_id, 0, substring(text,1,60), substring(text,31,90), doc_id,
+  UNION ALL SELECT 100000000000+doc_id, 1, concat('What does document ',doc_id,' from ',source,' say?'), text, doc_id,
    doc_id%(SELECT count(*) FROM {benchmark}) FROM {documents}) c
 JOIN {documents} d ON d.doc_id=c.doc_key JOIN {benchmark} b ON b.item_id=c.item_key""",
     "qa_raw": """
