@@ -299,7 +299,7 @@ def _found(sets: DataFrame, texts: DataFrame, recall: float) -> DataFrame:
     needed = wanted.select("rep").distinct()
     shingled = (
         _likely(texts, needed)
-        .join(needed, "rep", "left_semi")
+        .join(needed, "rep")  # a semi join would be pushed below the bitmap
         .dropDuplicates(["rep"])
         .mapInArrow(_sets, "rep bigint, shingles array<bigint>")
     )
