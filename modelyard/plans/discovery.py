@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelyard.operators import discovery as D
+from modelyard.operators import keywords as I
 from modelyard.session import settled
 from modelyard.sources.views import CATEGORIES, duck, view
 
@@ -42,6 +43,9 @@ QUERIES = {
     "D2_keyword_top_n": lambda s, d: D.search_by_keyword(_models(s, d), CATEGORIES).select(
         "category", "kw_ord", "keyword", "rank", "model_id", "downloads"
     ),
+    "D2_keyword_index": lambda s, d: I.search(_models(s, d), view(s, d, "keyword_table")).select(
+        "category", "keyword", "rank", "model_id", "downloads"
+    ),
     "D3_first_seen": lambda s, d: D.first_seen(
         D.search_by_keyword(_models(s, d), CATEGORIES)
     ).select(*_KEYS),
@@ -140,6 +144,12 @@ ORACLE = {
     "D2_keyword_top_n": duck(
         "models", f"WITH {_HITS} SELECT category, kw_ord, keyword, rank, model_id, downloads FROM hits"
     ),
+    "D2_keyword_index": duck(
+        "models keyword_table",
+        """SELECT category, keyword, rank, model_id, downloads FROM (SELECT *, CAST(row_number() OVER (PARTITION BY keyword
+  ORDER BY coalesce(downloads,0) DESC, model_id) AS INTEGER) AS rank
+ FROM models m JOIN keyword_table k ON contains(lower(m.model_id),k.keyword) WHERE task='text-generation') WHERE rank<=50""",
+    ),
     "D3_first_seen": duck(
         "models", f"WITH {_FIRST} SELECT category, model_id, kw_ord, rank FROM firsts"
     ),

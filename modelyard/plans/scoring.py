@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions import text as X
 from modelyard.operators import evaluation as V
+from modelyard.operators import keywords as I
 from modelyard.operators import scoring as S
 from modelyard.plans.stem_sql import stems_cte
 from modelyard.sources.views import duck, view
@@ -101,6 +102,7 @@ QUERIES = {
     ),
     "E15_failing": lambda s, d: V.failing(_scores(s, d)).select(*KEY),
     "E16_gap_categories": lambda s, d: V.detect_gaps(_scores(s, d)),
+    "E16_keyword_index": lambda s, d: I.gap_categories(_scores(s, d), _samples(s, d), view(s, d, "gap_keywords")),
     "E17_summary": lambda s, d: _r6(
         _summary(s, d).withColumn("gap_categories", F.array_join("gap_categories", ",")), *_MEANS
     ),
@@ -243,6 +245,12 @@ ORACLE = {
     "E16_gap_categories": duck(
         "samples token_vecs", f"WITH RECURSIVE {_SCORES}, {_FAIL}, {_GAPS} SELECT * FROM gaps"
     ),
+    "E16_keyword_index": duck(
+        "samples token_vecs gap_keywords",
+        f"""WITH RECURSIVE {_SCORES}, {_FAIL} SELECT model_id, cat_ord, gap_cat, count(*) AS failures, min(ord) AS first_ord FROM (
+ SELECT DISTINCT f.model_id, f.sample_id, f.ord, cat_ord, gap_cat FROM failing f JOIN samples s USING (model_id,sample_id)
+ JOIN gap_keywords k ON contains(lower(s.question||' '||s.context),k.keyword)) GROUP BY ALL HAVING count(*)>=2""",
+    ),
     "E17_summary": duck(
         "samples token_vecs", f"{_ALL} SELECT model_id, dataset, n_samples, {_ROUND}, gap_categories FROM summary"
     ),

@@ -131,6 +131,16 @@ SELECT ord AS row_ord, context, question, CASE WHEN judge_raw IS NULL THEN '' EL
 }
 
 
+DUCK_ONLY |= {
+    "keyword_table": """
+SELECT left(keyword,1) AS category, CAST(length(keyword) AS INTEGER) AS kw_ord, keyword FROM (
+ SELECT DISTINCT unnest(string_split_regex(lower(text),'[^a-z]+')) AS keyword FROM {documents}) WHERE keyword<>''""",
+    "gap_keywords": """
+SELECT * FROM (SELECT DISTINCT CAST(item_id%20 AS INTEGER) AS cat_ord, concat('topic ',item_id%20) AS gap_cat,
+ unnest(string_split_regex(lower(text),'[^a-z]+')) AS keyword FROM {benchmark}) WHERE keyword<>''""",
+}
+
+
 class _Deps(dict):
     def __init__(self, resolve):
         super().__init__()
@@ -161,6 +171,27 @@ def _from_sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     return spark.sql(template, **deps)
 
 
+def _words() -> Column:
+    return F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword")
+
+
+def _keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents as a keyword, by its first letter."""
+    words = table(spark, sf_dir, "documents").select(_words()).distinct().filter("keyword <> ''")
+    return words.select(F.left("keyword", F.lit(1)).alias("category"), F.length("keyword").alias("kw_ord"), "keyword")
+
+
+def _gap_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty topics, each with the words of some benchmark items."""
+    topic = F.col("item_id") % 20
+    return (
+        table(spark, sf_dir, "benchmark")
+        .select(topic.cast("int").alias("cat_ord"), F.concat(F.lit("topic "), topic).alias("gap_cat"), _words())
+        .distinct()
+        .filter("keyword <> ''")
+    )
+
+
 def _params(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = _from_sql(spark, sf_dir, _TENSORS.replace("{values}", _SPARK_VALUES))
     return chunked(
@@ -259,6 +290,8 @@ _BUILT = {
     "adapter_b": _adapter_b,
     "synthetic": _synthetic,
     "probe_losses": _probe_losses,
+    "keyword_table": _keyword_table,
+    "gap_keywords": _gap_keywords,
 }
 
 
