@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from modelyard.functions import text as X
 from modelyard.operators import evaluation as V
 from modelyard.operators import keywords as I
+from modelyard.operators import replies as M
 from modelyard.operators import scoring as S
 from modelyard.plans.stem_sql import stems_cte
+from modelyard.session import new_shared_path
 from modelyard.sources.views import duck, view
 
 KEY = S.KEY
@@ -51,6 +53,19 @@ def _called(spark, sf):
     return S.batched_call(prompts, "prompt", "reply", _echo).select(*KEY, "reply")
 
 
+def _mute():
+    """A model that answers nothing: what it returns was not asked of it."""
+    return lambda prompts: [None] * len(prompts)
+
+
+def _remembered(spark, sf):
+    """Replies asked for once, then read back by a run whose model answers nothing."""
+    prompts = _samples(spark, sf).select(*KEY, S.qa_prompt().alias("prompt"))
+    store = new_shared_path(spark, "replies")
+    M.remembered_call(prompts, "prompt", "reply", _echo, "echo", store)
+    return M.remembered_call(prompts, "prompt", "reply", _mute, "echo", store).select(*KEY, "reply")
+
+
 def _judged(spark, sf):
     both = F.array(
         F.struct(F.lit("a").alias("model_id"), F.col("judge_raw").alias("raw")),
@@ -66,6 +81,7 @@ _MEANS = list(V.MEANS)
 QUERIES = {
     "E1_qa_prompt": lambda s, d: _samples(s, d).select(*KEY, S.qa_prompt().alias("prompt")),
     "E2_batched_model_call": _called,
+    "E2_remembered_model_call": _remembered,
     "E3_tokens": lambda s, d: S.with_tokens(_samples(s, d), stem=False).select(
         *KEY, F.posexplode("pred").alias("pos", "token")
     ),
@@ -281,3 +297,4 @@ ORACLE = {
         ),
     ),
 }
+ORACLE["E2_remembered_model_call"] = ORACLE["E2_batched_model_call"]
