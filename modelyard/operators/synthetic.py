@@ -63,20 +63,19 @@ def _as_text(item: Column, key: str) -> Column:
 
 
 def synthetic_rows(replies: DataFrame, *keep: str) -> DataFrame:
-    """One row per JSON object in a reply's array; other items are skipped."""
+    """One row per JSON object in a reply's array; other items are skipped.
+
+    The fields of an item leave a generator, so that what filters or joins them later reads
+    the text and does not repeat the look-up.
+    """
+    fields = F.struct(*[_as_text(F.col("item"), k).alias(k) for k in ("context", "question", "answer")])
     items = F.try_variant_get(parse_reply(F.col("raw")), "$", "array<variant>")
     return (
         # The outer form is parsed once; the plain one would be tested for size first.
         replies.select(*keep, "gap_cat", F.posexplode_outer(items).alias("pos", "item"))
         .filter(F.schema_of_variant("item").startswith("OBJECT"))
-        .select(
-            *keep,
-            "pos",
-            _as_text(F.col("item"), "context").alias("context"),
-            _as_text(F.col("item"), "question").alias("question"),
-            _as_text(F.col("item"), "answer").alias("answer"),
-            "gap_cat",
-        )
+        .select(*keep, "pos", "gap_cat", F.inline_outer(F.array(fields)))
+        .select(*keep, "pos", "context", "question", "answer", "gap_cat")
     )
 
 

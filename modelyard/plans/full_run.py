@@ -3,7 +3,8 @@
 The only values brought to the driver are the ids of the shortlist (at most
 ``top_k``), which name the weights to merge. Score rows are written to the shared
 folder once: gaps, prompts and the record read that table, so answers are scored
-once and a lost executor costs no second evaluation.
+once and a lost executor costs no second evaluation. With a state folder every stage is
+kept by a fingerprint of its inputs, and a run that was killed goes on after the last one.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from modelyard.operators import evaluation as V
 from modelyard.operators import merging as G
 from modelyard.operators import reports as R
 from modelyard.operators import synthetic as Y
+from modelyard.plans.manifest import Manifest, digest, fingerprint
 from modelyard.session import written
 from modelyard.sources import files
 
@@ -62,6 +64,8 @@ def full_run(
     max_iterations: int = 3,
     results_path: str | None = None,
     log_path: str | None = None,
+    state_path: str | None = None,
+    inputs: str = "",
 ) -> RunResult:
     """Discover, merge the leading three, evaluate, target the gaps, record.
 
@@ -71,11 +75,30 @@ def full_run(
     model trained further on rows. With ``train`` the improvement loop runs instead of one
     pass over the gaps. ``results_path`` receives the evaluation and is read back as the
     leaderboard, ``log_path`` the run record.
+
+    ``state_path`` keeps the stages; the same run started again reads those that are there.
+    Registry and cards are told by their rows. What the callables read is not seen by the
+    run, so ``inputs`` names it (versions of weights, questions, models).
     """
     shortlist: list[str] = []
     candidates = merged = None
+    state = Manifest(SparkSession.active(), state_path) if state_path else None
+    made = {"category": category, "strategy": strategy, "base": base_model, "inputs": inputs}
+
+    def stage(name: str, build: Callable[[], DataFrame], **parts) -> DataFrame:
+        """build() as a stage; its parts join those of all stages before."""
+        made.update({f"{name}.{k}": v for k, v in parts.items()})
+        return state.stage(name, digest(made), build, **made) if state else build()
+
     if not skip_discover:
-        candidates = D.discover(models, cards, None, categories, [category], top_k)
+        known = {"models": fingerprint(models), "cards": fingerprint(cards)} if state else {}
+        candidates = stage(
+            "candidates",
+            lambda: D.discover(models, cards, None, categories, [category], top_k),
+            categories=categories,
+            top_k=top_k,
+            **known,
+        )
         shortlist = [r["model_id"] for r in candidates.orderBy("place").select("model_id").collect()]
         if not shortlist:
             raise RuntimeError("no candidates found")
@@ -83,23 +106,35 @@ def full_run(
     if not skip_merge and shortlist:
         chosen = shortlist[:MERGED_MODELS]
         evaluated = f"{strategy}_" + "_".join(m.split("/")[-1] for m in chosen[:2])
-        merged = G.merge_models(
-            weights_of(chosen), strategy, chosen, base_model=chosen[0], name=evaluated
+        merged = stage(
+            "merged",
+            lambda: G.merge_models(weights_of(chosen), strategy, chosen, base_model=chosen[0], name=evaluated),
+            chosen=chosen,
         )
     run = RunResult(evaluated, candidates, merged, shortlist=shortlist)
     if skip_eval:
         return run
 
-    answers = answers_of(evaluated)
-    embedding = embedding_scores_of(answers) if embedding_scores_of else None
-    spark = answers.sparkSession
-    run.scores = written(V.sample_scores(answers, embedding, stem=stem), "scores")
+    def scored() -> DataFrame:
+        answers = answers_of(evaluated)
+        embedding = embedding_scores_of(answers) if embedding_scores_of else None
+        scores = V.sample_scores(answers, embedding, stem=stem)
+        return scores if state else written(scores, "scores")
+
+    run.scores = stage("scores", scored, model=evaluated, stem=stem, embedding=bool(embedding_scores_of))
+    spark = run.scores.sparkSession
     run.gaps = V.detect_gaps(run.scores)
     if not skip_training and replies_to and train:
-        run.history = improvement_loop(evaluated, answers_of, replies_to, train, max_iterations, stem=stem)
+        run.history = stage(
+            "history",
+            lambda: improvement_loop(evaluated, answers_of, replies_to, train, max_iterations, stem=stem),
+            iterations=max_iterations,
+        )
     elif not skip_training and replies_to:
         run.prompts = Y.gap_prompts(run.gaps)
-        run.training_rows = Y.chat_rows(Y.synthetic_rows(replies_to(run.prompts)))
+        run.training_rows = stage(
+            "training", lambda: Y.chat_rows(Y.synthetic_rows(replies_to(run.prompts)))
+        )
     summary = V.summarise(run.scores, category)
     run.record = R.run_records(
         summary,
