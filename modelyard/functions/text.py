@@ -42,20 +42,44 @@ def stems(lists: pa.Array) -> pa.Array:
     )
 
 
-def common_subsequence(a, b) -> int:
-    """Length of the longest common subsequence by bit rows (Hyyro, 2004)."""
+LCS_BITS = 8192  # tokens of one side handled at once
+
+
+def common_subsequence(a, b, bits: int = LCS_BITS) -> int:
+    """Length of the longest common subsequence by bit rows (Hyyro, 2004).
+
+    a and b are code arrays. Tokens of one side only are dropped first. The shorter side is
+    cut into blocks of ``bits``; a block goes over the whole other side and hands a carry bit
+    per token to the next one. A block has at most ``bits`` masks of ``bits`` bits (8 MB) and
+    a carry takes a byte a token, so memory is linear whatever the lengths.
+    """
+    a, b = np.asarray(a), np.asarray(b)
+    if len(a) > 64 or len(b) > 64:
+        a, b = a[np.isin(a, b)], b[np.isin(b, a)]
     if len(a) > len(b):
         a, b = b, a
-    where: dict = {}
-    for i, t in enumerate(a):
-        where[t] = where.get(t, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for t in b:
-        hit = row & where.get(t, 0)
-        if hit:
-            row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    length, others = 0, b.tolist()
+    carry = None
+    for begin in range(0, len(a), bits):
+        block = a[begin : begin + bits].tolist()
+        where: dict = {}
+        for i, t in enumerate(block):
+            where[t] = where.get(t, 0) | (1 << i)
+        full, last = (1 << len(block)) - 1, begin + bits >= len(a)
+        row, out = full, None if last else bytearray(len(others))
+        for k, t in enumerate(others):
+            mask = where.get(t, 0)
+            over = carry[k] if carry else 0
+            if mask or over:
+                # matched places lose their bit, which moves up to the next one that is free
+                hit = row & mask
+                total = row + hit + over
+                if out is not None and total > full:
+                    out[k] = 1
+                row = (total | (row & ~mask)) & full
+        length += len(block) - row.bit_count()
+        carry = out
+    return length
 
 
 def clipped_matches(a, b) -> int:
@@ -91,11 +115,11 @@ def overlap(stem: bool):
 
         def rows(lists: pa.Array, at: int):
             for n in lists.value_lengths().fill_null(0).to_pylist():
-                yield codes[at : at + n].tolist(), pairs[at : at + max(n - 1, 0)].tolist()
+                yield codes[at : at + n], pairs[at : at + max(n - 1, 0)].tolist()
                 at += n
 
         counts = [
-            (clipped_matches(a, b), clipped_matches(a2, b2), common_subsequence(a, b))
+            (clipped_matches(a.tolist(), b.tolist()), clipped_matches(a2, b2), common_subsequence(a, b))
             for (a, a2), (b, b2) in zip(rows(left, 0), rows(right, len(left.flatten())))
         ]
         columns = list(zip(*counts)) if counts else [[], [], []]

@@ -136,6 +136,7 @@ def rouge(samples: DataFrame, stem: bool = True, *keep: str) -> DataFrame:
 # --- embedding match ---------------------------------------------------------
 
 TOKEN_BLOCK = 256
+LONG = 2048  # tokens of a side; a longer answer is compared in blocks of as many
 
 
 _SIDES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("p", "r")])
@@ -147,46 +148,107 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return m / np.where(norm == 0.0, 1.0, norm)
 
 
-@pandas_udf(_SIDES)
-def _greedy_match(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    """Mean best match of the tokens of either side; 0 when a side is empty.
+def _best(p, r) -> tuple[np.ndarray, np.ndarray]:
+    """Best match of every token of either side.
 
     Compared block against block, so memory stays at two blocks and a value per token.
     """
+    a, b = _unit(p), _unit(r)
+    best_a, best_b = np.full(len(a), -np.inf), np.full(len(b), -np.inf)
+    for i in range(0, len(a), TOKEN_BLOCK):
+        for j in range(0, len(b), TOKEN_BLOCK):
+            match = a[i : i + TOKEN_BLOCK] @ b[j : j + TOKEN_BLOCK].T
+            rows, cols = slice(i, i + match.shape[0]), slice(j, j + match.shape[1])
+            best_a[rows] = np.maximum(best_a[rows], match.max(axis=1))
+            best_b[cols] = np.maximum(best_b[cols], match.max(axis=0))
+    return best_a, best_b
+
+
+@pandas_udf(_SIDES)
+def _greedy_match(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+    """Mean best match of the tokens of either side; 0 when a side is empty."""
     means = []
     for p, r in zip(pred, ref):
         if not len(p) or not len(r):
             means.append((0.0, 0.0))
             continue
-        a, b = _unit(p), _unit(r)
-        best_a, best_b = np.full(len(a), -np.inf), np.full(len(b), -np.inf)
-        for i in range(0, len(a), TOKEN_BLOCK):
-            for j in range(0, len(b), TOKEN_BLOCK):
-                match = a[i : i + TOKEN_BLOCK] @ b[j : j + TOKEN_BLOCK].T
-                rows, cols = slice(i, i + match.shape[0]), slice(j, j + match.shape[1])
-                best_a[rows] = np.maximum(best_a[rows], match.max(axis=1))
-                best_b[cols] = np.maximum(best_b[cols], match.max(axis=0))
+        best_a, best_b = _best(p, r)
         means.append((best_a.mean(), best_b.mean()))
     return pd.DataFrame(means, columns=["p", "r"])
 
 
-def embedding_f1(token_vecs: DataFrame, baseline: float = 0.0) -> DataFrame:
-    """Greedy cosine match of prediction and reference tokens, as an F1 per answer.
+@pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("pred", "ref")]))
+def _block_match(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+    """Best match of every token within two blocks."""
+    return pd.DataFrame([_best(p, r) for p, r in zip(pred, ref)], columns=["pred", "ref"])
+
+
+def _side(name: str, *columns: str) -> Column:
+    value = F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
+    return F.collect_list(F.when(F.col("side") == name, value)).alias(name)
+
 
-    Input rows are ``(model_id, sample_id, side in {pred, ref}, pos, vec)``. One scan and
-    one shuffle bring an answer's vectors together; the group is one answer, as long as
-    its two texts. An answer with tokens on one side only scores like no match.
+def _match_in_blocks(token_vecs: DataFrame, block: int) -> DataFrame:
+    """KEY, p and r of answers of any length, compared as blocks of tokens.
+
+    A block of one side meets every block of the other as a row of its own, so no task holds
+    more than two; what leaves a pair of blocks is one value a token, and the best of a
+    token's values is an aggregation. An answer of one side only has no row.
     """
+    place = F.floor(F.col("pos") / block)
+    sizes = token_vecs.groupBy(*KEY).agg(
+        *[F.max(F.when(F.col("side") == name, place)).alias(f"{name}_last") for name in ("pred", "ref")]
+    )
+    other = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("side") == "pred", F.col("ref_last")).otherwise(F.col("pred_last")))
+    met = token_vecs.join(sizes, KEY).select(
+        *KEY, "side", "pos", "vec", place.alias("own"), F.explode(other).alias("other")
+    )
+    pred = F.col("side") == "pred"
+    pairs = (
+        met.withColumn("i", F.when(pred, F.col("own")).otherwise(F.col("other")))
+        .withColumn("j", F.when(pred, F.col("other")).otherwise(F.col("own")))
+        .groupBy(*KEY, "i", "j")
+        .agg(_side("pred", "pos", "vec"), _side("ref", "pos", "vec"))
+        .select(*KEY, "pred.pos", F.col("ref.pos").alias("ref_pos"), _block_match("pred.vec", "ref.vec").alias("m"))
+    )
+    values = F.array(
+        *[
+            F.struct(F.lit(name).alias("side"), F.arrays_zip(pos.alias("pos"), F.col(f"m.{name}").alias("best")).alias("t"))
+            for name, pos in (("pred", F.col("pos")), ("ref", F.col("ref_pos")))
+        ]
+    )
+    best = (
+        pairs.select(*KEY, F.inline(values))
+        .select(*KEY, "side", F.inline("t"))
+        .groupBy(*KEY, "side", "pos")
+        .agg(F.max("best").alias("best"))
+    )
+    return best.groupBy(*KEY).agg(
+        *[F.avg(F.when(F.col("side") == name, F.col("best"))).alias(c) for name, c in (("pred", "p"), ("ref", "r"))]
+    )
 
-    def side(name: str) -> Column:
-        return F.collect_list(F.when(F.col("side") == name, F.col("vec")))
 
+def embedding_f1(token_vecs: DataFrame, baseline: float = 0.0, long: int = LONG) -> DataFrame:
+    """Greedy cosine match of prediction and reference tokens, as an F1 per answer.
+
+    Input rows are ``(model_id, sample_id, side in {pred, ref}, pos, vec)``, pos counting a
+    side's tokens from 0. One scan and one shuffle bring an answer's vectors together, up to
+    ``long`` tokens a side; longer answers are told by their positions and compared as blocks
+    of tokens. An answer with tokens on one side only scores like no match.
+    """
+    beyond = token_vecs.filter(F.col("pos") >= long).select(*KEY).distinct()
+    huge = not beyond.isEmpty()
+    whole = token_vecs.join(beyond, KEY, "left_anti") if huge else token_vecs
     sides = (
-        token_vecs.groupBy(*KEY)
-        .agg(side("pred").alias("pred"), side("ref").alias("ref"))
+        whole.groupBy(*KEY)
+        .agg(_side("pred", "vec"), _side("ref", "vec"))
         .select(*KEY, _greedy_match("pred", "ref").alias("m"))
+        .select(*KEY, "m.p", "m.r")
     )
-    p, r = F.col("m.p"), F.col("m.r")
+    if huge:
+        blocks = _match_in_blocks(token_vecs.join(beyond, KEY, "left_semi"), long)
+        sides = sides.unionByName(beyond.join(blocks, KEY, "left"))
+    p, r = F.col("p"), F.col("r")
     f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     return sides.select(*KEY, ((f1 - baseline) / (1 - baseline)).alias("bertscore_f1"))
 

@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -226,3 +227,33 @@ def test_batched_call_makes_one_model_per_task(spark):
     df = spark.range(10).coalesce(1).selectExpr("cast(id as string) as prompt")
     got = sorted(r.reply for r in S.batched_call(df, "prompt", "reply", make).collect())
     assert got == sorted(f"{i}:{i}" for i in range(10))
+
+
+def test_common_subsequence_of_very_long_lists():
+    """20,000 by 20,000 tokens, against whole rows of the classic recurrence; and tiny blocks."""
+    rng = np.random.default_rng(5)
+    for words in (40, 3000):
+        a, b = rng.integers(0, words, 20_000), rng.integers(0, words, 20_000)
+        row = np.zeros(len(b), np.int32)
+        for x in a:
+            row = np.maximum.accumulate(np.where(b == x, np.append([0], row[:-1]) + 1, row))
+        assert X.common_subsequence(a, b) == X.common_subsequence(b, a) == row[-1]
+    for _ in range(300):
+        a, b = (rng.integers(0, rng.choice([2, 5]), rng.integers(0, 90)) for _ in range(2))
+        wanted = brute_lcs(a.tolist(), b.tolist())
+        assert {X.common_subsequence(a, b, bits) for bits in (1, 5, 64, 8192)} == {wanted}
+
+
+def test_a_huge_answer_is_compared_in_blocks(spark):
+    """Blocks of five tokens give what whole answers give; no group is longer."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for sample, (n, m) in enumerate([(3, 4), (5, 5), (6, 2), (23, 1), (31, 17), (12, 0), (0, 40), (5, 6)]):
+        for side, k in (("pred", n), ("ref", m)):
+            rows += [("m", f"s{sample}", side, i, rng.normal(size=4).astype("float32").tolist()) for i in range(k)]
+    df = spark.createDataFrame(rows, "model_id string, sample_id string, side string, pos bigint, vec array<float>")
+    whole = {r.sample_id: r.bertscore_f1 for r in S.embedding_f1(df, 0.1).collect()}
+    cut = {r.sample_id: r.bertscore_f1 for r in S.embedding_f1(df.repartition(5), 0.1, long=5).collect()}
+    assert set(whole) == set(cut) and len(whole) == 8
+    for k, v in whole.items():
+        assert abs(cut[k] - v) < 1e-9
