@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,19 @@ def chunks(column: pa.Array) -> Iterator[list[str]]:
         yield part
 
 
+def portions(batch: pa.RecordBatch, text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about that many bytes of text; a longer text is one of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for row, n in enumerate(sizes):
+        if total and total + n > size:
+            yield batch.slice(begin, row - begin)
+            begin, total = row, 0
+        total += n
+    if batch.num_rows:
+        yield batch.slice(begin)
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts in a row, and the offsets of the texts."""
     raw = "".join(texts).encode("utf-32-le", "surrogatepass")

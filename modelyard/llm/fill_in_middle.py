@@ -20,7 +20,6 @@ result's names are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modelyard.llm.features import portions
 from modelyard.llm.text import free_name
 
 MARKERS = ("<P>", "<S>", "<M>")  # of prefix, suffix, middle
-CHUNK = 4_000_000
+CHUNK = 1_000_000  # bytes of text handled at once
 ADDED = ("n_units", "form", "fim_text", "prefix_chars", "middle_chars")
 
 
@@ -88,23 +88,10 @@ def cut(text: pa.StringArray, h1: pa.Array, h2: pa.Array) -> tuple[pa.Array, lis
     return n, [_joined(pc.filter(flat, m), k) for m, k in zip((in_prefix, in_middle, in_suffix), lengths)]
 
 
-def _pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices with about CHUNK bytes of text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    begin, total = 0, 0
-    for row, size in enumerate(sizes):
-        if total and total + size > CHUNK:
-            yield batch.slice(begin, row - begin)
-            begin, total = row, 0
-        total += size
-    if batch.num_rows:
-        yield batch.slice(begin)
-
-
-def _transformed(batches, text: str, drawn: str, schema: pa.Schema, rate: int, spm: int, markers):
+def _transformed(batches, text: str, drawn: str, schema: pa.Schema, rate: int, spm: int, markers, size: int):
     p, s, m = markers
     for batch in batches:
-        for piece in _pieces(batch, text):
+        for piece in portions(batch, text, size):
             whole = pc.fill_null(piece.column(text).cast(pa.string()), "")
             h = piece.column(drawn)
             h1, h2, h3, h4 = (pc.list_element(h, k) for k in range(4))
@@ -148,10 +135,11 @@ def transform(
     rest = [f for f in docs.schema.fields if f.name.lower() not in ADDED]
     kinds = (T.LongType(), T.StringType(), T.StringType(), T.LongType(), T.LongType())
     schema = T.StructType([*rest, *[T.StructField(x, kind) for x, kind in zip(ADDED, kinds)]])
+    size = CHUNK
     names = pa.schema([(f.name, pa.null()) for f in schema.fields])
     return (
         docs.select(*[F.col(f"`{f.name}`") for f in rest], draws(F.col(f"`{key}`"), salt).alias(drawn))
-        .mapInArrow(lambda batches: _transformed(batches, text, drawn, names, rate, spm, markers), schema)
+        .mapInArrow(lambda batches: _transformed(batches, text, drawn, names, rate, spm, markers, size), schema)
     )
 
 

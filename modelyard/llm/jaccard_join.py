@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from modelyard.llm import shingles as S
 from modelyard.llm.components import components
+from modelyard.llm.features import portions
 from modelyard.llm.links import forest, tiles
 from modelyard.llm.text import free_name
 from modelyard.session import written
@@ -45,6 +46,7 @@ ALIKE = 0.5  # a child with this share of its parent's sets shows that they are
 TILE = 4096  # sets in a block of sketches
 TILE_SHINGLES = 1 << 20  # shingles in a block of sets
 SLOTS = 24  # bits of a slot in the bitmap of ids: 2 MB
+TEXT_BYTES = 1 << 20  # of texts made into sets at once
 SIDE = 256  # sets compared at once in a task
 SCREEN = 34  # of 64 equal positions; at similarity 0.8 fewer have probability below 1e-6
 ADDED = ("class_id", "n_links", "component_id", "kept")
@@ -74,15 +76,19 @@ def runs_needed(recall: float = TARGET_RECALL, children: int = CHILDREN, levels:
 def _sketches(batches):
     hashes = S.WordHashes()
     for batch in batches:
-        rows = [S.shingle_set(t.as_py(), hashes) for t in batch.column("text")]
-        values = np.array([S.sketch(x) for x in rows], np.int32).reshape(-1)
-        offsets = np.arange(len(rows) + 1, dtype=np.int32) * S.POSITIONS
+        sizes, sketches = [], []
+        for text in batch.column("text"):
+            x = S.shingle_set(text.as_py(), hashes)
+            sizes.append(len(x))
+            sketches.append(S.sketch(x))
+        offsets = np.arange(len(sizes) + 1, dtype=np.int32) * S.POSITIONS
+        values = np.array(sketches, np.int32).reshape(-1)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
                 batch.column("k1"),
                 batch.column("k2"),
-                pa.array([len(x) for x in rows], pa.int32()),
+                pa.array(sizes, pa.int32()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
             ],
             names=["id", "k1", "k2", "size", "sketch"],
@@ -91,14 +97,14 @@ def _sketches(batches):
 
 def _sets(batches):
     hashes = S.WordHashes()
-    for batch in batches:
-        rows = [S.shingle_set(t.as_py(), hashes).view(np.int64) for t in batch.column("text")]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
-        values = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("rep"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-            names=["rep", "shingles"],
-        )
+    for whole in batches:
+        for batch in portions(whole, "text", TEXT_BYTES):
+            rows = [S.shingle_set(t.as_py(), hashes).view(np.int64) for t in batch.column("text")]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))],
+                names=["rep", "shingles"],
+            )
 
 
 def _children(path: Column) -> Column:

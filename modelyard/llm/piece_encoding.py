@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from modelyard.llm.text import free_name
 
 MARK = "▁"
-KNOWN_STRETCHES = 200_000
+KNOWN_STRETCHES = 100_000
 KNOWN_PAIRS = 300_000
-CHUNK = 4_000_000  # bytes of text encoded at once
+CHUNK = 1_000_000  # bytes of text encoded at once
 NORMAL, USER_DEFINED = 1, 4
 
 

@@ -10,7 +10,7 @@ import xxhash
 SIZE = 5
 POSITIONS = 64
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-KNOWN_WORDS = 200_000  # word hashes a task remembers
+KNOWN_WORDS = 100_000  # word hashes a task remembers
 
 _MIX = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SEEDS = np.random.Generator(np.random.PCG64(21)).integers(1, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
