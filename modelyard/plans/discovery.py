@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelyard.operators import discovery as D
 from modelyard.operators import keywords as I
+from modelyard.operators import registry_state as Q
 from modelyard.session import settled
 from modelyard.sources.views import CATEGORIES, duck, view
 
@@ -36,6 +37,24 @@ def _all(spark, sf, ppl=True):
     )
 
 
+def _from_state(spark, sf):
+    """The search's result from a state over yesterday's registry and what changed since.
+
+    Yesterday one brand was not there, another had twice the downloads and one more task.
+    """
+    today = _models(spark, sf)
+    brand = F.substring_index("model_id", "/", 1)
+    double = F.when(brand == "brand3", F.col("downloads") * 2).otherwise(F.col("downloads"))
+    task = F.when(brand == "brand3", "text-generation").otherwise(F.col("task"))
+    yesterday = today.filter(brand != "brand4").withColumn("downloads", double).withColumn("task", task)
+    state = Q.state_of(D.matching_keywords(yesterday, CATEGORIES))
+    change = today.filter(brand.isin("brand3", "brand4"))
+    state = Q.updated(state, change, D.matching_keywords(change, CATEGORIES))
+    return Q.top(Q.refreshed(state, D.matching_keywords(today, CATEGORIES))).select(
+        "category", "kw_ord", "keyword", "rank", "model_id", "downloads"
+    )
+
+
 _KEYS = ["category", "model_id", "kw_ord", "rank"]
 
 QUERIES = {
@@ -46,6 +65,7 @@ QUERIES = {
     "D2_keyword_index": lambda s, d: I.search(_models(s, d), view(s, d, "keyword_table")).select(
         "category", "keyword", "rank", "model_id", "downloads"
     ),
+    "D2_registry_state": _from_state,
     "D3_first_seen": lambda s, d: D.first_seen(
         D.search_by_keyword(_models(s, d), CATEGORIES)
     ).select(*_KEYS),
@@ -201,3 +221,4 @@ ORACLE = {
         "SELECT model_id, downloads, likes, pipeline_tag FROM models WHERE task='text-generation'",
     ),
 }
+ORACLE["D2_registry_state"] = ORACLE["D2_keyword_top_n"]
