@@ -102,14 +102,32 @@ def _documents(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """Texts that should hold one JSON object each: the lines of a file, or all of it.
 
     A file whose first line is a whole object has one document per line; any other file is
-    one document, over as many lines as it has.
+    one document, over as many lines as it has. Files are read as lines in splits, so a large
+    file of results is read by many tasks; each file's kind comes from its first line, found
+    by one aggregation. Only the lines of a document of several lines are put together again.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
-    by_line = F.coalesce(F.get(lines, F.lit(0)).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
-    return files.select(
-        F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("document")
+    lines = (
+        spark.read.text(path, lineSep="\n", pathGlobFilter=glob, recursiveFileLookup=True)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i")).alias("at"),
+            "value",
+        )
+        .filter(F.trim("value") != "")
+    )
+    kinds = (
+        lines.groupBy("file")
+        .agg(F.min_by("value", "at").alias("head"))
+        .select("file", F.col("head").rlike(r"^\s*\{.*\}\s*$").alias("by_line"))
+    )
+    told = lines.join(kinds, "file")
+    whole = (
+        told.filter(~F.col("by_line"))
+        .groupBy("file")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("rows"))
+        .select(F.array_join(F.transform("rows", lambda r: r["value"]), "\n").alias("document"))
     )
+    return told.filter("by_line").select(F.col("value").alias("document")).unionByName(whole)
 
 
 def read_eval_results(spark: SparkSession, path: str, glob: str = EVAL_FILES) -> DataFrame:

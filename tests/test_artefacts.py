@@ -55,6 +55,26 @@ def test_a_file_with_several_results_loses_none(spark, tmp_path):
     assert [r.model for r in board] == ["o/b", "o/a", "o_a"]
 
 
+def test_a_large_file_of_results_is_read_by_many_tasks(spark, tmp_path):
+    """Small splits: records are found within them, none is lost or cut, other files are whole."""
+    rows = [{"model_id": f"o/{i}", "dataset": "d ü \n" * (i % 7), "avg_rouge1": i / 3000} for i in range(3000)]
+    lines(tmp_path / "eval_large.json", rows)
+    wide = {"model_id": "wide", "dataset": "d", "avg_rouge1": 1.0, "sample_scores": [{"rouge1": k} for k in range(800)]}
+    (tmp_path / "eval_wide.json").write_text("\n  \n" + json.dumps(wide, indent=2))
+    (tmp_path / "eval_cut.json").write_text(json.dumps(wide, indent=2)[:-9])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = files.read_eval_results(spark, str(tmp_path))
+        tasks = spark.read.text(str(tmp_path), pathGlobFilter="eval_large.json").rdd.getNumPartitions()
+        assert tasks > 10 and "wholetext" not in got._jdf.queryExecution().toString().lower()
+        found = {r.model_id: (r.dataset, r.avg_rouge1) for r in got.collect()}
+        assert files.unreadable_results(spark, str(tmp_path)) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == {r["model_id"]: (r["dataset"], r["avg_rouge1"]) for r in [*rows, wide]}
+
+
 def test_evaluation_rerun_replaces_only_its_part(spark, tmp_path):
     def summary(model, value):
         return spark.createDataFrame(
