@@ -126,9 +126,9 @@ pipeline_tag: text-generation
 |----------------|-------|
 | Base models    | {base_models} |
 | Merge strategy | `{merge_strategy}` |
-| Fine-tuning    | LoRA/QLoRA (PEFT) |
-| Scale          | 7B parameters |
-| Precision      | bfloat16 |
+| Fine-tuning    | {tuning} |
+| Scale          | {scale} |
+| Precision      | {precision} |
 
 ## Evaluation Results
 
@@ -149,31 +149,34 @@ pipeline_tag: text-generation
 
 ### Merge Configuration
 - **Strategy**: {merge_strategy}
-- **Density** (TIES/Breadcrumbs): 0.7
-- **Alpha**: 0.5
+- **Density** (TIES/Breadcrumbs): {density}
+- **Alpha**: {alpha}
 
 ## Usage
 
-```python
-from transformers import AutoTokenizer, AutoModelForCausalLM
+Weights and tokenizer are stored under `{repo_id}`. Prompts of the evaluation have the form
 
-model = AutoModelForCausalLM.from_pretrained("{repo_id}", trust_remote_code=True)
-tok   = AutoTokenizer.from_pretrained("{repo_id}")
-
-inputs = tok("Your prompt here", return_tensors="pt")
-output = model.generate(**inputs, max_new_tokens=256)
-print(tok.decode(output[0], skip_special_tokens=True))
-```
+    Context: (passage)
+    Question: (question)
+    Answer:
 
 ## Limitations
-- Evaluated primarily on English text
-- May hallucinate on out-of-training-distribution topics
-- 4-bit quantization used during evaluation (not deployment)
+- The scores hold for the questions of the evaluation; nothing else was measured.
+- {hallucination} of its answers were marked as not supported by their context.
 """
-
-
-def model_cards(runs: DataFrame, repo_id: Column) -> DataFrame:
-    """Markdown card per run."""
+#: What a card says of the run beside its scores.
+CARD_SETTINGS = {
+    "tuning": "none",
+    "scale": "not stated",
+    "precision": "bfloat16",
+    "density": str(K.DENSITY),
+    "alpha": str(K.SCALING),
+}
+
+
+def model_cards(runs: DataFrame, repo_id: Column, **settings: str) -> DataFrame:
+    """Markdown card per run; ``settings`` replace entries of CARD_SETTINGS."""
+    stated = CARD_SETTINGS | settings
     gaps = F.array_join(F.transform("gap_categories", lambda g: F.concat(F.lit("- "), g)), "\n")
     card = fill(
         _CARD,
@@ -191,6 +194,7 @@ def model_cards(runs: DataFrame, repo_id: Column) -> DataFrame:
         judge=fixed(F.col("avg_judge_score"), 1),
         gaps=F.coalesce(F.nullif(gaps, F.lit("")), F.lit("- None detected")),
         repo_id=repo_id,
+        **{name: F.lit(stated[name]) for name in CARD_SETTINGS},
     )
     return runs.select("run_name", "model_id", card.alias("card"))
 

@@ -204,6 +204,7 @@ for _slot, _sql in {
     "judge": "printf('%.1f',coalesce(avg_judge_score,0))",
     "gaps": "'- None detected'",
     "repo_id": "model_id",
+    **{name: f"'{value}'" for name, value in R.CARD_SETTINGS.items()},
 }.items():
     _CARD = _CARD.replace("{" + _slot + "}", f"'||{_sql}||'")
 

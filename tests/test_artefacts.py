@@ -123,7 +123,8 @@ def test_thresholds_are_strict(spark):
 def test_model_card(spark):
     summary = spark.createDataFrame([("o/m", 0.42, 0.125)], "model_id string, avg_rouge1 double, hallucination_rate double")
     run = R.run_records(summary, F.lit("r"), F.lit("ties"), F.array(F.lit("a"), F.lit("b")))
-    card = R.model_cards(run, F.lit("org/name")).first().card
+    card = R.model_cards(run, F.lit("org/name"), scale="3B parameters", density="0.4").first().card
+    assert "| Scale          | 3B parameters |" in card and "(TIES/Breadcrumbs): 0.4" in card and "{" not in card
     assert "# name\n" in card and "| Base models    | `a`, `b` |" in card
     assert "| ROUGE-1            | 0.420 |" in card and "| Hallucination rate | 12.5% |" in card
     assert "- None detected" in card and "| Judge Score        | 0.0/10 |" in card
