@@ -7,8 +7,8 @@ hash-shuffled order and repeated up to MAX_REPEATS times. A source's last slot i
 so that its words equal its rounded target.
 
 Every total is built in two levels (rows per small piece, then pieces), so no window holds
-a whole source. The list of sources is the mix's configuration; more than MAX_SOURCES of
-them are refused.
+a whole source. Up to TREE_SOURCES sources, their stretches are an expression; more of them
+are ranked, capped and laid out as a table, and slots find their stretch by a join.
 
 Defined results: a null text has no words and serves none; a null source is a source of
 its own, last in order; repeated rows are separate documents; ties in the shuffled order
@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modelyard.llm.text import free_name, words
-from modelyard.session import settled
+from modelyard.session import settled, written
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 BLOCK = 1024
 MAX_REPEATS = 3
-MAX_SOURCES = 4096
+TREE_SOURCES = 4096
 SLOT_PIECE = 1 << 15
 ROWS_PER_PIECE = 4096
 
@@ -72,32 +72,76 @@ def _stretch(u: Column, edges: list[tuple[int, float]]) -> Column:
     )
 
 
-def schedule(spark: SparkSession, goal: dict[int, int], block: int = BLOCK) -> DataFrame:
-    """Slots (slot, source_no, block_no, served): the words each slot serves, none empty.
-
-    One golden point per block of the total; slots of a source beyond its goal are skipped,
-    and the few blocks that the points' discrepancy leaves unserved follow at the end.
-    """
-    goal = {s: g for s, g in goal.items() if g > 0}
-    if not goal:
-        return spark.createDataFrame([], "slot bigint, source_no int, block_no bigint, served bigint")
+def _dealt_by_tree(spark: SparkSession, goal: dict[int, int], slots: int) -> DataFrame:
+    """Slots (slot, source_no) by comparing their point with the few edges."""
     total, edges, at = sum(goal.values()), [], 0
-    slots = -(-total // block)
     for s in sorted(goal):
         at += goal[s]
         edges.append((s, at / total))
-    numbered = spark.range(slots).select(
-        F.col("id").alias("slot"),
-        _stretch((F.col("id") * F.lit(GOLDEN)) % 1, edges).alias("source_no"),
-        F.floor(F.col("id") / SLOT_PIECE).alias("piece"),
+    point = (F.col("id") * F.lit(GOLDEN)) % 1
+    return spark.range(slots).select(F.col("id").alias("slot"), _stretch(point, edges).alias("source_no"))
+
+
+def _dealt_by_join(goals: DataFrame, slots: int) -> DataFrame:
+    """Slots (slot, source_no) by a join with the stretches of any number of sources.
+
+    The unit interval is cut into as many cells as there are slots. A stretch is filed under
+    the cells it touches, so there are as many rows as cells and sources together; golden
+    points are even, so a cell has a few slots, and a slot meets the sources of one cell.
+    """
+    piece = Window.partitionBy("piece").orderBy("source_no")
+    pieces = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # a row per 4,096 sources
+    cut = goals.withColumn("piece", F.floor(F.col("source_no") / TREE_SOURCES))
+    starts = cut.groupBy("piece").agg(F.sum("goal").alias("n")).select(
+        "piece", F.coalesce(F.sum("n").over(pieces), F.lit(0)).alias("start")
+    )
+    total = goals.agg(F.sum("goal")).first()[0]
+    high = (F.col("start") + F.sum("goal").over(piece)).cast("double")
+    stretches = cut.join(starts, "piece").withColumn("high", high).select(
+        "source_no", ((F.col("high") - F.col("goal")) / total).alias("low"), (F.col("high") / total).alias("high")
     )
+
+    def cell(point: Column) -> Column:
+        return F.least(F.floor(point * slots), F.lit(slots - 1)).cast("bigint")
+
+    filed = stretches.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
+    point = (F.col("slot") * F.lit(GOLDEN)) % 1
+    numbered = goals.sparkSession.range(slots).withColumnRenamed("id", "slot").withColumn("point", point)
+    return (
+        numbered.withColumn("cell", cell(F.col("point")))
+        .join(filed, "cell")
+        .filter((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
+        .select("slot", "source_no")
+    )
+
+
+def schedule(
+    spark: SparkSession, goal: dict[int, int] | DataFrame, block: int = BLOCK
+) -> DataFrame:
+    """Slots (slot, source_no, block_no, served): the words each slot serves, none empty.
+
+    goal: words by source number, or a table (source_no, goal) of them. One golden point per
+    block of the total; slots of a source beyond its goal are skipped, and the few blocks that
+    the points' discrepancy leaves unserved follow at the end.
+    """
+    if isinstance(goal, DataFrame):
+        goals = goal.filter("goal > 0")
+        slots = -(-(goals.agg(F.sum("goal")).first()[0] or 0) // block)
+        dealt = _dealt_by_join(goals, slots) if slots else None
+    else:
+        goal = {s: g for s, g in goal.items() if g > 0}
+        goals = spark.createDataFrame(sorted(goal.items()), "source_no int, goal bigint")
+        slots = -(-sum(goal.values()) // block)
+        dealt = _dealt_by_tree(spark, goal, slots) if slots else None
+    if dealt is None:
+        return spark.createDataFrame([], "slot bigint, source_no int, block_no bigint, served bigint")
+    numbered = dealt.withColumn("piece", F.floor(F.col("slot") / SLOT_PIECE))
     within = Window.partitionBy("source_no", "piece").orderBy("slot")
     before = Window.partitionBy("source_no").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = numbered.groupBy("source_no", "piece").agg(F.count("*").alias("n"))
     starts = pieces.select(
         "source_no", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
     )
-    goals = spark.createDataFrame(sorted(goal.items()), "source_no int, goal bigint")
     ranked = (
         numbered.withColumn("local", F.row_number().over(within) - 1)
         .join(starts, ["source_no", "piece"])
@@ -166,13 +210,8 @@ def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def allot(sized: DataFrame, block: int = BLOCK, limit: int = MAX_REPEATS) -> DataFrame:
-    """sized with source_size, target (its source's) and taken (words of the row in the mix)."""
-    spark = sized.sparkSession
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    rows = rows.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"a mix has at most {MAX_SOURCES} sources")
+def _few(spark: SparkSession, rows: list, limit: int) -> tuple[DataFrame, dict[int, int]]:
+    """Facts of the sources, and their goals by number."""
     total = {r["source"]: r["size"] for r in rows}
     target = targets(total, weights_in_order(list(total)), limit)
     order = sorted(total, key=lambda s: (s is None, s or ""))
@@ -183,7 +222,61 @@ def allot(sized: DataFrame, block: int = BLOCK, limit: int = MAX_REPEATS) -> Dat
         [(s, number[s], total[s], float(target[s])) for s in order],
         "source string, source_no int, source_size bigint, target double",
     )
-    pieces = max(1, sum(r["n"] for r in rows) // ROWS_PER_PIECE)
+    return facts, goal
+
+
+def _many(found: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The same as tables, for any number of sources (source, size).
+
+    Numbers come from a range sort and the partitions' counts. Targets are capped round by
+    round as in ``targets``; a round is one aggregation that brings two sums to the driver.
+    """
+    order = F.col("source").asc_nulls_last()
+    placed = written(
+        found.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id()),
+        "mix-sources",
+    )
+    part = F.shiftright("at", 33)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("at").alias("first")).select(
+        "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    ranked = written(
+        placed.withColumn("part", part)
+        .join(starts, "part")
+        .select("source", (F.col("start") + F.col("at") - F.col("first")).cast("int").alias("source_no"), F.col("size").alias("source_size")),
+        "mix-ranks",
+    )
+    weight, cap = 1 + F.col("source_no") % 3, F.col("source_size") * limit
+    total, free = ranked.agg(F.sum("source_size"), F.sum(weight)).first()
+    left, capped = float(total), -1
+    while True:
+        share = F.lit(left) * weight / F.lit(float(free or 1))
+        full = share > cap
+        now, taken, rest = ranked.agg(
+            F.count_if(full), F.coalesce(F.sum(F.when(full, cap)), F.lit(0)), F.coalesce(F.sum(F.when(~full, weight)), F.lit(0))
+        ).first()
+        if now == capped:
+            break
+        capped, left, free = now, float(total - taken), rest
+    target = F.when(full, cap.cast("double")).otherwise(share)
+    facts = ranked.withColumn("target", target)
+    goals = facts.select("source_no", F.least(F.bround("target", 0).cast("bigint"), cap).alias("goal"))
+    return facts, goals
+
+
+def allot(sized: DataFrame, block: int = BLOCK, limit: int = MAX_REPEATS) -> DataFrame:
+    """sized with source_size, target (its source's) and taken (words of the row in the mix)."""
+    spark = sized.sparkSession
+    found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    rows = found.limit(TREE_SOURCES + 1).collect()
+    if len(rows) > TREE_SOURCES:
+        facts, goal = _many(found.drop("n"), limit)
+        n_rows = sized.count()
+    else:
+        facts, goal = _few(spark, rows, limit)
+        n_rows = sum(r["n"] for r in rows)
+    pieces = max(1, n_rows // ROWS_PER_PIECE)
     joined = sized.join(
         facts.withColumnRenamed("source", "fact_source"),
         F.col("source").eqNullSafe(F.col("fact_source")),

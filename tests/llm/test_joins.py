@@ -223,6 +223,31 @@ def test_mix_takes_the_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_by_tables_equals_the_mix_by_expressions(spark, monkeypatch):
+    _, df = mixed_docs(spark)
+    few = sorted(map(str, mixing.allot(mixing.sizes(df)).collect()))
+    monkeypatch.setattr(mixing, "TREE_SOURCES", 2)
+    assert sorted(map(str, mixing.allot(mixing.sizes(df)).collect())) == few
+
+
+def test_mix_of_five_thousand_sources(spark):
+    r = random.Random(6)
+    rows = [(i, " ".join(["w"] * r.choice([0, 3, 40, 700])), "en", f"site {i % 5003}", 0) for i in range(7000)]
+    rows += [(7000 + i, " ".join(["w"] * 900), "en", None, 0) for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    sizes, taken = {}, {}
+    for _, t, _, s, _ in rows:
+        sizes[s] = sizes.get(s, 0) + brute.size(t)
+    wanted = brute.targets(sizes)
+    got = mixing.allot(mixing.sizes(df)).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        assert x.source_size == sizes[x.source] and abs(x.target - wanted[x.source]) < 1e-6 * max(1, x.target)
+        assert 0 <= x.taken <= 3 * x.size
+        taken[x.source] = taken.get(x.source, 0) + x.taken
+    assert all(abs(taken[s] - wanted[s]) <= 1 for s in wanted)
+
+
 def test_mixed_rows_are_what_is_taken(spark):
     _, df = mixed_docs(spark)
     df = df.union(df.limit(30)).withColumn("row_size", F.lit("x"))
