@@ -32,7 +32,6 @@ SIZES = (1, 2, 3)
 BITS = 12
 CENTROIDS = 3
 SAMPLE = 6000  # training texts for centroids, over all languages
-MAX_LANGUAGES = 1000
 REJECT = 0.01  # share of a language's training texts that its distance limit leaves out
 ADDED = ("lang_pred", "score", "rejected")
 
@@ -92,12 +91,13 @@ def _frequencies(batches):
 
 def _vectors(batches):
     for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            part = batch.slice(begin, 256)
-            x = counts([t.as_py() or "" for t in part.column("text")])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"]
-            )
+        for texts in features.portions(batch, "text", features.CHUNK):
+            for begin in range(0, texts.num_rows, 256):
+                part = texts.slice(begin, 256)
+                x = counts([t.as_py() or "" for t in part.column("text")])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"]
+                )
 
 
 def _k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
@@ -150,17 +150,19 @@ def _sample(rows: DataFrame, per_language: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lang") -> Model | None:
-    """Learn from rows that learnable marks and whose language is not null."""
+    """Learn from rows that learnable marks and whose language is not null.
+
+    A doc_id has a part in the order of the sample only: with the text it gives the hash by
+    which rows are taken. The model has CENTROIDS rows of 2^BITS floats for each language.
+    """
     key = [F.col("doc_id")] if "doc_id" in docs.columns else []
     rows = docs.filter(learnable & F.col(lang).isNotNull()).select(
         F.col(text).alias("text"),
         F.col(lang).cast("string").alias("lang"),
         F.xxhash64(F.lit(3), *key, text).alias("h"),
     )
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
+    n_languages = rows.select("lang").distinct().count()
+    if not n_languages:
         return None
     found = rows.mapInArrow(_frequencies, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
     df = {r["bin"]: r["n"] for r in found.collect()}
@@ -168,7 +170,7 @@ def fit(docs: DataFrame, learnable: Column, text: str = "text", lang: str = "lan
     total = df.pop(-1)
     for k, n in df.items():
         idf[k] = np.log((1 + total) / (1 + n)) + 1
-    sample = _sample(rows, max(1, SAMPLE // len(sizes))).mapInArrow(_vectors, "lang string, x binary").toPandas()
+    sample = _sample(rows, max(1, SAMPLE // n_languages)).mapInArrow(_vectors, "lang string, x binary").toPandas()
     languages = sorted(sample["lang"].unique())
     centroids, owner, limit = [], [], []
     for number, name in enumerate(languages):

@@ -1,5 +1,6 @@
 """Language, toxicity and quality models: held-out results, edge rows, determinism."""
 
+import random
 import re
 
 import numpy as np
@@ -177,3 +178,18 @@ def test_languages_of_few_texts_in_many_copies(spark):
             assert {r.text for r in got if r.lang == "few"} == set(texts)
     alike = few.limit(1).crossJoin(spark.range(500)).drop("id").withColumn("h", F.lit(5).cast("bigint"))
     assert language._sample(alike, 30).count() == 30  # repeated rows tie
+
+
+def test_more_than_a_thousand_languages(spark):
+    """1,200 languages of a few texts each; every one is learned and found again."""
+    r = random.Random(12)
+    rows = []
+    for k in range(1200):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyzäöüßéèêàùçñåøæþðłśżźčřž", 7)
+        texts = [" ".join("".join(r.choices(letters, k=r.randint(2, 7))) for _ in range(60)) for _ in range(2)]
+        rows += [(t, f"l{k:04}") for t in texts]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = language.fit(df, F.lit(True))
+    assert len(model.languages) == 1200
+    got = language.predict(df.withColumnRenamed("lang", "known"), model).collect()
+    assert sum(x.known == x.lang_pred for x in got) > 0.98 * len(got)
