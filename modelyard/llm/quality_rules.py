@@ -1,9 +1,11 @@
 """Weak supervision over quality rules, in DataFrame operations only.
 
-Each rule votes good or bad or abstains. Expectation-maximisation over the counts of vote
-patterns (at most 3^rules rows, whatever the corpus) estimates how often each rule votes
-right or wrong on good and on bad documents; a document is kept if its posterior probability of being
-good is at least one half and it does not fail the two hard limits.
+Each rule votes good, doubtful or bad, or abstains. Rules that read the same trait vote
+together, as one factor. Expectation-maximisation over the counts of vote patterns (at most
+4^rules rows, whatever the corpus) estimates how often each factor casts its votes on good
+and on bad documents, leaning on an opinion that weighs a stated number of documents; a
+document is kept if its posterior probability of being good is at least one half and it does
+not fail the two hard limits.
 
 Defined results: a null or empty text has no words, fails the word limit and is not kept.
 Ties and repeated rows: every row is judged by its own text only, so copies agree. An
@@ -15,6 +17,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache, reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,103 +105,117 @@ def signals(text: Column) -> Column:
     return let(text, of)
 
 
-def _vote(bad: Column, good: Column | None = None) -> Column:
-    """0 bad, 1 good, null abstains. Most rules know a defect and say nothing without it."""
-    vote = F.when(bad, 0)
-    return vote if good is None else vote.when(good, 1)
+BAD, DOUBTFUL, GOOD = 0, 1, 2
+
+
+def _levels(bad: Column, doubtful: Column, good: Column | None = None) -> Column:
+    """BAD, DOUBTFUL or GOOD; null abstains where good is told and does not hold."""
+    vote = F.when(bad, BAD).when(doubtful, DOUBTFUL)
+    return vote.otherwise(GOOD) if good is None else vote.when(good, GOOD)
 
 
 def rules(s: Column) -> dict[str, Column]:
     """The rules, as votes over the signals."""
-    n, chars = s["n_words"], s["word_chars"]
+    n, chars, never = s["n_words"], s["word_chars"], F.lit(False)
     return {
-        "length": _vote(n < MIN_WORDS, n >= 50),
-        "symbols": _vote(s["n_symbols"] * 10 > n),
-        "lines": _vote(s["n_dup_lines"] * 2 > s["n_lines"]),
-        "repeats": _vote(s["n_repeat_words"] * 100 > n * MAX_REPEAT_PERCENT),
-        "word_length": _vote((chars < n * 2) | (chars > n * 14), (chars >= n * 3) & (chars <= n * 10)),
-        "upper": _vote(s["n_upper"] * 10 > chars * 4),
-        "marks": _vote(s["n_marks"] * 4 > n),
+        "length": _levels(n < MIN_WORDS, never, n >= 50),
+        "symbols": _levels(s["n_symbols"] * 10 > n, s["n_symbols"] * 50 > n),
+        "lines": _levels(s["n_dup_lines"] * 2 > s["n_lines"], s["n_dup_lines"] * 3 > s["n_lines"], s["n_lines"] > 1),
+        "repeats": _levels(s["n_repeat_words"] * 100 > n * MAX_REPEAT_PERCENT, s["n_repeat_words"] * 10 > n, n >= 50),
+        "word_length": _levels((chars < n * 2) | (chars > n * 14), (chars < n * 3) | (chars > n * 10)),
+        "upper": _levels(s["n_upper"] * 10 > chars * 4, s["n_upper"] * 10 > chars * 2),
+        "marks": _levels(s["n_marks"] * 4 > n, s["n_marks"] * 20 > n),
     }
 
 
+#: Rules that read the same trait vote as one, by the combination of their votes.
+FACTORS = {
+    "length": ("length",),
+    "symbols": ("symbols",),
+    "repetition": ("lines", "repeats"),
+    "word_length": ("word_length",),
+    "shouting": ("upper", "marks"),
+}
+#: Opinion on one rule's votes before any data, on good and on bad documents, by vote.
+OPINION = (
+    {BAD: 0.001, DOUBTFUL: 0.01, GOOD: 0.889, None: 0.1},
+    {BAD: 0.2, DOUBTFUL: 0.1, GOOD: 0.6, None: 0.1},
+)
+#: What the opinion weighs, in documents per document of the corpus. Rules are written to be
+#: quiet on good documents, so that opinion is held strongly; it takes a rule that speaks on
+#: a good part of the corpus to overrule it. Nothing is bounded.
+WEIGHT = (10.0, 0.05)
+START_PRIOR, PRIOR_WEIGHT = 0.9, 5.0
+Votes = tuple[int | None, ...]
+
+
+@lru_cache(maxsize=None)
+def opinion(votes: Votes, k: int) -> float:
+    """Of a factor's votes: its rarest vote speaks for all, as rules of one factor overlap."""
+
+    def rarest(key: Votes) -> float:
+        return min(OPINION[k][v] for v in key)
+
+    return rarest(votes) / sum(map(rarest, product(OPINION[k], repeat=len(votes))))
+
+
 @dataclass(frozen=True)
 class LabelModel:
-    """Prior of good, and per rule how often it votes (good, bad) on good and on bad documents."""
+    """Prior of good, and per factor how often its votes come from good and from bad documents."""
 
     prior: float
-    votes: dict[str, tuple[tuple[float, float], tuple[float, float]]]
-
-    def accuracy(self, name: str) -> tuple[float, float]:
-        """Share of the rule's votes that are right, on good and on bad documents."""
-        (gg, gb), (bg, bb) = self.votes[name]
-        return gg / (gg + gb), bb / (bg + bb)
+    rates: dict[str, dict[Votes, tuple[float, float]]]
 
-    def weight(self, name: str, vote: int | None) -> float:
-        """Log-odds of good that a vote, or an abstention, adds."""
-        (gg, gb), (bg, bb) = self.votes[name]
-        good, bad = {1: (gg, bg), 0: (gb, bb), None: (1 - gg - gb, 1 - bg - bb)}[vote]
-        return math.log(good / bad) if good and bad else 0.0
+    def weight(self, factor: str, votes: Votes) -> float:
+        """Log-odds of good that a factor's votes add."""
+        good, bad = self.rates.get(factor, {}).get(votes) or (opinion(votes, 0), opinion(votes, 1))
+        return math.log(good / bad)
 
     def logit(self, votes: dict[str, Column]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, vote in votes.items():
-            total = total + F.when(vote == 1, self.weight(name, 1)).when(
-                vote == 0, self.weight(name, 0)
-            ).otherwise(self.weight(name, None))
+        for factor, names in FACTORS.items():
+            adds = None
+            for key in product((BAD, DOUBTFUL, GOOD, None), repeat=len(names)):
+                hit = reduce(lambda a, b: a & b, [votes[n].eqNullSafe(F.lit(v)) for n, v in zip(names, key)])
+                adds = F.when(hit, self.weight(factor, key)) if adds is None else adds.when(hit, self.weight(factor, key))
+            total = total + adds
         return total
 
-    def posterior(self, names: list[str], votes: tuple[int | None, ...]) -> float:
+    def posterior(self, names: list[str], votes: Votes) -> float:
+        cast = dict(zip(names, votes))
         logit = math.log(self.prior / (1 - self.prior))
-        logit += sum(self.weight(n, v) for n, v in zip(names, votes))
+        logit += sum(self.weight(f, tuple(cast[n] for n in group)) for f, group in FACTORS.items())
         return 1 / (1 + math.exp(-logit))
 
 
-START_PRIOR = 0.9
-#: (votes good, votes bad) of a rule on good and on bad documents before any data, for rules
-#: that cast both votes and for rules that only know a defect; and the share of the
-#: documents that this opinion weighs.
-START_BOTH = ((0.6, 0.002), (0.5, 0.2))
-START_DEFECT = ((0.0, 0.002), (0.0, 0.2))
-OPINION = 0.05
-#: Rules are written to be rare on good documents. Without this bound a defect that never
-#: meets another one would be learned as a harmless trait of good documents.
-MOST_FALSE, LEAST_FOUND, MOST_GOOD = 0.002, 0.1, 0.95
-
-
-def expectation_maximisation(
-    patterns: list[tuple[tuple[int | None, ...], int]], names: list[str], rounds: int = 60
-) -> LabelModel:
-    """Fit the label model on counted vote patterns.
-
-    On good documents a rule votes bad at most MOST_FALSE of the time, on bad ones at least
-    LEAST_FOUND; the share of good documents stays between one half and MOST_GOOD.
-    """
-    both = {name: any(votes[i] == 1 for votes, _ in patterns) for i, name in enumerate(names)}
-    start = {name: START_BOTH if both[name] else START_DEFECT for name in names}
-    model = LabelModel(START_PRIOR, start)
+def expectation_maximisation(patterns: list[tuple[Votes, int]], names: list[str], rounds: int = 100) -> LabelModel:
+    """Fit the label model on counted vote patterns; rates start from, and lean on, the opinion."""
+    keys = {
+        f: sorted({tuple(votes[names.index(n)] for n in group) for votes, _ in patterns}, key=str)
+        for f, group in FACTORS.items()
+    }
+    model = LabelModel(START_PRIOR, {})
     total = sum(count for _, count in patterns)
     for _ in range(rounds if total else 0):
         mass = [0.0, 0.0]  # of good, of bad
-        cast = {name: [[0.0, 0.0], [0.0, 0.0]] for name in names}
+        cast = {f: {key: [0.0, 0.0] for key in found} for f, found in keys.items()}
         for votes, count in patterns:
             p = model.posterior(names, votes)
             for k, share in enumerate((p * count, (1 - p) * count)):
                 mass[k] += share
-                for name, vote in zip(names, votes):
-                    if vote is not None:
-                        cast[name][k][1 - vote] += share
-        extra = OPINION * total
-
-        def rates(name: str, k: int) -> tuple[float, float]:
-            good, bad = (
-                (cast[name][k][i] + extra * start[name][k][i]) / (mass[k] + extra) for i in (0, 1)
-            )
-            bad = min(bad, MOST_FALSE) if k == 0 else max(bad, LEAST_FOUND)
-            return min(good, 0.999 - bad), bad
-
-        prior = min(MOST_GOOD, max(0.5, (mass[0] + extra * START_PRIOR) / (total + extra)))
-        model = LabelModel(prior, {name: (rates(name, 0), rates(name, 1)) for name in names})
+                for f, group in FACTORS.items():
+                    cast[f][tuple(votes[names.index(n)] for n in group)][k] += share
+        rates = {
+            f: {
+                key: tuple(
+                    (counts[k] + WEIGHT[k] * total * opinion(key, k)) / (mass[k] + WEIGHT[k] * total) for k in range(2)
+                )
+                for key, counts in found.items()
+            }
+            for f, found in cast.items()
+        }
+        prior = (mass[0] + PRIOR_WEIGHT * total * START_PRIOR) / (total * (1 + PRIOR_WEIGHT))
+        model = LabelModel(prior, rates)
     return model
 
 
@@ -209,7 +227,7 @@ def fit(judged: DataFrame, signal: str) -> LabelModel:
         judged.select(*[v.cast("int").alias(k) for k, v in votes.items()])
         .groupBy(*names)
         .agg(F.count("*").alias("rows"))
-        .collect()  # at most 3^7 rows
+        .collect()  # at most 4^7 rows
     )
     patterns = sorted(
         ((tuple(r[k] for k in names), r["rows"]) for r in counted),

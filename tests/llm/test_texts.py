@@ -92,42 +92,90 @@ def test_rules_on_an_empty_table(no_docs):
     assert quality_rules.judge(no_docs).count() == 0
 
 
-def test_expectation_maximisation_finds_rates():
-    """Votes drawn from known rates are recovered, and so are the documents' classes."""
+RULES = [n for group in quality_rules.FACTORS.values() for n in group]
+CLEAN = (2,) * len(RULES)
+
+
+def votes_with(**changed):
+    return tuple(changed.get(n, v) for n, v in zip(RULES, CLEAN))
+
+
+def test_expectation_maximisation_finds_the_classes():
+    """Votes drawn from known rates: defects of bad documents and the classes are found."""
     r = random.Random(1)
-    truth = {  # (good, bad) votes on good, on bad documents
-        "a": ((0.9, 0.001), (0.3, 0.5)),
-        "b": ((0.0, 0.002), (0.0, 0.4)),
-        "c": ((0.0, 0.001), (0.0, 0.6)),
-        "d": ((0.7, 0.002), (0.2, 0.3)),
-    }
+    found = {"length": 0.3, "symbols": 0.5, "lines": 0.4, "word_length": 0.3, "marks": 0.35}  # on bad documents
     counts, right, n = {}, {}, 40_000
     for _ in range(n):
-        good = r.random() < 0.8
-        votes = []
-        for rates in truth.values():
-            g, b = rates[0 if good else 1]
-            x = r.random()
-            votes.append(1 if x < g else 0 if x < g + b else None)
-        counts[tuple(votes)] = counts.get(tuple(votes), 0) + 1
-        right.setdefault(tuple(votes), []).append(good)
-    model = quality_rules.expectation_maximisation(list(counts.items()), list(truth))
-    assert abs(model.prior - 0.8) < 0.05
-    for name, (on_good, on_bad) in truth.items():
-        assert abs(model.votes[name][0][0] - on_good[0]) < 0.05
-        assert abs(model.votes[name][1][1] - on_bad[1]) < 0.12
-    agree = sum(
-        sum(g == (model.posterior(list(truth), v) > 0.5) for g in goods) for v, goods in right.items()
-    )
-    assert agree / n > 0.95
-
-
-def test_one_defect_outweighs_what_other_rules_do_not_see():
-    """Rules that only know a defect: documents with one are bad, all others good."""
-    counts = {(1, None, None): 9000, (None, None, None): 400, (1, 0, None): 250, (1, None, 0): 300, (0, None, None): 50}
-    model = quality_rules.expectation_maximisation(list(counts.items()), ["length", "a", "b"])
-    verdict = {v: model.posterior(["length", "a", "b"], v) for v in counts}
-    assert [p > 0.5 for p in verdict.values()] == [True, True, False, False, False]
+        good = r.random() < 0.85
+        votes = votes_with(
+            **{k: 0 for k, share in found.items() if r.random() < (0.001 if good else share)},
+            **({"repeats": 1} if r.random() < (0.01 if good else 0.2) else {}),
+        )
+        counts[votes] = counts.get(votes, 0) + 1
+        right.setdefault(votes, []).append(good)
+    model = quality_rules.expectation_maximisation(list(counts.items()), RULES)
+    assert abs(model.prior - 0.85) < 0.06
+    for rule in ("length", "symbols", "word_length"):
+        good, bad = model.rates[rule][(0,)]
+        assert abs(bad - found[rule]) < 0.12 and 0.0005 < good < 0.003
+    agree = sum(sum(g == (model.posterior(RULES, v) > 0.5) for g in goods) for v, goods in right.items())
+    assert agree / n > 0.97
+
+
+def test_one_rare_defect_outweighs_what_other_rules_do_not_see():
+    """A defect that meets no other one is not learned as a harmless trait."""
+    counts = {CLEAN: 9400, votes_with(symbols=0): 250, votes_with(marks=0): 300, votes_with(length=0): 50}
+    model = quality_rules.expectation_maximisation(list(counts.items()), RULES)
+    assert [model.posterior(RULES, v) > 0.5 for v in counts] == [True, False, False, False]
+
+
+def test_the_posterior_outvotes_a_bad_vote():
+    """Where bad documents show overlapping defects, one lone other vote is outvoted by the rest."""
+    loud = votes_with(symbols=0, upper=0, marks=0)
+    worst = votes_with(symbols=0, upper=0, marks=0, length=0)
+    lone, symbols, both = votes_with(word_length=0), votes_with(symbols=0), votes_with(word_length=0, symbols=0)
+    counts = {CLEAN: 8000, loud: 900, worst: 300, lone: 60, symbols: 50, both: 20}
+    model = quality_rules.expectation_maximisation(list(counts.items()), RULES)
+    verdict = {v: model.posterior(RULES, v) for v in counts}
+    assert verdict[CLEAN] > verdict[lone] > 0.5 > verdict[symbols] > verdict[both] > verdict[worst]
+
+
+def test_overlapping_rules_count_once():
+    """Two rules that always speak together are one factor: less than twice the evidence."""
+    counts = {CLEAN: 9000, votes_with(upper=0, marks=0): 400, votes_with(symbols=0): 400}
+    model = quality_rules.expectation_maximisation(list(counts.items()), RULES)
+    alone = model.weight("symbols", (0,))
+    assert abs(model.weight("shouting", (0, 0))) < 1.9 * abs(alone)
+    rates = [x for keys in model.rates.values() for pair in keys.values() for x in pair]
+    assert all(0 < x < 1 for x in rates)
+
+
+def test_kept_equals_a_plain_count_of_votes(spark, edge_docs):
+    """The verdict recomputed in Python from the signals, for every row."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(edge_docs).drop("lang", "source")
+    judged = quality_rules.judge(docs).collect()
+    votes = []
+    for s in judged:
+        n, chars = s.n_words, s.word_chars
+        votes.append(
+            tuple(
+                {
+                    "length": 0 if n < 20 else 2 if n >= 50 else None,
+                    "symbols": 0 if s.n_symbols * 10 > n else 1 if s.n_symbols * 50 > n else 2,
+                    "lines": 0 if s.n_dup_lines * 2 > s.n_lines else 1 if s.n_dup_lines * 3 > s.n_lines else 2 if s.n_lines > 1 else None,
+                    "repeats": 0 if s.n_repeat_words * 100 > n * 30 else 1 if s.n_repeat_words * 10 > n else 2 if n >= 50 else None,
+                    "word_length": 0 if chars < 2 * n or chars > 14 * n else 1 if chars < 3 * n or chars > 10 * n else 2,
+                    "upper": 0 if s.n_upper * 10 > chars * 4 else 1 if s.n_upper * 10 > chars * 2 else 2,
+                    "marks": 0 if s.n_marks * 4 > n else 1 if s.n_marks * 20 > n else 2,
+                }[k]
+                for k in RULES
+            )
+        )
+    counts = {v: votes.count(v) for v in set(votes)}
+    model = quality_rules.expectation_maximisation(sorted(counts.items(), key=str), RULES)
+    for s, v in zip(judged, votes):
+        wanted = model.posterior(RULES, v)
+        assert abs(s.quality - wanted) < 1e-6 and s.kept == (not s.base_failed and wanted >= 0.5)
 
 
 def test_encoding_equals_the_library(spark):
