@@ -25,7 +25,6 @@ BLOCK = "label=block"
 MIN_SUPPORT = 0.002  # share of labelled URLs that hold the tokens and are blocked
 MIN_COUNT = 10
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 4
 ADDED = ("host", "path", "rule", "verdict")
 
 
@@ -111,7 +110,6 @@ def mine(
     rules = model.associationRules.filter(
         (F.size("consequent") == 1)
         & (F.col("consequent")[0] == BLOCK)
-        & (F.size("antecedent") <= MAX_TOKENS)
         & (F.col("lift") > 1)
     ).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "lift", "support")
     shorter = rules.select(
