@@ -29,7 +29,7 @@ def plan(spark):
         spark.conf.set(k, v)
 
 
-PYTHON = ("EvalPython", "InPandas")
+PYTHON = ("EvalPython", "InPandas", "InArrow")
 JVM_ONLY = [
     "D1_category_dimension", "D14_all_categories", "D15_ranked_report", "M2_architecture",
     "M4_layer_groups", "E13_pairwise_verdict", "S3_item_projection", "S6_response_mask",
