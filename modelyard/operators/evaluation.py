@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from modelyard import constants as K
 from modelyard.functions.numbers import fixed
 from modelyard.operators import scoring as S
+from modelyard.operators.replies import remembered_call
 
 KEY = S.KEY
 MEANS = {
@@ -214,19 +215,28 @@ def evaluate(
     dataset: str = "custom",
     batch_size: int = 4,
     stem: bool = True,
+    replies_path: str | None = None,
+    names: tuple[str, str, str] = ("generator", "classifier", "judge"),
 ) -> tuple[DataFrame, DataFrame]:
     """(summary, scores) of models over samples: generation, entailment, judge, scores.
 
     Each model argument is a factory as in ``batched_call``. ``classify`` replies
     ``LABEL score``. A failed call scores as neutral; without a judge every answer gets
     the default score. ``embedding_scores_of`` maps the answers to (model_id, sample_id,
-    bertscore_f1).
+    bertscore_f1). With ``replies_path`` replies are kept in that table under the model's
+    name in ``names``: an evaluation that is run again, or was killed, asks for the rest only.
     """
+
+    def ask(rows: DataFrame, output: str, model: S.Model, name: str) -> DataFrame:
+        if replies_path is None:
+            return S.batched_call(rows, "prompt", output, model, batch_size)
+        return remembered_call(rows, "prompt", output, model, name, replies_path, batch_size)
+
     asked = samples.withColumn("prompt", S.qa_prompt())
-    answers = S.batched_call(asked, "prompt", "prediction", generate, batch_size)
+    answers = ask(asked, "prediction", generate, names[0])
     answers = answers.withColumn("prediction", F.coalesce("prediction", F.lit("")))
     paired = answers.withColumn("prompt", S.nli_pair())
-    labelled = S.batched_call(paired, "prompt", "nli", classify, batch_size)
+    labelled = ask(paired, "nli", classify, names[1])
     labelled = labelled.withColumns(
         {
             "nli_label": F.nullif(F.regexp_extract("nli", r"^(\S+)\s+\S+$", 1), F.lit("")),
@@ -236,9 +246,7 @@ def evaluate(
     if judge is None:
         judged = labelled.withColumn("judge_raw", F.lit(None).cast("string"))
     else:
-        judged = S.batched_call(
-            labelled.withColumn("prompt", S.judge_prompt()), "prompt", "judge_raw", judge, batch_size
-        )
+        judged = ask(labelled.withColumn("prompt", S.judge_prompt()), "judge_raw", judge, names[2])
     done = judged.drop("prompt", "nli")
     embedding = embedding_scores_of(done) if embedding_scores_of else None
     scores = sample_scores(done, embedding, judge is not None, stem)

@@ -25,9 +25,18 @@ def local_session(cores: int | str = "*", app: str = "modelyard", **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: spark.checkpoint.dir, else the warehouse."""
+    """Folder every executor can reach: spark.checkpoint.dir, else the warehouse.
+
+    Outside local mode a warehouse on the machine's own disk is refused: other executors
+    would not see what is written there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/written"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/written"
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

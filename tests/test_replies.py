@@ -81,3 +81,22 @@ def test_two_replies_to_one_prompt_give_one_row(spark, tmp_path):
     assert [r.reply for r in got.collect()] == ["a"]
     empty = M.remembered_call(rows.limit(0), "prompt", "reply", maker(tmp_path), "m", store)
     assert empty.count() == 0
+
+
+def test_an_evaluation_run_again_asks_nothing(spark, tmp_path):
+    from modelyard.operators import evaluation as V
+
+    log, store = tmp_path / "log", str(tmp_path / "store")
+    log.mkdir()
+    rows = [("m", f"s{i}", i, f"context {i % 3}", "who?", "a b", "") for i in range(9)]
+    samples = spark.createDataFrame(
+        rows, "model_id string, sample_id string, ord int, context string, question string, reference string, prediction string"
+    )
+    plain = V.evaluate(samples, maker(tmp_path / "log"), maker(log), maker(log))[1]
+    wanted = sorted(map(str, plain.collect()))
+    for f in log.iterdir():
+        f.unlink()
+    for run in range(2):
+        scores = V.evaluate(samples, maker(log), maker(log), maker(log), replies_path=store)[1]
+        assert sorted(map(str, scores.collect())) == wanted
+        assert len(asked(log)) == 9  # three prompts of each of three models
