@@ -42,6 +42,14 @@ def stems(lists: pa.Array) -> pa.Array:
     )
 
 
+def shared_items(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Long lists without what only one of them has, in order; it adds to no match."""
+    if len(a) > 64 or len(b) > 64:
+        a = a[np.isin(a, b)]
+        b = b[np.isin(b, a)]
+    return a, b
+
+
 LCS_BITS = 8192  # tokens of one side handled at once
 
 
@@ -53,9 +61,7 @@ def common_subsequence(a, b, bits: int = LCS_BITS) -> int:
     per token to the next one. A block has at most ``bits`` masks of ``bits`` bits (8 MB) and
     a carry takes a byte a token, so memory is linear whatever the lengths.
     """
-    a, b = np.asarray(a), np.asarray(b)
-    if len(a) > 64 or len(b) > 64:
-        a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    a, b = shared_items(np.asarray(a), np.asarray(b))
     if len(a) > len(b):
         a, b = b, a
     length, others = 0, b.tolist()
@@ -115,13 +121,15 @@ def overlap(stem: bool):
 
         def rows(lists: pa.Array, at: int):
             for n in lists.value_lengths().fill_null(0).to_pylist():
-                yield codes[at : at + n], pairs[at : at + max(n - 1, 0)].tolist()
+                yield codes[at : at + n], pairs[at : at + max(n - 1, 0)]
                 at += n
 
-        counts = [
-            (clipped_matches(a.tolist(), b.tolist()), clipped_matches(a2, b2), common_subsequence(a, b))
-            for (a, a2), (b, b2) in zip(rows(left, 0), rows(right, len(left.flatten())))
-        ]
+        counts = []
+        for (a, a2), (b, b2) in zip(rows(left, 0), rows(right, len(left.flatten()))):
+            a, b = shared_items(a, b)
+            a2, b2 = shared_items(a2, b2)
+            matches = [clipped_matches(x.tolist(), y.tolist()) for x, y in ((a, b), (a2, b2))]
+            counts.append((*matches, common_subsequence(a, b)))
         columns = list(zip(*counts)) if counts else [[], [], []]
         return pa.StructArray.from_arrays(
             [pa.array(c, pa.int32()) for c in columns], names=["m1", "m2", "lcs"]
