@@ -257,3 +257,36 @@ def test_a_huge_answer_is_compared_in_blocks(spark):
     assert set(whole) == set(cut) and len(whole) == 8
     for k, v in whole.items():
         assert abs(cut[k] - v) < 1e-9
+
+
+def plan_of(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_texts_are_cut_in_the_worker_and_prompts_in_portions(spark, capsys):
+    df = spark.createDataFrame([("m", "1", "a", "b")], "model_id string, sample_id string, prediction string, reference string")
+    assert "split(" not in plan_of(S.rouge(df), capsys)
+    called = S.batched_call(df, "prediction", "reply", lambda: lambda prompts: list(prompts))
+    assert "MapInArrow" in plan_of(called, capsys)
+
+
+def test_rows_beyond_a_portion_keep_their_reply(spark):
+    df = spark.range(3 * S.PORTION + 5).selectExpr("id", "IF(id % 7 = 0, NULL, concat('p', id)) AS prompt").coalesce(1)
+    got = S.batched_call(df, "prompt", "reply", lambda: lambda prompts: [p + "!" for p in prompts]).collect()
+    assert len(got) == 3 * S.PORTION + 5
+    assert all(r.reply == (None if r.id % 7 == 0 else f"p{r.id}!") for r in got)
+
+
+@given(st.text("abdeginsty", min_size=X.KEEPS_START, max_size=12))
+def test_stems_of_longer_words_begin_like_the_word(word):
+    assert porter(word)[:2] == word[:2]
+
+
+def test_words_that_change_their_start_still_meet(spark):
+    pairs = [("dying lying tying aings eing", "die lie tie a e"), ("die lie tie a e " * 3, "dying lying tying aings eing")]
+    rows = [("m", str(i), p, r) for i, (p, r) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "model_id string, sample_id string, prediction string, reference string")
+    got = {int(r.sample_id): (r.rouge1, r.rouge2, r.rougeL) for r in S.rouge(df).collect()}
+    for i, (p, r) in enumerate(pairs):
+        assert got[i] == pytest.approx(tuple(brute_rouge(p, r, True)))
