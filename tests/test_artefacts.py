@@ -152,3 +152,14 @@ def test_throughput_and_workload(spark):
     sizes = spark.createDataFrame([("m", 7), ("n", 80)], "model_id string, n_requests int")
     rows = R.workload(sizes).collect()
     assert len(rows) == 57 and rows[5].prompt == "Explain the concept of machine learning in detail."
+
+
+def test_saved_results_score_their_answers_once(spark, monkeypatch):
+    from modelyard.plans import reporting, scoring
+
+    calls, real = [], scoring._scores
+    monkeypatch.setattr(scoring, "_scores", lambda s, d: calls.append(d) or real(s, d))
+    for saved in (reporting._saved_evaluation, reporting._saved_twins):
+        calls.clear()
+        saved(spark, "/root/testdata/sf0.001")
+        assert len(calls) == 1
