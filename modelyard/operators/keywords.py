@@ -17,6 +17,7 @@ from modelyard import constants as K
 from modelyard.operators.evaluation import is_failing
 
 GRAM = 3  # characters; a shorter keyword is filed under itself
+NEAR = 10_000  # keywords of a table that is sent to the texts, below 1 MB
 
 
 def _ngrams(text: Column, sizes: Column) -> Column:
@@ -73,12 +74,27 @@ def matches(
     grams = texts.select(
         *key, *([body.alias("_text")] if carried else []), F.explode(text_ngrams(body)).alias("gram")
     )
-    found = grams.join(index(keywords, keyword), "gram").drop("gram")
+    # Spark takes the grams for as small as the texts and would broadcast them
+    found = grams.hint("merge").join(index(keywords, keyword), "gram").drop("gram")
     if not carried:
         found = found.join(texts.select(*key, body.alias("_text")), key)
     return found.filter(F.contains("_text", F.lower(keyword))).drop("_text")
 
 
+def touched(texts: DataFrame, key: list[str], text: str, keywords: DataFrame, names: list[str], near: int = NEAR) -> DataFrame:
+    """Distinct rows (key columns, ``names`` of keywords) of texts and the keywords they contain.
+
+    A table of at most ``near`` keywords is sent to the texts, one row per ``names``, and a text
+    is read until a keyword of that row is met. Beyond that grams travel, as in ``matches``.
+    """
+    if keywords.limit(near + 1).count() > near:
+        return matches(texts, key, text, keywords).select(*key, *names).distinct()
+    lists = keywords.groupBy(*names).agg(F.collect_set(F.lower("keyword")).alias("_words"))
+    bodies = texts.select(*key, F.lower(text).alias("_text"))
+    met = bodies.crossJoin(F.broadcast(lists)).filter(F.exists("_words", lambda w: F.contains("_text", w)))
+    return met.select(*key, *names).distinct()
+
+
 def search(models: DataFrame, keywords: DataFrame, per_keyword: int = K.PER_KEYWORD) -> DataFrame:
     """Top rows by downloads for each row (category, kw_ord, keyword) of a keyword table.
 
@@ -103,9 +119,9 @@ def gap_categories(
     failing = scores.filter(is_failing()).select(*key, "ord")
     body = F.concat(F.coalesce("question", F.lit("")), F.lit(" "), F.coalesce("context", F.lit("")))
     texts = samples.select(*key, body.alias("body")).join(failing, key)
-    touched = matches(texts, [*key, "ord"], "body", keywords).select(*key, "ord", "cat_ord", "gap_cat").distinct()
     return (
-        touched.groupBy("model_id", "cat_ord", "gap_cat")
+        touched(texts, [*key, "ord"], "body", keywords, ["cat_ord", "gap_cat"])
+        .groupBy("model_id", "cat_ord", "gap_cat")
         .agg(F.count("*").alias("failures"), F.min("ord").alias("first_ord"))
         .filter(F.col("failures") >= least)
     )

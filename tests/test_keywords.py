@@ -67,3 +67,29 @@ def test_the_plan_holds_no_keyword(spark):
     assert "word1999" not in out.getvalue()
     for operator in ("CartesianProduct", "NestedLoop"):
         assert operator not in out.getvalue()
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def test_grams_are_not_broadcast(spark):
+    keywords = spark.createDataFrame([("ring",)], "keyword string")
+    df = spark.createDataFrame([(1, "Ring gear")], "id int, body string")
+    for carried in (False, True):
+        assert "SortMergeJoin [gram" in plan_of(I.matches(df, ["id"], "body", keywords, carried=carried))
+
+
+def test_touched_by_small_and_large_tables(spark):
+    rows = [(1, "Ring gear"), (1, "bolt"), (2, None), (3, "xyz"), (3, "xyz")]
+    df = spark.createDataFrame(rows, "id int, body string")
+    words = [(0, "ring"), (0, "GEAR"), (1, "b"), (1, None), (2, ""), (3, "none")]
+    keywords = spark.createDataFrame(words, "cat int, keyword string")
+    wanted = sorted({(i, c) for i, t in rows for c, w in words if t is not None and w is not None and w.lower() in t.lower()})
+    for near in (0, 100):
+        got = I.touched(df, ["id"], "body", keywords, ["cat"], near)
+        assert sorted(map(tuple, got.collect())) == wanted
+    assert "[gram" not in plan_of(got)
