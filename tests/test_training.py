@@ -109,3 +109,11 @@ def test_loop_decisions(spark):
         1: (2, "target reached", 2, 0.5), 2: (1, "no gaps", 1, 0.1),
         3: (1, "no synthetic rows", 1, 0.1), 4: (None, "iterations used up", 2, 0.2),
     }
+
+
+def test_windows_are_gathered_as_texts(spark, capsys):
+    df = spark.createDataFrame([(1, "a b c"), (2, " d\te ")], "o int, text string")
+    windows = Y.packed_windows(df, "o", 2)
+    windows.explain()
+    assert "flatten(" not in capsys.readouterr().out
+    assert sorted(map(tuple, windows.collect())) == [(0, 2, "a b"), (1, 2, "c d"), (2, 1, "e")]
