@@ -2,7 +2,8 @@
 
 A reply table is a folder of rows (key, model, reply), the key being the sha256 of the model's
 name and the prompt. A call reads it, asks for the prompts it lacks, each distinct one once,
-and appends the replies in waves; a run that is killed keeps the waves it finished. Runs may
+and appends the replies in waves; a run that is killed keeps the waves it finished. The
+rows are computed once to find what is unseen, and once more for the result. Runs may
 append to one table at the same time: at worst a prompt is asked twice, and the least of its
 replies counts from then on. Failed calls are not kept, so the next run asks again.
 """
@@ -30,13 +31,14 @@ def stored_replies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(path).groupBy("key").agg(F.min("reply").alias("reply"))
 
 
-def unseen(rows: DataFrame, prompt: str, model: str, path: str) -> DataFrame:
-    """Distinct prompts (key, prompt) without a stored reply."""
+def looked_up(rows: DataFrame, prompt: str, model: str, path: str) -> DataFrame:
+    """Distinct prompts (key, stored, prompt); stored and prompt are null where the other is not."""
     asked = rows.select(prompt_key(model, F.col(prompt)).alias("key"), F.col(prompt).alias("prompt"))
     return (
         asked.filter(F.col("prompt").isNotNull())
         .dropDuplicates(["key"])
-        .join(stored_replies(rows.sparkSession, path), "key", "left_anti")
+        .join(stored_replies(rows.sparkSession, path).select("key", F.lit(True).alias("stored")), "key", "left")
+        .select("key", "stored", F.when(F.col("stored").isNull(), F.col("prompt")).alias("prompt"))
     )
 
 
@@ -56,28 +58,27 @@ def remembered_call(
     prompts spread over all tasks; its replies are appended when all of them are there.
     """
     spark = rows.sparkSession
-    todo = written(unseen(rows, prompt, model, path), "unseen-prompts")
+    prompts = written(looked_up(rows, prompt, model, path), "prompts")
+    todo = prompts.filter(F.col("stored").isNull()).select("key", "prompt")
     if not todo.isEmpty():
         for wave in range(waves):
+            # the table's files lie by a hash of the key, so every task reads its share of a wave
             part = todo.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
-            replies = batched_call(part.repartition("key"), "prompt", "reply", make, batch_size)
+            replies = batched_call(part, "prompt", "reply", make, batch_size)
             (
                 replies.filter(F.col("reply").isNotNull())
                 .select("key", F.lit(model).alias("model"), "reply")
                 .write.mode("append")
                 .parquet(path)
             )
-    keyed = rows.withColumn("_key", prompt_key(model, F.col(prompt)))
-    # written, so that the join is one of plain shuffles and a prompt of very many rows is split
+    # written, so that the join is one of plain shuffles and a prompt of very many rows is split,
+    # as are rows without a prompt
     known = written(
         stored_replies(spark, path)
-        .join(keyed.select(F.col("_key").alias("key")).distinct(), "key", "left_semi")
+        .join(prompts.select("key"), "key", "left_semi")
         .withColumnRenamed("reply", "_reply"),
         "known-replies",
     )
+    keyed = rows.withColumn("_key", prompt_key(model, F.col(prompt)))
     columns = [F.col(f"`{c}`") for c in rows.columns if c != output]
-    there = keyed.filter(F.col("_key").isNotNull()).join(known, F.col("_key") == F.col("key"), "left")
-    silent = keyed.filter(F.col("_key").isNull()).withColumn("_reply", F.lit(None).cast("string"))
-    return there.select(*columns, F.col("_reply").alias(output)).unionByName(
-        silent.select(*columns, F.col("_reply").alias(output))
-    )
+    return keyed.join(known, F.col("_key") == F.col("key"), "left").select(*columns, F.col("_reply").alias(output))

@@ -100,3 +100,25 @@ def test_an_evaluation_run_again_asks_nothing(spark, tmp_path):
         scores = V.evaluate(samples, maker(log), maker(log), maker(log), replies_path=store)[1]
         assert sorted(map(str, scores.collect())) == wanted
         assert len(asked(log)) == 9  # three prompts of each of three models
+
+
+def test_rows_are_computed_once_a_call_and_once_for_the_result(spark, tmp_path):
+    log, store = tmp_path / "log", str(tmp_path / "store")
+    log.mkdir()
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, f"p{i % 7}" if i % 5 else None, None) for i in range(40)]
+    df = spark.createDataFrame(rows, ROWS).mapInArrow(counted, ROWS)
+    M.remembered_call(df, "prompt", "reply", maker(log), "m", store)
+    assert seen.value == 40
+    again = M.remembered_call(df, "prompt", "reply", maker(log), "m", store)
+    assert seen.value == 80
+    wanted = [(i, p, p and f"re: {p}") for i, p, _ in rows]
+    assert sorted(map(tuple, again.collect())) == wanted
+    assert seen.value == 120
+    assert asked(log) == sorted(f"p{i}" for i in range(7))
